@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,16 +16,38 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, v: total + v)
 
 
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row.
+
+    A column used inside a lambda is computed again for every element; the
+    element of a one-element list is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _weights(logits: Column) -> Column:
+    """``(top, weights)``: the largest score is subtracted before exp."""
+    return _once(
+        F.array_max(logits).cast("double"),
+        lambda top: F.struct(
+            top.alias("top"),
+            F.transform(logits, lambda x: F.exp(x.cast("double") - top)).alias("weights"),
+        ),
+    )
+
+
 def softmax(logits: Column) -> Column:
-    """Probabilities of one row of scores; the largest score is subtracted first."""
-    top = F.array_max(logits).cast("double")
-    weights = F.transform(logits, lambda x: F.exp(x.cast("double") - top))
-    return F.transform(weights, lambda w: w / _sum(weights))
+    """Probabilities of one row of scores."""
+    return _once(
+        _weights(logits)["weights"],
+        lambda weights: _once(
+            _sum(weights), lambda total: F.transform(weights, lambda w: w / total)
+        ),
+    )
 
 
 def log_sum_exp(logits: Column) -> Column:
-    top = F.array_max(logits).cast("double")
-    return top + F.ln(_sum(F.transform(logits, lambda x: F.exp(x.cast("double") - top))))
+    return _once(_weights(logits), lambda w: w["top"] + F.ln(_sum(w["weights"])))
 
 
 def token_logprob(logits: Column, label: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Window
 from pairloom.constants import END_OF_TEXT_ID
 from pairloom.functions.encoding import pieces
 from pairloom.functions.sequences import lookup_label
-from pairloom.sources.datasets import scan
+from pairloom.sources.datasets import scan, spread
 from pairloom.sources.vocabulary import with_special_tokens
 
 STEP_RANKS = 4
@@ -90,7 +90,7 @@ def word_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     so the numbering of the pieces is a small sort.
     """
     counted = (
-        table(spark, sf_dir, "documents")
+        spread(table(spark, sf_dir, "documents"))
         .select(F.explode(pieces(F.col("text"))).alias("piece"))
         .groupBy("piece").agg(F.count("*").alias("n"))
         # one-byte pieces have their byte ids already

@@ -44,11 +44,15 @@ def into_batches(
 
     Lengths, padding, sequence scores and batch reports all group by the batch and
     need no other one.  With native ids the text is moved, before it is blown up
-    into ids.  A Python step forgets how its input was partitioned, so after it the
-    ids are moved, by the window that finds the batch length.
+    into ids; the number of tasks is given, because it would else be merged down to
+    the size of the text.  A Python step forgets how its input was partitioned, so
+    after it the ids are moved, by the window that finds the batch length.
     """
     dealt = assign_batches(rank_split(indexed, ranks), batch_rows)
-    return dealt.repartition(*B.BATCH_KEY) if encoder.native else dealt
+    if not encoder.native:
+        return dealt
+    tasks = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(tasks, *B.BATCH_KEY)
 
 
 def sft_flow(

@@ -226,16 +226,16 @@ def nls(x: str) -> str:
 
 SIGMOID = nls(f"{BETA}::DOUBLE * z")
 REPORT_FIGURES = f"""
-         count(*) AS pairs, round(avg({SIGMOID}), 6) AS loss,
-         round(avg((chosen_reward > rejected_reward)::INTEGER::DOUBLE), 6) AS reward_accuracy,
-         round(avg(chosen_reward), 6) AS chosen_reward,
-         round(avg(rejected_reward), 6) AS rejected_reward,
-         round(avg(policy_chosen), 6) AS logp_chosen, round(avg(policy_rejected), 6) AS logp_rejected,
-         round(avg(reference_chosen), 6) AS logp_chosen_ref,
-         round(avg(reference_rejected), 6) AS logp_rejected_ref,
-         round(abs(avg(policy_chosen)) - abs(avg(policy_rejected)), 6) AS margin,
-         round(abs(avg(reference_chosen)) - abs(avg(reference_rejected)), 6) AS margin_ref,
-         round(-sum(policy_chosen) / nullif(sum(chosen_tokens), 0), 6) AS nll_loss"""
+         count(*) AS pairs, round(avg({SIGMOID}), 8) AS loss,
+         round(avg((chosen_reward > rejected_reward)::INTEGER::DOUBLE), 8) AS reward_accuracy,
+         round(avg(chosen_reward), 8) AS chosen_reward,
+         round(avg(rejected_reward), 8) AS rejected_reward,
+         round(avg(policy_chosen), 8) AS logp_chosen, round(avg(policy_rejected), 8) AS logp_rejected,
+         round(avg(reference_chosen), 8) AS logp_chosen_ref,
+         round(avg(reference_rejected), 8) AS logp_rejected_ref,
+         round(abs(avg(policy_chosen)) - abs(avg(policy_rejected)), 8) AS margin,
+         round(abs(avg(reference_chosen)) - abs(avg(reference_rejected)), 8) AS margin_ref,
+         round(-sum(policy_chosen) / nullif(sum(chosen_tokens), 0), 8) AS nll_loss"""
 
 
 def report() -> str:
@@ -252,7 +252,7 @@ report AS (
 
 def pair_loss(expression: str) -> str:
     return (
-        f"{pair_scores()} SELECT rank, batch_id, pair_in_batch, round({expression}, 6) AS loss FROM z"
+        f"{pair_scores()} SELECT rank, batch_id, pair_in_batch, round({expression}, 8) AS loss FROM z"
     )
 
 
@@ -294,7 +294,7 @@ def dpo_lines() -> str:
     line = " || '; ' || ".join(figures)
     return f"""{report()}, {STEPS},
 logged AS (
-  SELECT r.*, r.batch_id AS step, round({float(Q.BATCH * Q.ACCUMULATION)}::DOUBLE / s.dt, 6) AS row_per_s
+  SELECT r.*, r.batch_id AS step, round({float(Q.BATCH * Q.ACCUMULATION)}::DOUBLE / s.dt, 8) AS row_per_s
   FROM report r JOIN steps s ON s.rank = r.rank AND s.step = r.batch_id
   WHERE r.batch_id > 0 AND r.batch_id % {Q.LOG_EVERY} = 0
 ),
@@ -469,9 +469,9 @@ SELECT rank, batch_id, row_in_batch, side, {text('ids')} AS ids, {text('labels')
     "shift_align": MOVED_SCORES,
     "shift_align_join": MOVED_SCORES,
     "token_logprob": f"""WITH {SOFTMAX}
-SELECT vec_id, round(e - m - ln(s), 6) AS logp FROM logits JOIN sums USING (vec_id)
+SELECT vec_id, round(e - m - ln(s), 8) AS logp FROM logits JOIN sums USING (vec_id)
 WHERE token_id = label""",
-    "softmax_row": f"WITH {SOFTMAX} SELECT vec_id, token_id, round(p, 6) AS p FROM probs",
+    "softmax_row": f"WITH {SOFTMAX} SELECT vec_id, token_id, round(p, 8) AS p FROM probs",
     "seq_logprob": f"""{pair_tokens()}
 SELECT rank, batch_id, row_in_batch, side, coalesce(sum(policy) {COUNTS}, 0) AS logp,
        count(*) {COUNTS} AS tokens
@@ -481,15 +481,15 @@ SELECT rank, batch_id, row_in_batch, side, coalesce(sum(policy) {COUNTS}, 0) AS
        coalesce(sum(reference) {COUNTS}, 0) AS reference_logp, count(*) {COUNTS} AS tokens
 FROM tokens GROUP BY ALL""",
     "chosen_nll": f"""{pair_tokens()}
-SELECT rank, batch_id, round(avg(-policy) {COUNTS}, 6) AS nll_loss, count(*) {COUNTS} AS tokens
+SELECT rank, batch_id, round(avg(-policy) {COUNTS}, 8) AS nll_loss, count(*) {COUNTS} AS tokens
 FROM tokens WHERE side = 'chosen' GROUP BY rank, batch_id""",
     "sft_batch_loss": f"""{SFT_BATCHES}, {TOKENS}
-SELECT rank, batch_id, round(avg(-policy) {COUNTS}, 6) AS loss, count(*) {COUNTS} AS tokens
+SELECT rank, batch_id, round(avg(-policy) {COUNTS}, 8) AS loss, count(*) {COUNTS} AS tokens
 FROM tokens GROUP BY rank, batch_id""",
     "validation_loss": f"""{SFT_BATCHES}, {TOKENS},
 losses AS (SELECT rank, batch_id, avg(-policy) {COUNTS} AS loss FROM tokens GROUP BY rank, batch_id),
 per_rank AS (SELECT rank, sum(loss) AS loss FROM losses GROUP BY rank)
-SELECT round(avg(loss), 6) AS validation_loss, count(*) AS ranks FROM per_rank""",
+SELECT round(avg(loss), 8) AS validation_loss, count(*) AS ranks FROM per_rank""",
     "dpo_loss_sigmoid": pair_loss(SIGMOID),
     "dpo_loss_smoothed": pair_loss(
         f"{SIGMOID} * 0.9::DOUBLE + {nls(f'-{BETA}::DOUBLE * z')} * 0.1::DOUBLE"
@@ -497,18 +497,18 @@ SELECT round(avg(loss), 6) AS validation_loss, count(*) AS ranks FROM per_rank""
     "dpo_loss_hinge": pair_loss(f"greatest(1 - {BETA}::DOUBLE * z, 0)"),
     "dpo_loss_ipo": pair_loss(f"(z - 1 / (2 * {BETA}::DOUBLE)) * (z - 1 / (2 * {BETA}::DOUBLE))"),
     "dpo_rewards": f"""{pair_scores()}
-SELECT rank, batch_id, pair_in_batch, round(chosen_reward, 6) AS chosen_reward,
-       round(rejected_reward, 6) AS rejected_reward FROM z""",
+SELECT rank, batch_id, pair_in_batch, round(chosen_reward, 8) AS chosen_reward,
+       round(rejected_reward, 8) AS rejected_reward FROM z""",
     "reward_accuracy": f"""{pair_scores()}
-SELECT rank, batch_id, round(avg((chosen_reward > rejected_reward)::INTEGER::DOUBLE), 6) AS reward_accuracy
+SELECT rank, batch_id, round(avg((chosen_reward > rejected_reward)::INTEGER::DOUBLE), 8) AS reward_accuracy
 FROM z GROUP BY rank, batch_id""",
     "margins": f"""{pair_scores()}
-SELECT rank, batch_id, round(abs(avg(policy_chosen)) - abs(avg(policy_rejected)), 6) AS margin,
-       round(abs(avg(reference_chosen)) - abs(avg(reference_rejected)), 6) AS margin_ref
+SELECT rank, batch_id, round(abs(avg(policy_chosen)) - abs(avg(policy_rejected)), 8) AS margin,
+       round(abs(avg(reference_chosen)) - abs(avg(reference_rejected)), 8) AS margin_ref
 FROM z GROUP BY rank, batch_id""",
     "dpo_report": f"{report()} SELECT * FROM report",
     "dpo_validation": f"{pair_scores('held_out', 1)} SELECT {REPORT_FIGURES} FROM z",
-    "topk_tokens": f"WITH {TOP} SELECT vec_id, place, token_id, round(p, 6) AS p FROM best",
+    "topk_tokens": f"WITH {TOP} SELECT vec_id, place, token_id, round(p, 8) AS p FROM best",
     "topk_draw": f"""WITH {TOP},
 drawn AS (
   SELECT vec_id, token_id, p, (('0x' || substr(md5('{Q.SEED}:' || vec_id || ':' || token_id), 1, 13))::BIGINT
@@ -518,10 +518,10 @@ drawn AS (
 SELECT vec_id, arg_max(token_id, ln(p) - ln(-ln(u))) AS token_id FROM drawn GROUP BY vec_id""",
     "accum_loss": f"""WITH {STEPS}
 SELECT rank, {window_of()} AS window_id, max(step) AS step, count(*) AS steps,
-       round(sum(loss / {Q.ACCUMULATION}), 6) AS loss
+       round(sum(loss / {Q.ACCUMULATION}), 8) AS loss
 FROM steps GROUP BY 1, 2 HAVING max(step) = {window_of('max(step)')} * {Q.ACCUMULATION}""",
     "rank_mean_loss": f"""WITH {MEAN_STEPS}
-SELECT window_id, step, steps, round(loss, 6) AS loss FROM mean_windows""",
+SELECT window_id, step, steps, round(loss, 8) AS loss FROM mean_windows""",
     "throughput": f"""WITH {STEPS},
 windows AS (
   SELECT rank, {window_of()} AS window_id, max(step) AS last, arg_max(dt, step) AS last_dt,
@@ -529,9 +529,9 @@ windows AS (
   FROM steps GROUP BY 1, 2 HAVING max(step) = {window_of('max(step)')} * {Q.ACCUMULATION}
 )
 SELECT rank, window_id, last AS step,
-       round({float(Q.BATCH * Q.ACCUMULATION * BATCH_LENGTH * Q.RANKS)}::DOUBLE / last_dt, 6) AS tokens_per_s,
-       round({float(Q.BATCH * Q.ACCUMULATION)}::DOUBLE / last_dt, 6) AS rows_per_s,
-       round(true_rate, 6) AS true_tokens_per_s
+       round({float(Q.BATCH * Q.ACCUMULATION * BATCH_LENGTH * Q.RANKS)}::DOUBLE / last_dt, 8) AS tokens_per_s,
+       round({float(Q.BATCH * Q.ACCUMULATION)}::DOUBLE / last_dt, 8) AS rows_per_s,
+       round(true_rate, 8) AS true_tokens_per_s
 FROM windows""",
     "lr_linear": f"""WITH {STEPS}
 SELECT rank, step, round({Q.BASE_LR}::DOUBLE * CASE WHEN step < w THEN step / greatest(1, w)::DOUBLE
@@ -553,7 +553,7 @@ FROM steps""",
     "dpo_log_lines": f"{dpo_lines()} SELECT rank, step, line_in_step, value FROM lines",
     "sft_log_lines": f"WITH {SFT_LINES} SELECT step, kind, value FROM lines",
     "log_parse": f"""{dpo_lines()}
-SELECT 'rank' || rank AS run_id, {', '.join(DPO_REPORT_COLUMNS)} FROM logged, range(2) twice""",
+SELECT 'rank' || rank AS run_id, {', '.join(DPO_REPORT_COLUMNS)} FROM logged""",
     "stream_prepare": f"""WITH {SHARD_IDS}
 SELECT doc_id, {text('tokens')} AS tokens, least(len(ids), {SHARD_LENGTH})::INTEGER AS length
 FROM shard_tokens""",
@@ -562,6 +562,6 @@ SELECT 0 AS epoch, (idx // {Q.SHARD})::INTEGER AS shard_id, (idx % {Q.SHARD})::I
        doc_id, n_chars FROM numbered""",
     "stream_log": f"""WITH {SFT_LINES}
 SELECT 'run0' AS run_id, {window_of('step', Q.SFT_LOG_EVERY * 10)} AS window_id,
-       round(sum(split_part(value, ' ', 3)::DOUBLE), 6) AS loss, count(*) AS lines
+       round(sum(split_part(value, ' ', 3)::DOUBLE), 8) AS loss, count(*) AS lines
 FROM lines WHERE kind = 'train' GROUP BY 1, 2""",
 }

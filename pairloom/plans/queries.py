@@ -33,7 +33,7 @@ from pairloom.plans import adapters as A
 from pairloom.plans import flows
 from pairloom.scratch import new_path
 from pairloom.sources import logs, shards
-from pairloom.sources.datasets import DPO_COLUMNS, SFT_COLUMNS, map_columns, scan
+from pairloom.sources.datasets import DPO_COLUMNS, SFT_COLUMNS, map_columns, scan, spread
 from pairloom.sources.vocabulary import decode_ranks_file, installed_ranks_path
 from pairloom.streaming import logs as live
 from pairloom.streaming import prepare as stream_prepare
@@ -64,17 +64,19 @@ def joined(ids: Column) -> Column:
     return F.array_join(ids.cast("array<string>"), " ")
 
 
-def r6(value: Column) -> Column:
-    return F.round(value, 6)
+def rounded(value: Column) -> Column:
+    return F.round(value, 8)
 
 
 # ---- sources -------------------------------------------------------------
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents under the canonical names of a shard source."""
-    return map_columns(
-        A.table(spark, sf_dir, "documents"), {"query": "source", "response": "text"}, ["doc_id"]
-    )
+    return map_columns(_texts(spark, sf_dir), {"query": "source", "response": "text"}, ["doc_id"])
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(A.table(spark, sf_dir, "documents"))
 
 
 def indexed_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -125,7 +127,7 @@ def shard_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _shard_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    indexed = indexed_documents(spark, sf_dir, "source", "text").withColumnsRenamed(
+    indexed = spread(indexed_documents(spark, sf_dir, "source", "text"), "idx").withColumnsRenamed(
         {"source": "query", "text": "response"}
     )
     return flows.shard_flow(indexed, BYTES, SHARD_LENGTH, SHARD)
@@ -160,16 +162,14 @@ def template_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encode_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = BYTES(F.col("text"))
-    return A.table(spark, sf_dir, "documents").select(
-        "doc_id", F.size(ids).alias("n_ids"), joined(ids).alias("ids")
-    )
+    encoded = _texts(spark, sf_dir).select("doc_id", BYTES(F.col("text")).alias("ids"))
+    return encoded.select("doc_id", F.size("ids").alias("n_ids"), joined(F.col("ids")).alias("ids"))
 
 
 def _vocabulary_ids(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     vocabulary = A.word_vocabulary(spark, sf_dir)
     encoded = encode_with_vocabulary(
-        A.table(spark, sf_dir, "documents"), "text", ["doc_id"], A.lookup_pieces(vocabulary)
+        _texts(spark, sf_dir), "text", ["doc_id"], A.lookup_pieces(vocabulary)
     )
     return vocabulary, encoded
 
@@ -187,7 +187,7 @@ def bpe_encoder(spark: SparkSession) -> BpeEncoder:
 
 
 def encode_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.table(spark, sf_dir, "documents").select(
+    return _texts(spark, sf_dir).select(
         "doc_id", bpe_encoder(spark)(F.col("text")).alias("ids")
     )
 
@@ -224,8 +224,7 @@ def attention_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pad_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = column_mapping(spark, sf_dir)
-    sample = B.sft_samples(rows, BYTES)
+    sample = B.sft_samples(spread(column_mapping(spark, sf_dir)), BYTES)
     return sample.select(
         "doc_id",
         joined(sequences.pad_or_truncate(F.col("input_ids"), BATCH_LENGTH)).alias("x"),
@@ -348,7 +347,7 @@ def sft_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return indexed_documents(spark, sf_dir, "source", "text").withColumnsRenamed(
+    return spread(indexed_documents(spark, sf_dir, "source", "text")).withColumnsRenamed(
         {"source": "prompt", "text": "answer"}
     )
 
@@ -374,7 +373,7 @@ def dpo_batches_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shard_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offline shards with byte-pair ids: a scan and its projections, no shuffle."""
-    indexed = indexed_documents(spark, sf_dir, "source", "text").withColumnsRenamed(
+    indexed = spread(indexed_documents(spark, sf_dir, "source", "text"), "idx").withColumnsRenamed(
         {"source": "query", "text": "response"}
     )
     return flows.shard_flow(indexed, bpe_encoder(spark), SHARD_LENGTH, SHARD).select(
@@ -424,7 +423,7 @@ def shift_align_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_logprob_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.table(spark, sf_dir, "embeddings").select(
-        "vec_id", r6(token_logprob(F.col("embedding"), F.col("label"))).alias("logp")
+        "vec_id", rounded(token_logprob(F.col("embedding"), F.col("label"))).alias("logp")
     )
 
 
@@ -432,7 +431,7 @@ def softmax_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = A.table(spark, sf_dir, "embeddings")
     return rows.select(
         "vec_id", F.posexplode(softmax(F.col("embedding"))).alias("token_id", "p")
-    ).select("vec_id", "token_id", r6(F.col("p")).alias("p"))
+    ).select("vec_id", "token_id", rounded(F.col("p")).alias("p"))
 
 
 def _dpo_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -470,7 +469,7 @@ def chosen_nll(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = _dpo_tokens(spark, sf_dir).withColumnRenamed("policy", "logp")
     chosen = tokens.where(F.col("side") == "chosen")
     return R.token_mean_loss(chosen, ["rank", "batch_id"]).select(
-        "rank", "batch_id", r6(F.col("loss")).alias("nll_loss"), "tokens"
+        "rank", "batch_id", rounded(F.col("loss")).alias("nll_loss"), "tokens"
     )
 
 
@@ -482,14 +481,14 @@ def _sft_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sft_batch_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.batch_loss(_sft_sequences(spark, sf_dir)).select(
-        "rank", "batch_id", r6(F.col("loss")).alias("loss"), "tokens"
+        "rank", "batch_id", rounded(F.col("loss")).alias("loss"), "tokens"
     )
 
 
 def validation_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     losses = R.batch_loss(_sft_sequences(spark, sf_dir))
     return R.validation_loss(losses).select(
-        r6(F.col("validation_loss")).alias("validation_loss"), "ranks"
+        rounded(F.col("validation_loss")).alias("validation_loss"), "ranks"
     )
 
 
@@ -500,26 +499,26 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dpo_loss(spark: SparkSession, sf_dir: str, **options: object) -> DataFrame:
     return R.score_pairs(_pairs(spark, sf_dir), **options).select(
-        "rank", "batch_id", "pair_in_batch", r6(F.col("loss")).alias("loss")
+        "rank", "batch_id", "pair_in_batch", rounded(F.col("loss")).alias("loss")
     )
 
 
 def dpo_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.score_pairs(_pairs(spark, sf_dir)).select(
         "rank", "batch_id", "pair_in_batch",
-        *[r6(F.col(c)).alias(c) for c in ("chosen_reward", "rejected_reward")],
+        *[rounded(F.col(c)).alias(c) for c in ("chosen_reward", "rejected_reward")],
     )
 
 
 def reward_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.score_pairs(_pairs(spark, sf_dir)).groupBy("rank", "batch_id").agg(
-        r6(R.reward_accuracy()).alias("reward_accuracy")
+        rounded(R.reward_accuracy()).alias("reward_accuracy")
     )
 
 
 def margins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pairs(spark, sf_dir).groupBy("rank", "batch_id").agg(
-        r6(R.margin("policy")).alias("margin"), r6(R.margin("reference")).alias("margin_ref")
+        rounded(R.margin("policy")).alias("margin"), rounded(R.margin("reference")).alias("margin_ref")
     )
 
 
@@ -535,7 +534,7 @@ def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dpo_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(spark, sf_dir).select(
-        "rank", "batch_id", "pairs", *[r6(F.col(c)).alias(c) for c in REPORT_FIGURES],
+        "rank", "batch_id", "pairs", *[rounded(F.col(c)).alias(c) for c in REPORT_FIGURES],
         F.round("lr", 9).alias("lr"),
     )
 
@@ -547,7 +546,7 @@ def dpo_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     sequences_of = flows.sequence_scores(rows)
     pairs = R.pair_scores(sequences_of, ["rank", "batch_id", "pair_in_batch"])
     return R.preference_report(R.score_pairs(pairs), ["rank"]).select(
-        "pairs", *[r6(F.col(c)).alias(c) for c in REPORT_FIGURES]
+        "pairs", *[rounded(F.col(c)).alias(c) for c in REPORT_FIGURES]
     )
 
 
@@ -556,7 +555,7 @@ def dpo_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topk_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = A.table(spark, sf_dir, "embeddings")
     return sampling.topk_tokens(rows, ["vec_id"], "embedding", TOP_K).select(
-        "vec_id", "place", "token_id", r6(F.col("p")).alias("p")
+        "vec_id", "place", "token_id", rounded(F.col("p")).alias("p")
     )
 
 
@@ -569,14 +568,14 @@ def topk_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def accum_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return steps.accumulated_loss(A.step_table(spark, sf_dir), ACCUMULATION).select(
-        "rank", "window_id", "step", "steps", r6(F.col("loss")).alias("loss")
+        "rank", "window_id", "step", "steps", rounded(F.col("loss")).alias("loss")
     )
 
 
 def rank_mean_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_step = steps.rank_mean_loss(A.step_table(spark, sf_dir))
     return steps.accumulated_loss(by_step, ACCUMULATION, ()).select(
-        "window_id", "step", "steps", r6(F.col("loss")).alias("loss")
+        "window_id", "step", "steps", rounded(F.col("loss")).alias("loss")
     )
 
 
@@ -584,7 +583,7 @@ def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = steps.throughput(A.step_table(spark, sf_dir), ACCUMULATION, BATCH, BATCH_LENGTH, RANKS)
     return rates.select(
         "rank", "window_id", "step",
-        *[r6(F.col(c)).alias(c) for c in ("tokens_per_s", "rows_per_s", "true_tokens_per_s")],
+        *[rounded(F.col(c)).alias(c) for c in ("tokens_per_s", "rows_per_s", "true_tokens_per_s")],
     )
 
 
@@ -629,7 +628,7 @@ def _dpo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log lines of every rank's report, rates from the times of the step table."""
     times = A.step_table(spark, sf_dir).select(
         "rank", F.col("step").alias("batch_id"),
-        r6(F.lit(float(BATCH * ACCUMULATION)) / F.col("dt")).alias("row_per_s"),
+        rounded(F.lit(float(BATCH * ACCUMULATION)) / F.col("dt")).alias("row_per_s"),
     )
     report = dpo_report(spark, sf_dir).join(times, ["rank", "batch_id"])
     return logs.dpo_log_lines(report.withColumnRenamed("batch_id", "step"), LOG_EVERY, "rank")
@@ -651,13 +650,12 @@ def sft_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Logs of all ranks appended twice to text files and read back."""
+    """Logs of all ranks appended to text files, one run per rank, and read back."""
     path = new_path(spark, "dpo-log")
     lines = _dpo_lines(spark, sf_dir).withColumn(
         "run_id", F.concat(F.lit("rank"), F.col("rank").cast("string"))
     )
-    for _ in range(2):
-        logs.append_log(lines, path)
+    logs.append_log(lines, path)
     return logs.parse_dpo_log(logs.read_log(spark, path), "run_id")
 
 
@@ -704,7 +702,7 @@ def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = live.live_windows(live.read_log_stream(spark, f"{out}/log"), SFT_LOG_EVERY * 10)
     live.write_windows(windows, out).awaitTermination()
     return live.latest_windows(spark, out).select(
-        "run_id", "window_id", r6(F.col("loss")).alias("loss"), "lines"
+        "run_id", "window_id", rounded(F.col("loss")).alias("loss"), "lines"
     )
 
 

@@ -23,14 +23,10 @@ def dpo_log_lines(report: DataFrame, log_every: int, *keep: str) -> DataFrame:
 
     ``line_in_step`` orders the header before the figures of the same step.
     """
-    figures = [
-        F.coalesce(
-            F.col(c).cast("string") if c == "step" else shortest(F.col(c).cast("double")),
-            F.lit("nan"),
-        )
-        for c in DPO_REPORT_COLUMNS
-    ]
-    line = F.concat_ws(DPO_LOG_SEPARATOR, *figures)
+    figures = F.array(*[F.col(c).cast("double") for c in DPO_REPORT_COLUMNS[1:]])
+    # one lambda for all figures: spelled out per column the code would be too long
+    spelled = F.transform(figures, lambda x: F.coalesce(shortest(x), F.lit("nan")))
+    line = F.concat_ws(DPO_LOG_SEPARATOR, F.col("step").cast("string"), spelled)
     lines = F.when(
         F.col("step") == log_every, F.array(F.lit(DPO_HEADER), line)
     ).otherwise(F.array(line))
