@@ -25,7 +25,8 @@ def shortest(value: Column) -> Column:
     short = F.regexp_replace(mantissa, r"\.0$", "")
     digits = F.regexp_replace(short, r"\.", "")
     small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-    whole = F.rpad(digits, exponent + 1, "0")
+    # rpad would cut digits that are behind the point
+    whole = F.concat(digits, F.repeat(F.lit("0"), exponent + 1 - F.length(digits)))
     large = F.concat(
         sign,
         F.substring(whole, F.lit(1), exponent + 1),
@@ -36,7 +37,8 @@ def shortest(value: Column) -> Column:
     scientific = F.concat(
         sign, short, F.lit("e"),
         F.when(exponent < 0, F.lit("-")).otherwise(F.lit("+")),
-        F.lpad(F.abs(exponent).cast("string"), 2, "0"),
+        F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(F.lit("")),
+        F.abs(exponent).cast("string"),
     )
     magnitude = F.abs(value)
     return (
