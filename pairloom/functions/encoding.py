@@ -128,18 +128,27 @@ def encode_with_vocabulary(
 ) -> DataFrame:
     """Whole-piece lookup; a piece that is not in the vocabulary becomes its bytes.
 
-    ``vocabulary`` holds ``token`` and ``token_id`` with at most ``ID_LIMIT`` rows,
-    which is why it may be broadcast.  The rows of one key leave one task, so the
-    partial aggregation brings them together before the shuffle.
+    ``vocabulary`` holds ``token`` and a unique ``token_id`` below ``ID_LIMIT``,
+    which bounds what is broadcast.  The rows are gathered by key while they are
+    still text: splitting and lookup keep that order, so putting the ids of a row
+    together again moves nothing.
     """
-    by_piece = vocabulary.select(F.col("token").alias("piece"), "token_id").limit(ID_LIMIT)
-    exploded = df.select(*key, F.posexplode_outer(pieces(F.col(text))).alias("pos", "piece"))
+    token_id = F.col("token_id").cast("int")
+    by_piece = vocabulary.select(
+        F.col("token").alias("piece"),
+        F.when(token_id.between(0, ID_LIMIT - 1), token_id).otherwise(
+            F.raise_error(F.lit(f"a token id is not in [0, {ID_LIMIT})"))
+        ).alias("token_id"),
+    )
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    gathered = df.select(*key, text).repartition(tasks, *key)
+    exploded = gathered.select(*key, F.posexplode_outer(pieces(F.col(text))).alias("pos", "piece"))
     looked_up = exploded.join(F.broadcast(by_piece), "piece", "left").select(
         *key,
         "pos",
         F.when(F.col("piece").isNull(), int_array([]))
         .when(F.col("token_id").isNull(), ByteEncoder()(F.col("piece")))
-        .otherwise(F.array(F.col("token_id").cast("int")))
+        .otherwise(F.array(F.col("token_id")))
         .alias("piece_ids"),
     )
     ordered = F.array_sort(F.collect_list(F.struct("pos", "piece_ids")))

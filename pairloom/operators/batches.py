@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.constants import BATCH_LENGTH, END_OF_TEXT_ID, IGNORED_LABEL
@@ -17,42 +17,63 @@ from pairloom.functions.encoding import Encoder, encode_segments, int_array
 from pairloom.functions.templates import Segment, dpo_prefix, sft_prefix
 
 BATCH_KEY = ("rank", "batch_id")
+SIDES = ("chosen", "rejected")
 
 
-def sft_samples(
-    df: DataFrame, encoder: Encoder, append_end: bool = False
-) -> DataFrame:
-    """``prompt, answer`` rows to ``input_ids, label_ids, attention_mask``."""
-    prefix = F.col("_prefix_ids")
-    answer = F.col("_answer_ids")
-    ended = encoder(F.col("answer"))
+def encode_sft(df: DataFrame, encoder: Encoder, append_end: bool = False) -> DataFrame:
+    """Adds ``prefix_ids`` and ``answer_ids`` to ``prompt, answer`` rows.
+
+    These two are all that has to travel: ids, labels and masks follow from them.
+    """
+    answer = encoder(F.col("answer"))
     if append_end:
-        ended = F.concat(ended, int_array([END_OF_TEXT_ID]))
-    return (
-        df.withColumn("_prefix_ids", encode_segments(sft_prefix(F.col("prompt")), encoder))
-        .withColumn("_answer_ids", ended)
-        .withColumn("input_ids", F.concat(prefix, answer))
-        .withColumn("label_ids", S.mask_labels(prefix, answer))
-        .withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
-        .drop("_prefix_ids", "_answer_ids")
+        answer = F.concat(answer, int_array([END_OF_TEXT_ID]))
+    return df.withColumns(
+        {
+            "prefix_ids": encode_segments(sft_prefix(F.col("prompt")), encoder),
+            "answer_ids": answer,
+        }
     )
 
 
-def dpo_samples(df: DataFrame, encoder: Encoder) -> DataFrame:
-    """``prompt, chosen, rejected`` rows to ids and labels of both sides.
+def sft_samples(df: DataFrame, encoder: Encoder, append_end: bool = False) -> DataFrame:
+    """``prompt, answer`` rows to ``input_ids, label_ids, attention_mask``."""
+    prefix, answer = F.col("prefix_ids"), F.col("answer_ids")
+    return encode_sft(df, encoder, append_end).withColumns(
+        {
+            "input_ids": F.concat(prefix, answer),
+            "label_ids": S.mask_labels(prefix, answer),
+            "attention_mask": F.array_repeat(F.lit(1), F.size(prefix) + F.size(answer)),
+        }
+    ).drop("prefix_ids", "answer_ids")
+
+
+def encode_dpo(df: DataFrame, encoder: Encoder) -> DataFrame:
+    """Adds ``prefix_ids``, ``chosen_reply_ids`` and ``rejected_reply_ids``.
 
     The prompt is encoded once and shared by the two sides.
     """
-    prefix = F.col("_prefix_ids")
-    out = df.withColumn("_prefix_ids", encode_segments(dpo_prefix(F.col("prompt")), encoder))
-    for side in ("chosen", "rejected"):
-        reply = F.col(f"_{side}_reply_ids")
-        out = (
-            out.withColumn(f"_{side}_reply_ids", encoder(F.col(side)))
-            .withColumn(f"{side}_ids", F.concat(prefix, reply))
-            .withColumn(f"labels_{side}", S.mask_labels(prefix, reply))
+    return df.withColumns(
+        {
+            "prefix_ids": encode_segments(dpo_prefix(F.col("prompt")), encoder),
+            **{f"{side}_reply_ids": encoder(F.col(side)) for side in SIDES},
+        }
+    )
+
+
+def dpo_samples(df: DataFrame, encoder: Encoder) -> DataFrame:
+    """``prompt, chosen, rejected`` rows to ids and labels of both sides."""
+    prefix = F.col("prefix_ids")
+    out = encode_dpo(df, encoder)
+    for side in SIDES:
+        reply = F.col(f"{side}_reply_ids")
+        out = out.withColumns(
+            {
+                f"{side}_ids": F.concat(prefix, reply),
+                f"labels_{side}": S.mask_labels(prefix, reply),
+            }
         )
-    return out.drop("_prefix_ids", "_chosen_reply_ids", "_rejected_reply_ids")
+    return out.drop("prefix_ids", *[f"{side}_reply_ids" for side in SIDES])
 
 
 def prompt_only(df: DataFrame, encoder: Encoder, copies: int = 1) -> DataFrame:
@@ -84,24 +105,24 @@ def check_power_of_two(length: int) -> None:
 
 
 def longest_length(df: DataFrame, limit: int = BATCH_LENGTH) -> DataFrame:
-    """Adds ``batch_len``: the longest row of the batch, at most ``limit``."""
+    """Adds ``batch_len`` to encoded rows: the longest of the batch, at most ``limit``."""
+    n = F.size("prefix_ids") + F.size("answer_ids")
     batch = Window.partitionBy(*BATCH_KEY)
-    return df.withColumn(
-        "batch_len", F.least(F.lit(limit), F.max(F.size("input_ids")).over(batch))
-    )
+    return df.withColumn("batch_len", F.least(F.lit(limit), F.max(n).over(batch)))
 
 
 def pair_length(
     df: DataFrame, limit: int = BATCH_LENGTH, batch_len: str = "shortest"
 ) -> DataFrame:
-    """Adds ``batch_len`` of a batch of pairs.
+    """Adds ``batch_len`` of a batch of encoded pairs.
 
     ``shortest`` cuts all pairs to the shortest pair of the batch (a pair is as
     long as its longer side); ``longest`` cuts none but by ``limit``.
     """
     if batch_len not in ("shortest", "longest"):
         raise ValueError("batch_len must be 'shortest' or 'longest'")
-    of_pair = F.greatest(F.size("chosen_ids"), F.size("rejected_ids"))
+    replies = [F.size(f"{side}_reply_ids") for side in SIDES]
+    of_pair = F.size("prefix_ids") + F.greatest(*replies)
     over_batch = (F.min if batch_len == "shortest" else F.max)(of_pair)
     return df.withColumn(
         "batch_len",
@@ -109,48 +130,44 @@ def pair_length(
     )
 
 
+def _padded(prefix: Column, reply: Column, length: Column) -> dict[str, Column]:
+    return {
+        "x": S.pad_or_truncate(F.concat(prefix, reply), length),
+        "mask": S.attention_mask(F.size(prefix) + F.size(reply), length),
+        "y": S.pad_or_truncate(S.mask_labels(prefix, reply), length, IGNORED_LABEL),
+    }
+
+
 def sft_batches(df: DataFrame, limit: int = BATCH_LENGTH) -> DataFrame:
-    """Pads or cuts every sample to the length of its batch."""
-    length = F.col("batch_len")
+    """Pads or cuts every encoded row to the length of its batch."""
+    padded = _padded(F.col("prefix_ids"), F.col("answer_ids"), F.col("batch_len"))
     return longest_length(df, limit).select(
-        *BATCH_KEY,
-        "row_in_batch",
-        S.pad_or_truncate(F.col("input_ids"), length).alias("x"),
-        S.attention_mask(F.size("attention_mask"), length).alias("mask"),
-        S.pad_or_truncate(F.col("label_ids"), length, IGNORED_LABEL).alias("y"),
+        *BATCH_KEY, "row_in_batch", *[c.alias(name) for name, c in padded.items()]
     )
 
 
 def interleave(df: DataFrame, *carry: str) -> DataFrame:
-    """Two rows per pair, chosen before rejected, numbered ``2 * i`` and ``2 * i + 1``."""
+    """Two rows per encoded pair: chosen is row ``2 * i``, rejected row ``2 * i + 1``."""
     sides = F.array(
         *[
             F.struct(
                 F.lit(side).alias("side"),
                 (2 * F.col("row_in_batch") + offset).cast("int").alias("row_in_batch"),
                 F.col("row_in_batch").alias("pair_in_batch"),
-                F.col(f"{side}_ids").alias("ids"),
-                F.col(f"labels_{side}").alias("labels"),
+                F.col(f"{side}_reply_ids").alias("reply_ids"),
             )
-            for offset, side in enumerate(("chosen", "rejected"))
+            for offset, side in enumerate(SIDES)
         ]
     )
-    return df.select(*BATCH_KEY, *carry, F.inline(sides))
+    return df.select(*BATCH_KEY, *carry, "prefix_ids", F.inline(sides))
 
 
 def dpo_batches(
     df: DataFrame, limit: int = BATCH_LENGTH, batch_len: str = "shortest", carry: Sequence[str] = ()
 ) -> DataFrame:
-    """Pads or cuts both sides of every pair to the length of its batch."""
-    length = F.col("batch_len")
-    sides = interleave(pair_length(df, limit, batch_len), "batch_len", *carry)
-    return sides.select(
-        *BATCH_KEY,
-        *carry,
-        "row_in_batch",
-        "pair_in_batch",
-        "side",
-        S.pad_or_truncate(F.col("ids"), length).alias("x"),
-        S.attention_mask(F.size("ids"), length).alias("mask"),
-        S.pad_or_truncate(F.col("labels"), length, IGNORED_LABEL).alias("y"),
+    """Pads or cuts both sides of every encoded pair to the length of its batch."""
+    padded = _padded(F.col("prefix_ids"), F.col("reply_ids"), F.col("batch_len"))
+    return interleave(pair_length(df, limit, batch_len), "batch_len", *carry).select(
+        *BATCH_KEY, *carry, "row_in_batch", "pair_in_batch", "side",
+        *[c.alias(name) for name, c in padded.items()],
     )

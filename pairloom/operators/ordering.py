@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 # At most this many ranges: bounds the literal array of cut points, the table of
 # offsets that is broadcast, and the one-task running sum over it.
 MAX_RANGES = 32_768
-ROWS_PER_RANGE = 1_000_000
-SAMPLES_PER_RANGE = 30
+ROWS_PER_RANGE = 100_000
+SAMPLES_PER_RANGE = 10
 # Above this many files the offsets per file are no longer broadcast.
 MAX_INDEXED_FILES = 100_000
 

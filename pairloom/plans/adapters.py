@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from pairloom.constants import END_OF_TEXT_ID
 from pairloom.functions.encoding import pieces
 from pairloom.functions.sequences import lookup_label
+from pairloom.operators.ordering import dense_index
+from pairloom.scratch import new_path
 from pairloom.sources.datasets import scan, spread
 from pairloom.sources.vocabulary import with_special_tokens
 
@@ -86,22 +87,23 @@ def with_scores(rows: DataFrame, labels: str = "y") -> DataFrame:
 def word_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A vocabulary table: 256 bytes, the commonest pieces of the texts, special tokens.
 
-    Stands in for a vocabulary that is supplied.  Its size is fixed by the id range,
-    so the numbering of the pieces is a small sort.
+    Stands in for a vocabulary that is supplied; its size is fixed by the id range.
     """
+    source = table(spark, sf_dir, "documents")
     counted = (
-        spread(table(spark, sf_dir, "documents"))
+        spread(source, source)
         .select(F.explode(pieces(F.col("text"))).alias("piece"))
-        .groupBy("piece").agg(F.count("*").alias("n"))
+        .groupBy("piece").agg((-F.count("*")).alias("rarity"))
         # one-byte pieces have their byte ids already
         .where(F.octet_length("piece") > 1)
     )
-    room = END_OF_TEXT_ID - 256
-    commonest = counted.orderBy(F.desc("n"), "piece").limit(room)
-    place = F.row_number().over(Window.orderBy(F.desc("n"), "piece"))
-    words = commonest.select(
+    # counted once, then numbered without a sort in one task
+    path = new_path(spark, "pieces")
+    counted.write.parquet(path)
+    numbered = dense_index(spark.read.parquet(path), ["rarity", "piece"])
+    words = numbered.where(F.col("idx") < END_OF_TEXT_ID - 256).select(
         F.encode("piece", "UTF-8").alias("token"),
-        (place + 255).cast("int").alias("token_id"),
+        (F.col("idx") + 256).cast("int").alias("token_id"),
         F.lit(False).alias("is_special"),
     )
     single = spark.range(256).select(
@@ -109,7 +111,9 @@ def word_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").cast("int").alias("token_id"),
         F.lit(False).alias("is_special"),
     )
-    return with_special_tokens(single.unionByName(words))
+    vocabulary = new_path(spark, "vocabulary")
+    with_special_tokens(single.unionByName(words)).write.parquet(vocabulary)
+    return spark.read.parquet(vocabulary)
 
 
 def lookup_pieces(vocabulary: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,7 +63,7 @@ def sft_flow(
     limit: int = BATCH_LENGTH,
 ) -> DataFrame:
     """Indexed ``prompt, answer`` rows to padded batches."""
-    return B.sft_batches(B.sft_samples(into_batches(indexed, ranks, batch_rows, encoder), encoder), limit)
+    return B.sft_batches(B.encode_sft(into_batches(indexed, ranks, batch_rows, encoder), encoder), limit)
 
 
 def dpo_flow(
@@ -76,8 +76,8 @@ def dpo_flow(
     carry: Sequence[str] = ("rank_steps",),
 ) -> DataFrame:
     """Indexed ``prompt, chosen, rejected`` rows to padded batches of pairs."""
-    samples = B.dpo_samples(into_batches(indexed, ranks, batch_rows, encoder), encoder)
-    return B.dpo_batches(samples, limit, batch_len, carry)
+    encoded = B.encode_dpo(into_batches(indexed, ranks, batch_rows, encoder), encoder)
+    return B.dpo_batches(encoded, limit, batch_len, carry)
 
 
 def sequence_scores(rows: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
@@ -98,10 +98,9 @@ def dpo_report_flow(
     beta: float = BETA,
     label_smoothing: float = LABEL_SMOOTHING,
     loss_type: str = "sigmoid",
-    score: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Scored batch rows to one report row per rank and step."""
-    sequences = (score or (lambda r: sequence_scores(r, ("rank_steps",))))(rows)
+    sequences = sequence_scores(rows, ["rank_steps"])
     pairs = R.pair_scores(sequences, [*B.BATCH_KEY, "rank_steps", "pair_in_batch"])
     scored = R.score_pairs(pairs, beta, label_smoothing, loss_type)
     report = R.preference_report(scored, [*B.BATCH_KEY, "rank_steps"])

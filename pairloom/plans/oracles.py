@@ -419,6 +419,10 @@ SELECT doc_id, len(ids)::INTEGER AS n_ids, {text('ids')} AS ids FROM encoded""",
     "decode_ids": "SELECT doc_id, text FROM documents",
     "label_mask": f"""WITH {SFT_SAMPLES}
 SELECT conv_id, turn, {text('input_ids')} AS input_ids, {text('label_ids')} AS label_ids FROM samples""",
+    "dpo_samples": f"""WITH {PAIR_SAMPLES}
+SELECT conv_id, turn, {text('chosen_ids')} AS chosen_ids, {text('labels_chosen')} AS labels_chosen,
+       {text('rejected_ids')} AS rejected_ids, {text('labels_rejected')} AS labels_rejected
+FROM samples""",
     "attention_mask": f"""WITH {SFT_SAMPLES}
 SELECT conv_id, turn, len(input_ids)::INTEGER AS n_ids, {text(repeated(1, 'len(input_ids)'))} AS mask,
        {text(f'''list_transform(range(greatest({BATCH_LENGTH}, 0)),

@@ -76,13 +76,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(A.table(spark, sf_dir, "documents"))
+    source = A.table(spark, sf_dir, "documents")
+    return spread(source, source)
 
 
 def indexed_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return source_index(spark, f"{sf_dir}/documents.parquet", ["doc_id", *columns])
 
 
+def _indexed_texts(spark: SparkSession, sf_dir: str, names: dict[str, str]) -> DataFrame:
+    indexed = indexed_documents(spark, sf_dir, *names).withColumnsRenamed(names)
+    return spread(indexed, A.table(spark, sf_dir, "documents"), "idx")
+
+
 def sft_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_columns(A.sft_pairs(spark, sf_dir), SFT_COLUMNS, PAIR_KEY)
 
@@ -91,6 +97,13 @@ def dpo_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_columns(A.preference_pairs(spark, sf_dir), DPO_COLUMNS, PAIR_KEY)
 
 
+def dpo_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("chosen_ids", "labels_chosen", "rejected_ids", "labels_rejected")
+    return B.dpo_samples(dpo_rows(spark, sf_dir), BYTES).select(
+        *PAIR_KEY, *[joined(F.col(c)).alias(c) for c in columns]
+    )
+
+
 def scan_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(
         spark, f"{sf_dir}/documents.parquet", split="en", split_column="lang"
@@ -127,9 +140,7 @@ def shard_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _shard_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    indexed = spread(indexed_documents(spark, sf_dir, "source", "text"), "idx").withColumnsRenamed(
-        {"source": "query", "text": "response"}
-    )
+    indexed = _indexed_texts(spark, sf_dir, {"source": "query", "text": "response"})
     return flows.shard_flow(indexed, BYTES, SHARD_LENGTH, SHARD)
 
 
@@ -169,7 +180,7 @@ def encode_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _vocabulary_ids(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     vocabulary = A.word_vocabulary(spark, sf_dir)
     encoded = encode_with_vocabulary(
-        _texts(spark, sf_dir), "text", ["doc_id"], A.lookup_pieces(vocabulary)
+        A.table(spark, sf_dir, "documents"), "text", ["doc_id"], A.lookup_pieces(vocabulary)
     )
     return vocabulary, encoded
 
@@ -224,7 +235,9 @@ def attention_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pad_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sample = B.sft_samples(spread(column_mapping(spark, sf_dir)), BYTES)
+    sample = B.sft_samples(
+        map_columns(_texts(spark, sf_dir), {"prompt": "source", "answer": "text"}, ["doc_id"]), BYTES
+    )
     return sample.select(
         "doc_id",
         joined(sequences.pad_or_truncate(F.col("input_ids"), BATCH_LENGTH)).alias("x"),
@@ -319,15 +332,14 @@ def dpo_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_len_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = flows.into_batches(sft_index(spark, sf_dir), RANKS, BATCH, BYTES)
-    return B.longest_length(B.sft_samples(dealt, BYTES), BATCH_LENGTH).select(
+    return B.longest_length(B.encode_sft(dealt, BYTES), BATCH_LENGTH).select(
         "rank", "batch_id", "row_in_batch", "batch_len"
     )
 
 
 def batch_len_shortest(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = flows.into_batches(dpo_index(spark, sf_dir), RANKS, BATCH, BYTES)
-    samples = B.dpo_samples(dealt, BYTES)
-    shortest = B.pair_length(samples, BATCH_LENGTH)
+    shortest = B.pair_length(B.encode_dpo(dealt, BYTES), BATCH_LENGTH)
     both = B.pair_length(
         shortest.withColumnRenamed("batch_len", "shortest_len"), BATCH_LENGTH, "longest"
     )
@@ -347,9 +359,7 @@ def sft_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(indexed_documents(spark, sf_dir, "source", "text")).withColumnsRenamed(
-        {"source": "prompt", "text": "answer"}
-    )
+    return _indexed_texts(spark, sf_dir, {"source": "prompt", "text": "answer"})
 
 
 def sft_batches_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,9 +383,7 @@ def dpo_batches_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shard_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offline shards with byte-pair ids: a scan and its projections, no shuffle."""
-    indexed = spread(indexed_documents(spark, sf_dir, "source", "text"), "idx").withColumnsRenamed(
-        {"source": "query", "text": "response"}
-    )
+    indexed = _indexed_texts(spark, sf_dir, {"source": "query", "text": "response"})
     return flows.shard_flow(indexed, bpe_encoder(spark), SHARD_LENGTH, SHARD).select(
         "shard_id", "row_in_shard", "tokens", "length"
     )
@@ -383,9 +391,11 @@ def shard_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dpo_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = flows.into_batches(dpo_index(spark, sf_dir), RANKS, BATCH, BYTES)
-    return B.interleave(B.dpo_samples(dealt, BYTES)).select(
+    prefix, reply = F.col("prefix_ids"), F.col("reply_ids")
+    return B.interleave(B.encode_dpo(dealt, BYTES)).select(
         "rank", "batch_id", "row_in_batch", "side",
-        joined(F.col("ids")).alias("ids"), joined(F.col("labels")).alias("labels"),
+        joined(F.concat(prefix, reply)).alias("ids"),
+        joined(sequences.mask_labels(prefix, reply)).alias("labels"),
     )
 
 
@@ -726,6 +736,7 @@ QUERIES: dict[str, Query] = {
     "decode_bpe": decode_bpe,
     "decode_ids": decode_words,
     "label_mask": label_mask,
+    "dpo_samples": dpo_samples,
     "attention_mask": attention_mask,
     "pad_truncate": pad_truncate,
     "pad_eot": pad_eot,

@@ -56,13 +56,13 @@ def map_columns(
     return df.select(*keep, *[text(source).alias(name) for name, source in mapping.items()])
 
 
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Gives every core something to do when a source has fewer splits than cores.
+def spread(df: DataFrame, source: DataFrame, *by: str) -> DataFrame:
+    """Gives every core something to do when ``source`` has fewer splits than cores.
 
-    A source with enough splits, which is any large one, is left as it is.  With
-    ``by`` the rows of a task stay consecutive in these columns.
+    Rows of a source with enough splits, which is any large one, stay where they
+    are.  With ``by`` the rows of a task stay consecutive in these columns.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if source.rdd.getNumPartitions() >= cores:
         return df
     return df.repartitionByRange(cores, *by) if by else df.repartition(cores)

@@ -1,8 +1,9 @@
 """Shard numbering that goes on across micro-batches.
 
-The only state is how many rows came before.  It is kept as one small manifest
-row per epoch, so an epoch that is run again finds the same offset and
-overwrites its own output; a shard may hold rows of several epochs.
+The only state is how many rows came before.  Every epoch leaves one manifest row
+with the number of rows up to its end, and starts from that of the epoch before
+it, so an epoch that is run again finds the same offset and overwrites its own
+output; a shard may hold rows of several epochs.
 """
 
 from __future__ import annotations
@@ -17,20 +18,14 @@ from pairloom.constants import SHARD_ROWS
 from pairloom.operators.ordering import dense_index
 from pairloom.sources.shards import assign_shards
 
-MANIFEST_SCHEMA = "rows bigint, epoch bigint"
+MANIFEST_SCHEMA = "rows_so_far bigint"
 
 
 def rows_before(spark: SparkSession, manifest: str, epoch: int) -> int:
     """Rows of all epochs before this one."""
     if epoch == 0:
         return 0
-    known = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest)
-    row = known.where(F.col("epoch") < epoch).agg(
-        F.sum("rows").alias("rows"), F.count("*").alias("epochs")
-    ).first()
-    if row.epochs != epoch:
-        raise ValueError(f"manifest lists {row.epochs} epochs before epoch {epoch}")
-    return row.rows
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{manifest}/epoch={epoch - 1}").first()[0]
 
 
 def write_epoch(
@@ -45,8 +40,10 @@ def write_epoch(
     assign_shards(numbered, size, total=None).drop("idx", "n_rows").write.mode(
         "overwrite"
     ).partitionBy("shard_id").parquet(target)
-    written = spark.read.parquet(target).agg(F.count("*").alias("rows"))
-    written.write.mode("overwrite").parquet(f"{manifest}/epoch={epoch}")
+    # written last: an epoch without a manifest row is not finished
+    spark.read.parquet(target).agg(
+        (F.count("*") + F.lit(offset)).alias("rows_so_far")
+    ).write.mode("overwrite").parquet(f"{manifest}/epoch={epoch}")
 
 
 def write_stream(
