@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -100,9 +101,19 @@ def _bpe_udf(shared_ranks, pattern: str) -> Callable[[Column], Column]:
                 name="bpe", pat_str=pattern, mergeable_ranks=shared_ranks.value,
                 special_tokens={},
             )
-        encode = built["encoding"].encode_ordinary
-        ids = [None if t is None else encode(t) for t in texts.to_pylist()]
-        return pa.array(ids, type=pa.list_(pa.int32()))
+        encode = built["encoding"].encode_to_numpy
+        none = np.zeros(0, np.uint32)
+        # no special token is allowed and none is refused: their text is ordinary
+        ids = [
+            none if t is None else encode(t, allowed_special=set(), disallowed_special=())
+            for t in texts.to_pylist()
+        ]
+        ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+        return pa.ListArray.from_arrays(
+            pa.array(ends),
+            pa.array(np.concatenate([none, *ids]).astype(np.int32)),
+            mask=texts.is_null() if texts.null_count else None,
+        )
 
     encode_batch.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     return F.arrow_udf(encode_batch, "array<int>")

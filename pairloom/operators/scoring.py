@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.constants import BETA, IGNORED_LABEL, LABEL_SMOOTHING
@@ -27,6 +27,23 @@ def align_with_labels(
     return scores.join(moved, [*key, pos])
 
 
+def token_logprobs(
+    rows: DataFrame, key: Sequence[str], token: str = "token_id", logit: str = "logit",
+    label: str = "label",
+) -> DataFrame:
+    """Log-probability of the label of each position, from one row per vocabulary id.
+
+    A position has at most as many rows as there are ids, so one shuffle by
+    position serves both the maximum and the sum.
+    """
+    x = F.col(logit).cast("double")
+    topped = rows.withColumn("_top", F.max(x).over(Window.partitionBy(*key)))
+    above = x - F.col("_top")
+    return topped.groupBy(*key).agg(
+        (F.max(F.when(F.col(token) == F.col(label), above)) - F.ln(F.sum(F.exp(above)))).alias("logp")
+    )
+
+
 def sequence_logprobs(
     tokens: DataFrame, key: Sequence[str], logp: str = "logp", label: str = "label"
 ) -> DataFrame:

@@ -18,6 +18,11 @@ def accumulation_window(accumulation: int, step: str = "step") -> Column:
     return F.greatest(closing.cast("bigint"), F.lit(1).cast("bigint"))
 
 
+def closed_windows(accumulation: int, step: str = "step") -> Column:
+    """Windows closed up to a step: how often the learning rate was moved on."""
+    return F.floor(F.col(step) / F.lit(float(accumulation))).cast("bigint")
+
+
 def accumulated_loss(
     steps: DataFrame, accumulation: int, key: tuple[str, ...] = ("rank",)
 ) -> DataFrame:

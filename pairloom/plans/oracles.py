@@ -265,6 +265,13 @@ steps AS (
 total AS (SELECT count(*) // 4 AS t, count(*) // 4 // 10 AS w FROM events)"""
 
 
+def linear(step: str) -> str:
+    return (
+        f"round({Q.BASE_LR}::DOUBLE * CASE WHEN {step} < w THEN {step} / greatest(1, w)::DOUBLE"
+        f" ELSE greatest(0, 1 - ({step} - w) / greatest(1, t - w)::DOUBLE) END, 9)"
+    )
+
+
 def window_of(step: str = "step", accumulation: int = Q.ACCUMULATION) -> str:
     return f"greatest(({step} + {accumulation - 1}) // {accumulation}, 1)"
 
@@ -381,6 +388,10 @@ numbered AS (
   SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS idx, count(*) OVER () AS n_rows FROM documents
 )"""
 
+LABEL_LOGP = f"""WITH {SOFTMAX}
+SELECT vec_id, round(e - m - ln(s), 8) AS logp FROM logits JOIN sums USING (vec_id)
+WHERE token_id = label"""
+
 ORACLES: dict[str, str] = {
     "scan_split": "SELECT doc_id, lang, source, text FROM documents WHERE lang = 'en'",
     "split_slice": f"""WITH {NUMBERED_DOCUMENTS}
@@ -472,9 +483,8 @@ SELECT rank, batch_id, row_in_batch, side, {BATCH_TEXT} FROM batches""",
 SELECT rank, batch_id, row_in_batch, side, {text('ids')} AS ids, {text('labels')} AS labels FROM sides""",
     "shift_align": MOVED_SCORES,
     "shift_align_join": MOVED_SCORES,
-    "token_logprob": f"""WITH {SOFTMAX}
-SELECT vec_id, round(e - m - ln(s), 8) AS logp FROM logits JOIN sums USING (vec_id)
-WHERE token_id = label""",
+    "token_logprob": LABEL_LOGP,
+    "token_logprob_rows": LABEL_LOGP,
     "softmax_row": f"WITH {SOFTMAX} SELECT vec_id, token_id, round(p, 8) AS p FROM probs",
     "seq_logprob": f"""{pair_tokens()}
 SELECT rank, batch_id, row_in_batch, side, coalesce(sum(policy) {COUNTS}, 0) AS logp,
@@ -513,6 +523,11 @@ FROM z GROUP BY rank, batch_id""",
     "dpo_report": f"{report()} SELECT * FROM report",
     "dpo_validation": f"{pair_scores('held_out', 1)} SELECT {REPORT_FIGURES} FROM z",
     "topk_tokens": f"WITH {TOP} SELECT vec_id, place, token_id, round(p, 8) AS p FROM best",
+    "topk_rows": f"""WITH {SOFTMAX},
+rounded AS (SELECT vec_id, token_id, round(p, 8) AS p FROM probs)
+SELECT vec_id, (row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, token_id) - 1)::INTEGER AS place,
+       token_id, p
+FROM rounded QUALIFY place < {Q.TOP_K}""",
     "topk_draw": f"""WITH {TOP},
 drawn AS (
   SELECT vec_id, token_id, p, (('0x' || substr(md5('{Q.SEED}:' || vec_id || ':' || token_id), 1, 13))::BIGINT
@@ -538,8 +553,8 @@ SELECT rank, window_id, last AS step,
        round(true_rate, 8) AS true_tokens_per_s
 FROM windows""",
     "lr_linear": f"""WITH {STEPS}
-SELECT rank, step, round({Q.BASE_LR}::DOUBLE * CASE WHEN step < w THEN step / greatest(1, w)::DOUBLE
-  ELSE greatest(0, 1 - (step - w) / greatest(1, t - w)::DOUBLE) END, 9) AS lr FROM steps, total""",
+SELECT rank, step, {linear('step')} AS lr, {linear(f'(step // {Q.ACCUMULATION})')} AS lr_in_training
+FROM steps, total""",
     "lr_ramp": f"""WITH {STEPS}
 SELECT rank, step, round({Q.BASE_LR}::DOUBLE * (0.1::DOUBLE + (1 - 0.1::DOUBLE) *
   (least(step, t) / t::DOUBLE)), 9) AS lr FROM steps, total""",

@@ -444,6 +444,14 @@ def softmax_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("vec_id", "token_id", rounded(F.col("p")).alias("p"))
 
 
+def token_logprob_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from one row per vocabulary id."""
+    rows = A.table(spark, sf_dir, "embeddings").select(
+        "vec_id", "label", F.posexplode("embedding").alias("token_id", "logit")
+    )
+    return R.token_logprobs(rows, ["vec_id"]).select("vec_id", rounded(F.col("logp")).alias("logp"))
+
+
 def _dpo_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per label: both models' scores, as score files would hold them."""
     rows = _scored_dpo(spark, sf_dir)
@@ -569,6 +577,11 @@ def topk_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def topk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from one row per id, among rounded probabilities."""
+    return sampling.topk_rows(softmax_row(spark, sf_dir), ["vec_id"], k=TOP_K)
+
+
 def topk_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = A.table(spark, sf_dir, "embeddings")
     return sampling.draw_token(rows, ["vec_id"], "embedding", SEED, TOP_K)
@@ -601,25 +614,33 @@ def _total_steps(spark: SparkSession, sf_dir: str) -> int:
     return steps_per_rank(A.table(spark, sf_dir, "events").count(), A.STEP_RANKS, 1)
 
 
-def _schedule(spark: SparkSession, sf_dir: str, lr: Column) -> DataFrame:
-    return A.step_table(spark, sf_dir).select("rank", "step", F.round(lr, 9).alias("lr"))
+def _schedule(spark: SparkSession, sf_dir: str, **curves: Column) -> DataFrame:
+    return A.step_table(spark, sf_dir).select(
+        "rank", "step", *[F.round(lr, 9).alias(name) for name, lr in curves.items()]
+    )
 
 
 def lr_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = _total_steps(spark, sf_dir)
-    lr = schedules.linear_warmup_decay(F.col("step"), total // 10, total, BASE_LR)
-    return _schedule(spark, sf_dir, lr)
+
+    def at(step: Column) -> Column:
+        return schedules.linear_warmup_decay(step, total // 10, total, BASE_LR)
+
+    # in training the schedule moves on once per window, while its length counts steps
+    return _schedule(
+        spark, sf_dir, lr=at(F.col("step")), lr_in_training=at(steps.closed_windows(ACCUMULATION))
+    )
 
 
 def lr_ramp(spark: SparkSession, sf_dir: str) -> DataFrame:
     lr = schedules.linear_ramp(F.col("step"), _total_steps(spark, sf_dir), BASE_LR)
-    return _schedule(spark, sf_dir, lr)
+    return _schedule(spark, sf_dir, lr=lr)
 
 
 def lr_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = _total_steps(spark, sf_dir)
     lr = schedules.cosine(F.col("step"), total // 10, total, MAX_LR, MIN_LR)
-    return _schedule(spark, sf_dir, lr)
+    return _schedule(spark, sf_dir, lr=lr)
 
 
 CADENCE_FLAGS = ("closes_window", "logs_loss", "logs_preference", "evaluates", "saves")
@@ -762,6 +783,7 @@ QUERIES: dict[str, Query] = {
     "shift_align": shift_align,
     "shift_align_join": shift_align_join,
     "token_logprob": token_logprob_query,
+    "token_logprob_rows": token_logprob_rows,
     "softmax_row": softmax_row,
     "seq_logprob": seq_logprob,
     "reference_join": reference_join,
@@ -779,6 +801,7 @@ QUERIES: dict[str, Query] = {
     "dpo_validation": dpo_validation,
     # top-k and draws
     "topk_tokens": topk_tokens,
+    "topk_rows": topk_rows,
     "topk_draw": topk_draw,
     # steps, schedules, logs
     "accum_loss": accum_loss,

@@ -149,6 +149,18 @@ def test_softmax_of_a_wide_row_is_linear_work(spark):
         assert len(r.p) == width and sum(r.p) == pytest.approx(1.0)
 
 
+def test_token_logprob_and_top_k_from_rows(spark):
+    rows = logits(12, 40)
+    flat = [(i, i % 40, t, x) for i, r in enumerate(rows) for t, x in enumerate(r)]
+    df = spark.createDataFrame(flat, "id int, label int, token_id int, logit double").repartition(5)
+    for r in R.token_logprobs(df, ["id"]).collect():
+        assert r.logp == pytest.approx(brute.log_softmax_at(rows[r.id], r.id % 40), abs=1e-9)
+    best = sampling.topk_rows(df, ["id"], "logit", k=7).collect()
+    for i, r in enumerate(rows):
+        ranked = sorted(range(40), key=lambda t: (-r[t], t))[:7]
+        assert [b.token_id for b in sorted(best, key=lambda b: b.place) if b.id == i] == ranked
+
+
 def test_top_k_breaks_ties_by_id(spark):
     df = spark.createDataFrame([(0, [0.5, 2.0, 2.0, -1.0, 2.0])], "id int, e array<double>")
     got = sampling.topk_tokens(df, ["id"], "e", 4).orderBy("place").collect()

@@ -45,6 +45,11 @@ def test_throughput(spark):
     assert rows[0].true_tokens_per_s == pytest.approx(sum(10 + s for s in range(5)) / sum(0.25 * (1 + s % 3) for s in range(5)))
 
 
+def test_closed_windows(spark):
+    rows = spark.range(13).withColumnRenamed("id", "step").select("step", T.closed_windows(4).alias("n"))
+    assert [r.n for r in rows.orderBy("step").collect()] == [s // 4 for s in range(13)]
+
+
 def test_cadence(spark):
     rows = T.cadence(step_frame(spark, 61), 4, 6, 20, 30).collect()
     for r in rows:
