@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 import numpy as np
 import pyarrow as pa
 import tiktoken
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,32 +58,39 @@ class ByteEncoder:
 
 
 class BpeEncoder:
-    """Byte-pair ids from a ranks table; special-token text is ordinary text."""
+    """Byte-pair ids of any given encoding; special-token text is ordinary text.
+
+    The encoding is broadcast: its size is bounded by the 16-bit id range, and a
+    Python worker builds it once for all its tasks.
+    """
 
     native = False
 
-    def __init__(self, spark: SparkSession, ranks: Mapping[bytes, int]) -> None:
-        if len(ranks) > ID_LIMIT:
-            raise ValueError(f"{len(ranks)} ranks do not fit below {ID_LIMIT}")
-        self._ranks = dict(ranks)
-        self._shared = spark.sparkContext.broadcast(self._ranks)
-        self._driver_side = build_encoding(self._ranks)
-        self._udf = _bpe_udf(self._shared, BPE_PATTERN)
+    def __init__(self, spark: SparkSession, encoding: tiktoken.Encoding) -> None:
+        if encoding.n_vocab > ID_LIMIT:
+            raise ValueError(f"ids up to {encoding.max_token_value} do not fit below {ID_LIMIT}")
+        self._encoding = encoding
+        self._udf = _bpe_udf(spark.sparkContext.broadcast(encoding))
 
     def __call__(self, text: Column) -> Column:
         return self._udf(text)
 
     def constant(self, text: str) -> Column:
-        return int_array(self._driver_side.encode_ordinary(text))
+        return int_array(self._encoding.encode_ordinary(text))
 
     def vocabulary(self) -> Column:
         """Token bytes by id, for :func:`decode_ids`."""
-        by_id = {i: t.hex() for t, i in self._ranks.items()}
-        by_id |= {i: t.encode().hex() for t, i in SPECIAL_TOKENS.items()}
+        by_id = {}
+        for i in range(self._encoding.n_vocab):
+            try:
+                by_id[i] = self._encoding.decode_single_token_bytes(i).hex()
+            except KeyError:  # an id that is not used
+                continue
         return _hex_literal(by_id)
 
 
 def build_encoding(ranks: Mapping[bytes, int]) -> tiktoken.Encoding:
+    """The encoding of a ranks table, with the fixed pattern and special tokens."""
     return tiktoken.Encoding(
         name="pairloom",
         pat_str=BPE_PATTERN,
@@ -91,17 +99,10 @@ def build_encoding(ranks: Mapping[bytes, int]) -> tiktoken.Encoding:
     )
 
 
-def _bpe_udf(shared_ranks, pattern: str) -> Callable[[Column], Column]:
+def _bpe_udf(encoding: Broadcast) -> Callable[[Column], Column]:
     # The nested function travels by value, so executors need only tiktoken.
-    built: dict[str, tiktoken.Encoding] = {}
-
     def encode_batch(texts: pa.Array) -> pa.Array:
-        if "encoding" not in built:
-            built["encoding"] = tiktoken.Encoding(
-                name="bpe", pat_str=pattern, mergeable_ranks=shared_ranks.value,
-                special_tokens={},
-            )
-        encode = built["encoding"].encode_to_numpy
+        encode = encoding.value.encode_to_numpy
         none = np.zeros(0, np.uint32)
         # no special token is allowed and none is refused: their text is ordinary
         ids = [
@@ -131,7 +132,7 @@ def encode_segments(segments: Sequence[Segment], encoder: Encoder) -> Column:
 
 def pieces(text: Column) -> Column:
     """Word pieces; they cover the text completely."""
-    return F.regexp_extract_all(text, F.lit(f"({PIECE_PATTERN})"), F.lit(1))
+    return F.regexp_extract_all(text, F.lit(PIECE_PATTERN), F.lit(0))
 
 
 def encode_with_vocabulary(
@@ -162,7 +163,7 @@ def encode_with_vocabulary(
         .otherwise(F.array(F.col("token_id")))
         .alias("piece_ids"),
     )
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "piece_ids")))
+    ordered = F.sort_array(F.collect_list(F.struct("pos", "piece_ids")))
     return looked_up.groupBy(*key).agg(
         F.flatten(F.transform(ordered, lambda p: p["piece_ids"])).alias(into)
     )

@@ -114,7 +114,7 @@ def top_k(probabilities: Column, k: int) -> Column:
         probabilities, lambda p, i: F.struct((-p).alias("cost"), i.alias("token_id"))
     )
     return F.transform(
-        F.slice(F.array_sort(numbered), 1, k),
+        F.slice(F.sort_array(numbered), 1, k),
         lambda t: F.struct((-t["cost"]).alias("p"), t["token_id"].alias("token_id")),
     )
 

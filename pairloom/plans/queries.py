@@ -18,6 +18,7 @@ from pairloom.functions import schedules, sequences, templates
 from pairloom.functions.encoding import (
     BpeEncoder,
     ByteEncoder,
+    build_encoding,
     decode_ids,
     encode_segments,
     encode_with_vocabulary,
@@ -194,7 +195,7 @@ def bpe_encoder(spark: SparkSession) -> BpeEncoder:
     """The 50,256 byte-pair ranks where they are installed, else plain byte ranks."""
     path = installed_ranks_path()
     ranks = decode_ranks_file(path) if path else {bytes([i]): i for i in range(256)}
-    return BpeEncoder(spark, ranks)
+    return BpeEncoder(spark, build_encoding(ranks))
 
 
 def encode_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,6 +402,11 @@ def dpo_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- scores --------------------------------------------------------------
 
+def _logits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = A.table(spark, sf_dir, "embeddings")
+    return spread(source, source)
+
+
 def _scored_sft(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.with_scores(flows.sft_flow(sft_index(spark, sf_dir), BYTES, RANKS, BATCH))
 
@@ -432,13 +438,13 @@ def shift_align_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_logprob_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.table(spark, sf_dir, "embeddings").select(
+    return _logits(spark, sf_dir).select(
         "vec_id", rounded(token_logprob(F.col("embedding"), F.col("label"))).alias("logp")
     )
 
 
 def softmax_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = A.table(spark, sf_dir, "embeddings")
+    rows = _logits(spark, sf_dir)
     return rows.select(
         "vec_id", F.posexplode(softmax(F.col("embedding"))).alias("token_id", "p")
     ).select("vec_id", "token_id", rounded(F.col("p")).alias("p"))
@@ -446,7 +452,7 @@ def softmax_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_logprob_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from one row per vocabulary id."""
-    rows = A.table(spark, sf_dir, "embeddings").select(
+    rows = _logits(spark, sf_dir).select(
         "vec_id", "label", F.posexplode("embedding").alias("token_id", "logit")
     )
     return R.token_logprobs(rows, ["vec_id"]).select("vec_id", rounded(F.col("logp")).alias("logp"))
@@ -571,7 +577,7 @@ def dpo_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- top-k and draws -----------------------------------------------------
 
 def topk_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = A.table(spark, sf_dir, "embeddings")
+    rows = _logits(spark, sf_dir)
     return sampling.topk_tokens(rows, ["vec_id"], "embedding", TOP_K).select(
         "vec_id", "place", "token_id", rounded(F.col("p")).alias("p")
     )
@@ -583,7 +589,7 @@ def topk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topk_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = A.table(spark, sf_dir, "embeddings")
+    rows = _logits(spark, sf_dir)
     return sampling.draw_token(rows, ["vec_id"], "embedding", SEED, TOP_K)
 
 

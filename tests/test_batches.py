@@ -26,7 +26,7 @@ def encoder(request, spark):
         return ByteEncoder(), lambda t: list(t.encode())
     path = V.installed_ranks_path()
     ranks = V.decode_ranks_file(path) if path else {bytes([i]): i for i in range(256)}
-    return BpeEncoder(spark, ranks), build_encoding(ranks).encode_ordinary
+    return BpeEncoder(spark, build_encoding(ranks)), build_encoding(ranks).encode_ordinary
 
 
 def triples(rows):

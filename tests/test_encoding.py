@@ -1,4 +1,5 @@
 import pytest
+import tiktoken
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ def ranks():
 
 @pytest.fixture(scope="module")
 def bpe(spark, ranks):
-    return E.BpeEncoder(spark, ranks)
+    return E.BpeEncoder(spark, E.build_encoding(ranks))
 
 
 def frame(spark, texts=TEXTS):
@@ -139,7 +140,24 @@ def test_vocabulary_beyond_16_bits_is_refused(spark):
     with pytest.raises(ValueError):
         E.vocabulary_literal(wide)
     with pytest.raises(ValueError):
-        E.BpeEncoder(spark, {i.to_bytes(3, "big"): i for i in range(65537)})
+        E.BpeEncoder(spark, toy_encoding(65536))
+
+
+def toy_encoding(last_id):
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256}
+    return tiktoken.Encoding(
+        "toy", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={"<end>": last_id}
+    )
+
+
+def test_any_given_encoding_can_be_used(spark):
+    toy = toy_encoding(300)
+    encoder = E.BpeEncoder(spark, toy)
+    rows = frame(spark).select(
+        "text", encoder(F.col("text")).alias("ids"),
+        E.decode_ids(F.array(F.lit(256), F.lit(300), F.lit(99)), encoder.vocabulary()).alias("t"),
+    ).collect()
+    assert all(r.ids == toy.encode_ordinary(r.text) and r.t == "ab<end>c" for r in rows)
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
