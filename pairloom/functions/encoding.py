@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -120,7 +121,60 @@ def _bpe_udf(encoding: Broadcast) -> Callable[[Column], Column]:
     return F.arrow_udf(encode_batch, "array<int>")
 
 
-Encoder = ByteEncoder | BpeEncoder
+class WordEncoder:
+    """Whole-piece lookup; a piece that is not in the vocabulary becomes its bytes.
+
+    Spark splits the text; the lookup runs on whole Arrow batches, so no token ever
+    becomes a row and nothing is shuffled.
+    """
+
+    native = False
+
+    def __init__(self, spark: SparkSession, words: Mapping[str, int]) -> None:
+        if len(words) > ID_LIMIT or any(not 0 <= i < ID_LIMIT for i in words.values()):
+            raise ValueError(f"token ids must lie in [0, {ID_LIMIT})")
+        self._spark = spark
+        self._udf = _lookup_udf(
+            spark.sparkContext.broadcast(
+                (pa.array(list(words), pa.string()), np.array(list(words.values()), np.int32))
+            )
+        )
+
+    def __call__(self, text: Column) -> Column:
+        return self._udf(pieces(text))
+
+    def constant(self, text: str) -> Column:
+        return int_array(self._spark.range(1).select(self(F.lit(text))).first()[0])
+
+
+def _lookup_udf(words: Broadcast) -> Callable[[Column], Column]:
+    def look_up(rows: pa.Array) -> pa.Array:
+        known, ids = words.value
+        flat = rows.flatten()
+        place = pc.index_in(flat, value_set=known)
+        missing = place.is_null().to_numpy(zero_copy_only=False)
+        place = place.fill_null(0).to_numpy()
+        spelled = flat.filter(pa.array(missing)).cast(pa.binary())
+        lengths = pc.binary_length(spelled).to_numpy()
+        width = np.ones(len(flat), np.int64)
+        width[missing] = lengths
+        ends = np.concatenate([[0], np.cumsum(width)])
+        out = np.empty(ends[-1], np.int32)
+        out[ends[:-1][~missing]] = ids[place[~missing]]
+        # bytes of the missing pieces: place of each piece, then of each byte in it
+        first = np.repeat(ends[:-1][missing] - np.cumsum(lengths) + lengths, lengths)
+        out[first + np.arange(lengths.sum())] = np.frombuffer(b"".join(spelled.to_pylist()), np.uint8)
+        sizes = rows.value_lengths().fill_null(0).to_numpy()
+        borders = ends[np.concatenate([[0], np.cumsum(sizes)])].astype(np.int32)
+        return pa.ListArray.from_arrays(
+            pa.array(borders), pa.array(out), mask=rows.is_null() if rows.null_count else None
+        )
+
+    look_up.__annotations__ = {"rows": pa.Array, "return": pa.Array}
+    return F.arrow_udf(look_up, "array<int>")
+
+
+Encoder = ByteEncoder | BpeEncoder | WordEncoder
 
 
 def encode_segments(segments: Sequence[Segment], encoder: Encoder) -> Column:
@@ -135,38 +189,20 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PIECE_PATTERN), F.lit(0))
 
 
-def encode_with_vocabulary(
-    df: DataFrame, text: str, key: Sequence[str], vocabulary: DataFrame, into: str = "ids"
-) -> DataFrame:
-    """Whole-piece lookup; a piece that is not in the vocabulary becomes its bytes.
+def join_vocabulary(tokens: DataFrame, vocabulary: DataFrame, piece: str = "piece") -> DataFrame:
+    """Adds ``token_id`` to rows that hold one piece each; NULL if it is not known.
 
     ``vocabulary`` holds ``token`` and a unique ``token_id`` below ``ID_LIMIT``,
-    which bounds what is broadcast.  The rows are gathered by key while they are
-    still text: splitting and lookup keep that order, so putting the ids of a row
-    together again moves nothing.
+    which bounds what is broadcast.
     """
     token_id = F.col("token_id").cast("int")
     by_piece = vocabulary.select(
-        F.col("token").alias("piece"),
+        F.col("token").alias(piece),
         F.when(token_id.between(0, ID_LIMIT - 1), token_id).otherwise(
             F.raise_error(F.lit(f"a token id is not in [0, {ID_LIMIT})"))
         ).alias("token_id"),
     )
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    gathered = df.select(*key, text).repartition(tasks, *key)
-    exploded = gathered.select(*key, F.posexplode_outer(pieces(F.col(text))).alias("pos", "piece"))
-    looked_up = exploded.join(F.broadcast(by_piece), "piece", "left").select(
-        *key,
-        "pos",
-        F.when(F.col("piece").isNull(), int_array([]))
-        .when(F.col("token_id").isNull(), ByteEncoder()(F.col("piece")))
-        .otherwise(F.array(F.col("token_id")))
-        .alias("piece_ids"),
-    )
-    ordered = F.sort_array(F.collect_list(F.struct("pos", "piece_ids")))
-    return looked_up.groupBy(*key).agg(
-        F.flatten(F.transform(ordered, lambda p: p["piece_ids"])).alias(into)
-    )
+    return tokens.join(F.broadcast(by_piece), piece, "left")
 
 
 def vocabulary_literal(vocabulary: DataFrame) -> Column:

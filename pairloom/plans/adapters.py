@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.constants import END_OF_TEXT_ID
-from pairloom.functions.encoding import pieces
+from pairloom.functions.encoding import WordEncoder, pieces
 from pairloom.functions.sequences import lookup_label
 from pairloom.operators.ordering import dense_index
 from pairloom.scratch import new_path
@@ -121,3 +121,9 @@ def lookup_pieces(vocabulary: DataFrame) -> DataFrame:
     return vocabulary.where(~F.col("is_special") & (F.col("token_id") >= 256)).select(
         F.decode("token", "UTF-8").alias("token"), "token_id"
     )
+
+
+def word_encoder(vocabulary: DataFrame) -> WordEncoder:
+    """Looks whole pieces up in a vocabulary; its size is bounded by the id range."""
+    rows = lookup_pieces(vocabulary).collect()
+    return WordEncoder(vocabulary.sparkSession, {r.token: r.token_id for r in rows})

@@ -426,6 +426,8 @@ FROM numbered""",
 FROM (SELECT doc_id, {utf8('text')} AS ids FROM documents)""",
     "encode_vocab": f"""WITH {WORD_IDS}
 SELECT doc_id, len(ids)::INTEGER AS n_ids, {text('ids')} AS ids FROM encoded""",
+    "vocab_join": f"""WITH {VOCABULARY}
+SELECT doc_id, token_id, count(*) AS n FROM pieces LEFT JOIN words USING (piece) GROUP BY ALL""",
     "decode_bpe": "SELECT doc_id, text FROM documents",
     "decode_ids": "SELECT doc_id, text FROM documents",
     "label_mask": f"""WITH {SFT_SAMPLES}

@@ -21,7 +21,8 @@ from pairloom.functions.encoding import (
     build_encoding,
     decode_ids,
     encode_segments,
-    encode_with_vocabulary,
+    join_vocabulary,
+    pieces,
     vocabulary_literal,
 )
 from pairloom.functions.scores import softmax, token_logprob
@@ -180,10 +181,8 @@ def encode_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _vocabulary_ids(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     vocabulary = A.word_vocabulary(spark, sf_dir)
-    encoded = encode_with_vocabulary(
-        A.table(spark, sf_dir, "documents"), "text", ["doc_id"], A.lookup_pieces(vocabulary)
-    )
-    return vocabulary, encoded
+    encoder = A.word_encoder(vocabulary)
+    return vocabulary, _texts(spark, sf_dir).select("doc_id", encoder(F.col("text")).alias("ids"))
 
 
 def encode_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,6 +190,13 @@ def encode_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", F.size("ids").alias("n_ids"), joined(F.col("ids")).alias("ids"))
 
 
+def vocab_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of single pieces joined with the vocabulary, counted per document and id."""
+    tokens = _texts(spark, sf_dir).select("doc_id", F.explode(pieces(F.col("text"))).alias("piece"))
+    known = A.lookup_pieces(A.word_vocabulary(spark, sf_dir))
+    return join_vocabulary(tokens, known).groupBy("doc_id", "token_id").agg(F.count("*").alias("n"))
+
+
 def bpe_encoder(spark: SparkSession) -> BpeEncoder:
     """The 50,256 byte-pair ranks where they are installed, else plain byte ranks."""
     path = installed_ranks_path()
@@ -707,7 +713,8 @@ def stream_prepare_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments = templates.shard_segments(F.col("query"), F.col("response"))
 
     def prepare(rows: DataFrame) -> DataFrame:
-        named = map_columns(rows, columns, ["doc_id"])
+        shared = spread(rows, A.table(spark, sf_dir, "documents"))
+        named = map_columns(shared, columns, ["doc_id"])
         return B.shard_rows(named, segments, BYTES, SHARD_LENGTH, END_OF_PROMPT_ID).select(
             "doc_id", "tokens", "length"
         )
@@ -759,6 +766,7 @@ QUERIES: dict[str, Query] = {
     "template_shard": template_shard,
     "encode_bytes": encode_bytes,
     "encode_vocab": encode_vocab,
+    "vocab_join": vocab_join,
     "encode_bpe": encode_bpe,
     "decode_bpe": decode_bpe,
     "decode_ids": decode_words,

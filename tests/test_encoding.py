@@ -95,28 +95,54 @@ def test_pieces_cover_the_text(spark):
     assert all("".join(r.p) == r.text for r in rows)
 
 
-def test_vocabulary_lookup_falls_back_to_bytes(spark):
-    vocabulary = spark.createDataFrame([(" words", 300), ("plain", 301)], "token string, token_id int")
+def test_word_lookup_falls_back_to_bytes(spark):
+    encoder = E.WordEncoder(spark, {" words": 300, "plain": 301, "é": 302})
     got = {
-        r.id: r.ids
-        for r in E.encode_with_vocabulary(frame(spark), "text", ["id"], vocabulary).collect()
+        r.id: r.ids for r in
+        frame(spark).repartition(3).select("id", encoder(F.col("text")).alias("ids")).collect()
     }
     assert got[0] == []
     assert got[1] == [32]
     assert got[2] == [301, 300]
     assert got[4] == list("emoji 😀👩‍👩‍👧 done".encode())
+    row = spark.range(1).select(
+        E.encode_segments(["plain words", F.lit("plain é")], encoder).alias("ids")
+    ).first()
+    assert row.ids == [301, 300, 301, *" é".encode()]
 
 
-def test_vocabulary_lookup_with_one_piece_holding_most_rows(spark):
-    texts = ["hot " * 500] * 40 + ["cold"]
-    vocabulary = spark.createDataFrame([(" hot", 400), ("hot", 401)], "token string, token_id int")
-    got = {
-        r.id: r.ids for r in
-        E.encode_with_vocabulary(frame(spark, texts), "text", ["id"], vocabulary).collect()
+def test_word_lookup_of_nulls_empties_and_unknown_rows(spark):
+    encoder = E.WordEncoder(spark, {"a": 256, " a": 257})
+    texts = [None, "", "a a", "b", None, "a b a", "", "ab"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    got = {r.id: r.ids for r in df.select("id", encoder(F.col("text")).alias("ids")).collect()}
+    assert got == {
+        0: None, 1: [], 2: [256, 257], 3: [98], 4: None, 5: [256, 32, 98, 257], 6: [], 7: [97, 98]
     }
-    assert got[0] == [401] + [400] * 499 + [32]
-    assert got[40] == list(b"cold")
-    assert len(got) == 41
+
+
+def test_word_lookup_equals_plain_python_on_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = docs.select("doc_id", E.pieces(F.col("text")).alias("p")).collect()
+    words = {}
+    for r in rows[::2]:
+        for p in r.p[::3]:
+            words.setdefault(p, 256 + len(words))
+    words = {p: i for p, i in words.items() if i < 60_000}
+    encoder = E.WordEncoder(spark, words)
+    got = {r.doc_id: r.ids for r in docs.select("doc_id", encoder(F.col("text")).alias("ids")).collect()}
+    for r in rows:
+        expected = []
+        for p in r.p:
+            expected += [words[p]] if p in words else list(p.encode())
+        assert got[r.doc_id] == expected
+
+
+def test_vocabulary_join_with_one_piece_holding_most_rows(spark):
+    vocabulary = spark.createDataFrame([("hot", 400), ("warm", 401)], "token string, token_id int")
+    tokens = spark.createDataFrame([("hot",)] * 500 + [("warm",), ("cold",)], "piece string")
+    got = E.join_vocabulary(tokens, vocabulary).groupBy("piece", "token_id").count().collect()
+    assert {(r.piece, r.token_id, r["count"]) for r in got} == {("hot", 400, 500), ("warm", 401, 1), ("cold", None, 1)}
 
 
 def test_vocabulary_table_and_ranks(spark, tmp_path, ranks):
