@@ -133,9 +133,9 @@ def js_distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance (base 2) of two arrays of counts; 0 where one of them is empty."""
     let = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
-    part = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
+    part = lambda x, m: F.when(x.isNull(), x).when(x > 0, x * F.log2(x / m)).otherwise(0.0)  # noqa: E731  null: no histogram
     pairs = let(F.struct(total(p).alias("p"), total(q).alias("q")), lambda t: F.transform(
-        F.arrays_zip(p.alias("p"), q.alias("q")), lambda x: F.struct((x["p"] / t["p"]).alias("p"), (x["q"] / t["q"]).alias("q"))
+        F.arrays_zip(p.alias("p"), q.alias("q")), lambda x: F.struct(F.try_divide(x["p"], t["p"]).alias("p"), F.try_divide(x["q"], t["q"]).alias("q"))
     ))
     divergence = F.aggregate(
         F.transform(pairs, lambda x: part(x["p"], (x["p"] + x["q"]) / 2) + part(x["q"], (x["p"] + x["q"]) / 2)),

@@ -124,7 +124,7 @@ def _search(codes: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int, seg
                     rows = rows[unseen[rows]]
                 unseen[rows] = False
                 found = np.concatenate([found, rows])
-                distances = np.concatenate([distances, np.bitwise_count(codes[rows] ^ query).astype(np.int64)])
+                distances = np.concatenate([distances, np.bitwise_count((codes[rows] ^ query).view(np.uint64)).astype(np.int64)])
                 if len(found) > k:
                     best = np.lexsort((ids[found], distances))[:k]
                     found, distances = found[best], distances[best]

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import zstandard
-from pyarrow import fs
+from pyarrow import fs  # its streams would unpack .zst names by themselves
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -206,7 +206,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
         place.create_dir(path, recursive=True)
         name = f"{path}/pages-{TaskContext.get().partitionId():06d}.warc.zst"
         draft = f"{path}/.{uuid.uuid4().hex}.part"
-        with place.open_output_stream(draft) as out:
+        with place.open_output_stream(draft, compression=None) as out:
             n = write_archive(out, _again(first, some))
         place.move(draft, name)
         yield pd.DataFrame({"records": [n]})
@@ -239,7 +239,7 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = False) -> D
         place, _ = _place(folder)
         for batch in batches:
             for name in batch["path"]:
-                with place.open_input_stream(name, buffer_size=1 << 20) as source:
+                with place.open_input_stream(name, compression=None, buffer_size=1 << 20) as source:
                     rows = []
                     for data in read_archive(source):
                         one = parse(data)
