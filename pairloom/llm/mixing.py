@@ -37,8 +37,8 @@ EXCHANGES = 16
 
 
 def word_count(text: Column) -> Column:
-    flat = F.trim(F.translate(text, SPACES, " " * len(SPACES)))
-    return F.when(F.length(flat) > 0, F.size(F.split(flat, " +"))).otherwise(0).cast("bigint")
+    inner = F.btrim(text, F.lit(SPACES))
+    return F.when(inner != "", F.size(F.split(inner, f"[{SPACES}]+"))).otherwise(0).cast("bigint")
 
 
 # Targets and flow, on numbers of patterns and sources --------------------------------

@@ -57,50 +57,44 @@ def class_counts(df: DataFrame, text: str) -> DataFrame:
 
 
 def split_words(text: Column) -> Column:
-    flat = F.trim(F.translate(text, SPACES, " " * len(SPACES)))
-    return F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, " +"))
+    inner = F.btrim(text, F.lit(SPACES))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, f"[{SPACES}]+"))
 
 
-def repeated_words(words: str) -> Column:
-    """Words inside three-word windows that occur twice or more in the array."""
-    n = F.size(words)
-    bits = f"length(bin(size({words})))"
+def repeated_words(words: str, bits: str) -> Column:
+    """Words inside three-word windows that occur twice or more; ``bits`` is the length of the largest position."""
     # (hash, position) in one number: the array is then sorted without objects.
     windows = F.expr(
-        f"case when size({words}) > 3 then sort_array(transform(sequence(0, size({words}) - 3), i -> "
-        f"shiftleft(xxhash64(get({words}, i), get({words}, i + 1), get({words}, i + 2)), {bits}) | i)) end"
+        f"case when size({words}) > 3 then sort_array(transform("
+        f"arrays_zip(slice({words}, 1, size({words}) - 2), slice({words}, 2, size({words}) - 2), slice({words}, 3, size({words}) - 2)), "
+        f"(x, i) -> shiftleft(xxhash64(x), {bits}) | i)) end"
     )
     let = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)  # noqa: E731  evaluated once a row
+    same = lambda a, b: F.coalesce(F.call_function("shiftrightunsigned", a.bitwiseXOR(b), F.col(bits)) == 0, F.lit(False))
+    position = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(bits)) - 1
     positions = let(windows, lambda s: F.transform(
-        F.filter(s, lambda x, i: _same(x, F.get(s, i - 1), n) | _same(x, F.get(s, i + 1), n)),
-        lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.length(F.bin(n))) - 1),
+        F.filter(s, lambda x, i: same(x, F.get(s, i - 1)) | same(x, F.get(s, i + 1))), lambda x: x.bitwiseAND(position)
     ))
+    three = F.lit(3).cast("bigint")
     covered = let(F.sort_array(positions), lambda p: F.aggregate(
-        F.transform(p, lambda x, i: F.least(F.lit(3).cast("bigint"), F.coalesce(F.get(p, i + 1) - x, F.lit(3).cast("bigint")))),
+        F.transform(p, lambda x, i: F.least(three, F.coalesce(F.get(p, i + 1) - x, three))),
         F.lit(0).cast("bigint"), lambda a, b: a + b,
     ))
     return F.coalesce(covered, F.lit(0).cast("bigint"))
 
 
-def _same(a: Column, b: Column, n: Column) -> Column:
-    bits = F.length(F.bin(n))
-    return F.coalesce(
-        F.call_function("shiftrightunsigned", a, bits) == F.call_function("shiftrightunsigned", b, bits), F.lit(False)
-    )
-
-
 def base_counts(df: DataFrame, text: str) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, and ``_words``."""
     df = class_counts(df.withColumn("_text", F.coalesce(text, F.lit(""))), "_text")
-    lines = F.filter(F.split("_text", "\n"), lambda line: F.translate(line, SPACES, "") != "")
+    lines = F.filter(F.split("_text", "\n"), lambda line: F.btrim(line, F.lit(SPACES)) != "")
     let = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)
-    df = df.withColumn("_words", split_words(F.col("_text")))
+    df = df.withColumn("_words", split_words(F.col("_text"))).withColumn("_bits", F.length(F.bin(F.size("_words"))))
     return df.withColumns({
         "n_words": F.size("_words").cast("bigint"),
         "word_chars": sum((F.col(c) for c in CLASSES[1:]), F.col(CLASSES[0])),
         "n_symbols": F.col("symbol"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
-        "n_repeat_words": repeated_words("_words"),
+        "n_repeat_words": repeated_words("_words", "_bits"),
     }).withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
@@ -157,7 +151,7 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
         joined = joined.withColumn(c, F.coalesce(c, f"all_{c}")).drop(f"all_{c}")
     counted = base_counts(joined, text)
     # Words are padded and set apart by two blanks, so each occurrence is cut out on its own.
-    padded = counted.withColumn("_padded", F.concat(F.lit(" "), F.array_join("_words", "  "), F.lit(" "))).drop("_words", "_text")
+    padded = counted.withColumn("_padded", F.concat(F.lit(" "), F.array_join("_words", "  "), F.lit(" "))).drop("_words", "_text", "_bits")
     hits = F.transform("ref_words", lambda w: (
         (F.octet_length("_padded") - F.octet_length(F.replace(F.col("_padded"), F.concat(F.lit(" "), w, F.lit(" ")), F.lit(""))))
         / (F.octet_length(w) + 2)
