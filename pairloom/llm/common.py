@@ -83,7 +83,7 @@ _IS_SPACE[[ord(c) for c in SPACES]] = True
 
 def text_slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Slices of a text column: first row, the bytes, and where each text begins and the last ends."""
-    column = pc.fill_null(texts, "").cast(pa.large_binary())
+    column = pc.fill_null(texts, b"" if pa.types.is_large_binary(texts.type) else "").cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
     row = 0
