@@ -193,8 +193,12 @@ def join_vocabulary(tokens: DataFrame, vocabulary: DataFrame, piece: str = "piec
     """Adds ``token_id`` to rows that hold one piece each; NULL if it is not known.
 
     ``vocabulary`` holds ``token`` and a unique ``token_id`` below ``ID_LIMIT``,
-    which bounds what is broadcast.
+    which bounds what is broadcast; both are checked before.
     """
+    held = vocabulary.select("token", "token_id").limit(ID_LIMIT + 1)
+    n, tokens, ids = held.agg(F.count("*"), F.countDistinct("token"), F.countDistinct("token_id")).first()
+    if n > ID_LIMIT or not n == tokens == ids:
+        raise ValueError(f"a vocabulary has at most {ID_LIMIT} rows, and each token and id once")
     token_id = F.col("token_id").cast("int")
     by_piece = vocabulary.select(
         F.col("token").alias(piece),

@@ -19,5 +19,5 @@ def range_report(df: DataFrame, ids: str, *key: str, limit: int = ID_LIMIT) -> D
 
 
 def length_violations(df: DataFrame, tokens: str, length: int) -> DataFrame:
-    """Rows whose list does not have exactly ``length`` entries."""
-    return df.where(F.size(tokens) != length)
+    """Rows whose list does not have exactly ``length`` entries, or is NULL."""
+    return df.where(~F.size(tokens).eqNullSafe(F.lit(length)))

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 MAX_RANGES = 32_768
 ROWS_PER_RANGE = 100_000
 SAMPLES_PER_RANGE = 10
-# Above this many files the offsets per file are no longer broadcast.
-MAX_INDEXED_FILES = 100_000
+# The offsets per file are broadcast, so an index over more files is refused.
+MAX_INDEXED_FILES = 1_000_000
 
 
 def dense_index(
@@ -30,9 +30,13 @@ def dense_index(
     total: str = "n_rows",
     rows_per_range: int = ROWS_PER_RANGE,
     ranges: int | None = None,
+    max_ranges: int = MAX_RANGES,
 ) -> DataFrame:
     """Adds ``index`` 0..N-1 in the order of a unique key, and N as ``total``.
 
+    ``max_ranges`` bounds the cut points; with more than ``max_ranges * rows_per_range`` rows
+    the ranges get larger, so raise it there.
+
     Before the rows themselves are shuffled once, their key columns alone are read
     three times: to count them, to sample the cut points, to count the ranges.
     """
@@ -40,7 +44,7 @@ def dense_index(
     if ranges is None:
         shuffle_tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ranges = max(2 * shuffle_tasks, -(-n_rows // rows_per_range))
-    ranges = max(1, min(ranges, MAX_RANGES, n_rows))
+    ranges = max(1, min(ranges, max_ranges, n_rows))
     cuts = _cut_points(df.select(*order_by), n_rows, ranges)
     placed = df.withColumn("_range", _range_of(cuts, ranges, order_by))
     return _number(placed, order_by, index, total)
@@ -76,6 +80,7 @@ def source_index(
     columns: Sequence[str],
     index: str = "idx",
     total: str = "n_rows",
+    max_files: int = MAX_INDEXED_FILES,
 ) -> DataFrame:
     """Dense index in source order: files by path, rows as they lie in the file.
 
@@ -89,9 +94,10 @@ def source_index(
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_place"),
     )
-    if len(source.inputFiles()) > MAX_INDEXED_FILES:
-        return dense_index(placed, ["_file", "_place"], index, total).drop("_file", "_place")
-    offsets = _offsets(placed.groupBy("_file").agg(F.count("*").alias("_rows")), "_file", total)
+    rows_of = placed.groupBy("_file").agg(F.count("*").alias("_rows"))
+    if rows_of.limit(max_files + 1).count() > max_files:
+        raise ValueError(f"more than {max_files} files: raise max_files, or order by a key with dense_index")
+    offsets = _offsets(rows_of, "_file", total)
     return (
         placed.join(F.broadcast(offsets), "_file")
         .withColumn(index, F.col("_offset") + F.col("_place"))

@@ -22,9 +22,36 @@ MODELS = ("policy", "reference")
 def align_with_labels(
     scores: DataFrame, labels: DataFrame, key: Sequence[str], pos: str = "pos"
 ) -> DataFrame:
-    """Rows of scores at ``pos`` beside rows of labels at ``pos + 1``."""
-    moved = labels.withColumn(pos, F.col(pos) - 1)
-    return scores.join(moved, [*key, pos])
+    """Rows of labels at ``pos + 1`` beside rows of scores at ``pos``.
+
+    Every label but the first of a sequence stays, also where its score is missing;
+    the sums below then refuse it.
+    """
+    moved = labels.withColumn(pos, F.col(pos) - 1).where(F.col(pos) >= 0)
+    return moved.join(scores, [*key, pos], "left").select(
+        *key, pos, *[c for c in scores.columns if c not in (*key, pos)],
+        *[c for c in labels.columns if c not in (*key, pos)],
+    )
+
+
+def unmatched(
+    scores: DataFrame, labels: DataFrame, key: Sequence[str], pos: str = "pos", label: str = "label",
+    logp: str = "logp",
+) -> DataFrame:
+    """Per sequence the labels that count but have no score, and the scores that have no label."""
+    moved = labels.withColumn(pos, F.col(pos) - 1).where(F.col(pos) >= 0).withColumn("_label", F.lit(True))
+    sides = moved.select(*key, pos, label, "_label").join(
+        scores.select(*key, pos, F.col(logp).alias("_logp"), F.lit(True).alias("_score")), [*key, pos], "full"
+    )
+    counted = F.col("_label") & (F.col(label) != IGNORED_LABEL) & F.col("_logp").isNull()
+    return sides.groupBy(*key).agg(
+        F.count_if(counted).alias("labels_without_score"),
+        F.count_if(F.col("_score") & F.col("_label").isNull()).alias("scores_without_label"),
+    ).where("labels_without_score > 0 OR scores_without_label > 0")
+
+
+def _present(logp: str) -> Column:
+    return F.coalesce(F.col(logp), F.raise_error(F.lit("a label that counts has no score")).cast("double"))
 
 
 def token_logprobs(
@@ -50,7 +77,7 @@ def sequence_logprobs(
     """Sum of log-probabilities and number of labels that count, from token rows."""
     counts = F.col(label) != IGNORED_LABEL
     return tokens.groupBy(*key).agg(
-        F.sum(F.when(counts, F.col(logp)).otherwise(F.lit(0.0))).alias("logp"),
+        F.sum(F.when(counts, _present(logp)).otherwise(F.lit(0.0))).alias("logp"),
         F.count_if(counts).alias("tokens"),
     )
 
@@ -59,7 +86,7 @@ def token_mean_loss(tokens: DataFrame, key: Sequence[str]) -> DataFrame:
     """Mean of -logp over the labels that count; NULL where there are none."""
     counts = F.col("label") != IGNORED_LABEL
     return tokens.groupBy(*key).agg(
-        F.avg(F.when(counts, -F.col("logp"))).alias("loss"),
+        F.avg(F.when(counts, -_present("logp"))).alias("loss"),
         F.count_if(counts).alias("tokens"),
     )
 
@@ -85,10 +112,15 @@ def validation_loss(batch_losses: DataFrame, how: str = "sum") -> DataFrame:
 def join_reference(
     policy: DataFrame, reference: DataFrame, key: Sequence[str]
 ) -> DataFrame:
-    """Sequence sums of two models side by side; one row per sequence on each side."""
-    return policy.select(*key, F.col("logp").alias("policy_logp"), "tokens").join(
-        reference.select(*key, F.col("logp").alias("reference_logp")), list(key)
+    """Sequence sums of two models side by side; a sequence that one of them lacks fails the job."""
+    joined = policy.select(*key, F.col("logp").alias("policy_logp"), "tokens").join(
+        reference.select(*key, F.col("logp").alias("reference_logp")), list(key), "full"
     )
+    sums = {
+        c: F.coalesce(F.col(c), F.raise_error(F.lit(f"a sequence has no {c}")).cast("double"))
+        for c in ("policy_logp", "reference_logp")
+    }
+    return joined.withColumns(sums)
 
 
 def pair_scores(

@@ -9,15 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.constants import END_OF_TEXT_ID
+from pairloom.constants import END_OF_TEXT_ID, ID_LIMIT
 from pairloom.functions.encoding import WordEncoder, pieces
 from pairloom.functions.sequences import lookup_label
 from pairloom.operators.ordering import dense_index
 from pairloom.scratch import new_path
-from pairloom.sources.datasets import scan, spread
+from pairloom.sources.datasets import scan
 from pairloom.sources.vocabulary import with_special_tokens
 
 STEP_RANKS = 4
+TEST_TASKS = 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,14 +85,18 @@ def with_scores(rows: DataFrame, labels: str = "y") -> DataFrame:
     )
 
 
+def dealt(df: DataFrame, *by: str) -> DataFrame:
+    """The test tables are single files with one row group: their rows are always dealt to 16 tasks."""
+    return df.repartitionByRange(TEST_TASKS, *by) if by else df.repartition(TEST_TASKS)
+
+
 def word_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A vocabulary table: 256 bytes, the commonest pieces of the texts, special tokens.
 
     Stands in for a vocabulary that is supplied; its size is fixed by the id range.
     """
-    source = table(spark, sf_dir, "documents")
     counted = (
-        spread(source, source)
+        dealt(table(spark, sf_dir, "documents"))
         .select(F.explode(pieces(F.col("text"))).alias("piece"))
         .groupBy("piece").agg((-F.count("*")).alias("rarity"))
         # one-byte pieces have their byte ids already
@@ -125,5 +130,5 @@ def lookup_pieces(vocabulary: DataFrame) -> DataFrame:
 
 def word_encoder(vocabulary: DataFrame) -> WordEncoder:
     """Looks whole pieces up in a vocabulary; its size is bounded by the id range."""
-    rows = lookup_pieces(vocabulary).collect()
+    rows = lookup_pieces(vocabulary).limit(ID_LIMIT + 1).collect()
     return WordEncoder(vocabulary.sparkSession, {r.token: r.token_id for r in rows})

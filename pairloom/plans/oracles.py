@@ -411,10 +411,11 @@ SELECT doc_id, (idx // {Q.SHARD})::INTEGER AS shard_id, (idx % {Q.SHARD})::INTEG
 FROM numbered""",
     "shard_sink": f"""WITH {SHARD_IDS},
 numbered AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM shard_tokens)
-SELECT printf('documents_train_%06d', idx // {Q.SHARD}) AS shard, (idx // {Q.SHARD})::INTEGER AS shard_id,
+SELECT split, printf('documents_%s_%06d', split, idx // {Q.SHARD}) AS shard, (idx // {Q.SHARD})::INTEGER AS shard_id,
        (idx % {Q.SHARD})::INTEGER AS row_in_shard, {text('tokens')} AS tokens,
        least(len(ids), {SHARD_LENGTH})::INTEGER AS length
-FROM numbered""",
+FROM numbered, (VALUES ('train'), ('validation')) s(split)
+WHERE split = 'train' OR (idx // {Q.SHARD}) % 2 = 0""",
     "template_sft": f"""WITH {SFT} SELECT conv_id, turn,
 {quoted(SFT_PROMPT_KEY)} || prompt || {quoted(SFT_ANSWER_KEY)} || answer AS text FROM sft""",
     "template_dpo": f"""WITH {PAIRS} SELECT conv_id, turn,
@@ -573,6 +574,22 @@ SELECT rank, step, (step > 0 AND step % {Q.ACCUMULATION} = 0)::INTEGER AS closes
 FROM steps""",
     "dpo_log_lines": f"{dpo_lines()} SELECT rank, step, line_in_step, value FROM lines",
     "sft_log_lines": f"WITH {SFT_LINES} SELECT step, kind, value FROM lines",
+    "sft_log_parse": f"""WITH {SFT_LINES}
+SELECT 'run 5%' AS run_id, step, kind, split_part(value, ' ', 3)::DOUBLE AS loss FROM lines""",
+    "null_rows": """SELECT doc_id, concat_ws(',', CASE WHEN source = 'src3' THEN 'source' END,
+       CASE WHEN lang = 'es' THEN 'text' END) AS null_columns
+FROM documents WHERE source = 'src3' OR lang = 'es'""",
+    "unmatched_scores": f"""WITH rows AS (
+    SELECT event_id // 16 AS seq_id, event_id % 16 AS pos,
+           CASE WHEN event_id % 5 = 0 THEN {IGNORED_LABEL} ELSE event_id % 97 END AS label FROM events
+), s AS (SELECT seq_id, pos, true AS score FROM rows WHERE (seq_id + pos) % 11 <> 0),
+l AS (SELECT seq_id, pos - 1 AS pos, label FROM rows WHERE (seq_id + pos) % 13 <> 0 AND pos > 0),
+c AS (
+    SELECT seq_id, count(*) FILTER (score IS NULL AND label <> {IGNORED_LABEL}) AS labels_without_score,
+           count(*) FILTER (label IS NULL) AS scores_without_label
+    FROM l FULL JOIN s USING (seq_id, pos) GROUP BY seq_id
+)
+SELECT * FROM c WHERE labels_without_score > 0 OR scores_without_label > 0""",
     "log_parse": f"""{dpo_lines()}
 SELECT 'rank' || rank AS run_id, {', '.join(DPO_REPORT_COLUMNS)} FROM logged""",
     "stream_prepare": f"""WITH {SHARD_IDS}

@@ -35,7 +35,7 @@ from pairloom.plans import adapters as A
 from pairloom.plans import flows
 from pairloom.scratch import new_path
 from pairloom.sources import logs, shards
-from pairloom.sources.datasets import DPO_COLUMNS, SFT_COLUMNS, map_columns, scan, spread
+from pairloom.sources.datasets import DPO_COLUMNS, SFT_COLUMNS, map_columns, null_rows, scan
 from pairloom.sources.vocabulary import decode_ranks_file, installed_ranks_path
 from pairloom.streaming import logs as live
 from pairloom.streaming import prepare as stream_prepare
@@ -78,8 +78,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = A.table(spark, sf_dir, "documents")
-    return spread(source, source)
+    return A.dealt(A.table(spark, sf_dir, "documents"))
 
 
 def indexed_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -88,7 +87,7 @@ def indexed_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFr
 
 def _indexed_texts(spark: SparkSession, sf_dir: str, names: dict[str, str]) -> DataFrame:
     indexed = indexed_documents(spark, sf_dir, *names).withColumnsRenamed(names)
-    return spread(indexed, A.table(spark, sf_dir, "documents"), "idx")
+    return A.dealt(indexed, "idx")
 
 
 def sft_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,11 +130,10 @@ def vocab_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shard_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sized = shards.assign_shards(indexed_documents(spark, sf_dir), SHARD)
-    default = shards.assign_shards(indexed_documents(spark, sf_dir)).select(
-        "doc_id", F.col("shard_id").alias("default_shard"), F.col("row_in_shard").alias("default_row")
+    default = shards.assign_shards(indexed_documents(spark, sf_dir)).withColumnsRenamed(
+        {"shard_id": "default_shard", "row_in_shard": "default_row"}
     )
-    return sized.join(default, "doc_id").select(
+    return shards.assign_shards(default, SHARD).select(
         "doc_id", "shard_id", "row_in_shard", "default_shard", "default_row",
         shards.shard_name("documents", "train", F.col("shard_id")).alias("shard"),
     )
@@ -147,9 +145,12 @@ def _shard_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shard_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = shards.write_shards(_shard_table(spark, sf_dir), new_path(spark, "shards"), "documents")
-    return spark.read.parquet(path).select(
-        "shard", "shard_id", "row_in_shard", joined(F.col("tokens")).alias("tokens"), "length"
+    """Two splits written one after the other, and both read back."""
+    folder, rows = new_path(spark, "shards"), _shard_table(spark, sf_dir)
+    shards.write_shards(rows, folder, "documents")
+    path = shards.write_shards(rows.where("shard_id % 2 = 0"), folder, "documents", "validation")
+    return shards.read_shards(spark, path).select(
+        "split", "shard", "shard_id", "row_in_shard", joined(F.col("tokens")).alias("tokens"), "length"
     )
 
 
@@ -198,10 +199,11 @@ def vocab_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bpe_encoder(spark: SparkSession) -> BpeEncoder:
-    """The 50,256 byte-pair ranks where they are installed, else plain byte ranks."""
+    """The 50,256 byte-pair ranks; without their file there is no encoder."""
     path = installed_ranks_path()
-    ranks = decode_ranks_file(path) if path else {bytes([i]): i for i in range(256)}
-    return BpeEncoder(spark, build_encoding(ranks))
+    if path is None:
+        raise FileNotFoundError("the byte-pair ranks are not installed")
+    return BpeEncoder(spark, build_encoding(decode_ranks_file(path)))
 
 
 def encode_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -409,8 +411,7 @@ def dpo_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- scores --------------------------------------------------------------
 
 def _logits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = A.table(spark, sf_dir, "embeddings")
-    return spread(source, source)
+    return A.dealt(A.table(spark, sf_dir, "embeddings"))
 
 
 def _scored_sft(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -702,6 +703,41 @@ def log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.parse_dpo_log(logs.read_log(spark, path), "run_id")
 
 
+def sft_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of a run whose name has a blank and a percent sign, appended and read back."""
+    path = new_path(spark, "sft-log")
+    logs.append_log(_sft_lines(spark, sf_dir).withColumn("run_id", F.lit("run 5%")), path)
+    return logs.parse_sft_log(logs.read_log(spark, path), "run_id")
+
+
+def null_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a mapping refuses, where two columns have NULLs."""
+    texts = documents_with_nulls(spark, sf_dir)
+    return null_rows(texts, {"prompt": "source", "answer": "text"}, ["doc_id"]).select(
+        "doc_id", F.array_join("null_columns", ",").alias("null_columns")
+    )
+
+
+def documents_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.table(spark, sf_dir, "documents").select(
+        "doc_id", F.nullif("source", F.lit("src3")).alias("source"),
+        F.when(F.col("lang") != "es", F.col("text")).alias("text"),
+    )
+
+
+def unmatched_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels without a score, and scores without a label, where both tables have gaps."""
+    n = F.col("event_id")
+    rows = A.table(spark, sf_dir, "events").select(
+        F.floor(n / 16).alias("seq_id"), (n % 16).alias("pos"),
+        F.when(n % 5 == 0, F.lit(IGNORED_LABEL)).otherwise(n % 97).cast("int").alias("label"),
+        (-(n % 31) / 16.0).alias("logp"),
+    )
+    given = rows.where("(seq_id + pos) % 11 <> 0").select("seq_id", "pos", "logp")
+    labels = rows.where("(seq_id + pos) % 13 <> 0").select("seq_id", "pos", "label")
+    return R.unmatched(given, labels, ["seq_id"])
+
+
 # ---- streaming -----------------------------------------------------------
 
 def stream_prepare_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -713,8 +749,7 @@ def stream_prepare_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments = templates.shard_segments(F.col("query"), F.col("response"))
 
     def prepare(rows: DataFrame) -> DataFrame:
-        shared = spread(rows, A.table(spark, sf_dir, "documents"))
-        named = map_columns(shared, columns, ["doc_id"])
+        named = map_columns(rows, columns, ["doc_id"])
         return B.shard_rows(named, segments, BYTES, SHARD_LENGTH, END_OF_PROMPT_ID).select(
             "doc_id", "tokens", "length"
         )
@@ -828,6 +863,9 @@ QUERIES: dict[str, Query] = {
     "dpo_log_lines": dpo_log_lines,
     "sft_log_lines": sft_log_lines,
     "log_parse": log_parse,
+    "sft_log_parse": sft_log_parse,
+    "null_rows": null_rows_query,
+    "unmatched_scores": unmatched_scores,
     # streaming
     "stream_prepare": stream_prepare_query,
     "stream_shards": stream_shards_query,

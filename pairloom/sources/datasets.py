@@ -56,13 +56,18 @@ def map_columns(
     return df.select(*keep, *[text(source).alias(name) for name, source in mapping.items()])
 
 
-def spread(df: DataFrame, source: DataFrame, *by: str) -> DataFrame:
-    """Gives every core something to do when ``source`` has fewer splits than cores.
+def null_rows(
+    df: DataFrame, mapping: Mapping[str, str], keep: Sequence[str] = ()
+) -> DataFrame:
+    """The rows that ``map_columns`` would refuse or drop, with the NULL columns' source names."""
+    columns = list(dict.fromkeys(mapping.values()))
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]))
+    return df.select(*keep, missing.alias("null_columns")).where(F.size("null_columns") > 0)
 
-    Rows of a source with enough splits, which is any large one, stay where they
-    are.  With ``by`` the rows of a task stay consecutive in these columns.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if source.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartitionByRange(cores, *by) if by else df.repartition(cores)
+
+def refuse_nulls(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
+    """``df`` itself if no mapped column holds a NULL; otherwise an error with the number of rows."""
+    found = null_rows(df, mapping).count()
+    if found:
+        raise ValueError(f"{found} rows have a NULL in {sorted(set(mapping.values()))}")
+    return df

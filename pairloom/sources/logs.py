@@ -56,16 +56,31 @@ def sft_log_lines(training: DataFrame, validation: DataFrame, log_every: int) ->
 
 
 def append_log(lines: DataFrame, path: str, run: str = "run_id") -> None:
-    """Appends ``value`` lines; every run has its own folder, every append its own files."""
-    lines.select(run, "value").write.mode("append").partitionBy(run).text(path)
+    """Appends ``value`` lines in the order of their steps, header first.
+
+    Every run has its own folder, and every append adds one file to it.
+    """
+    order = [c for c in ("step", "line_in_step", "kind") if c in lines.columns]
+    gathered = lines.repartition(run).sortWithinPartitions(run, *order)
+    gathered.select(run, "value").write.mode("append").partitionBy(run).text(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of all runs with ``run_id`` taken from the place of the file."""
-    return spark.read.text(path).select(
-        "value",
-        F.regexp_extract(F.col("_metadata.file_path"), r"/run_id=([^/]+)/", 1).alias("run_id"),
-    )
+    """Lines of all runs with ``run_id`` taken from the place of the file.
+
+    A run is a ``run_id=...`` folder as ``append_log`` makes it, or any other folder
+    that holds its log file (``logs.txt``, ``sft.txt``), whose name it then has.
+    """
+    def decoded(name: Column) -> Column:
+        return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+    place = F.col("_metadata.file_path")
+    made = F.regexp_extract(place, r"/run_id=([^/]+)/[^/]*$", 1)
+    folder = F.regexp_extract(place, r"/([^/]+)/[^/]*$", 1)
+    # the path is encoded once as such, and a partition's name once more
+    run = F.when(made != "", decoded(decoded(made))).otherwise(decoded(folder))
+    found = spark.read.option("recursiveFileLookup", "true").text(path)
+    return found.select("value", run.alias("run_id"))
 
 
 def parse_dpo_log(lines: DataFrame, *keep: str) -> DataFrame:

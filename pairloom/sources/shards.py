@@ -1,18 +1,23 @@
 """Fixed-size shards of token rows.
 
-Shards are runs of consecutive row numbers.  Row numbers are already consecutive
-inside a task, so every task writes the few shards it overlaps and no shuffle
-is needed; a shard may have several files and keeps its order in ``row_in_shard``.
+Shards are runs of consecutive row numbers.  No shuffle is needed: every task writes
+the shards it overlaps, a shard has at most one file of each task, and the rows of a
+file are in order.  Splits lie side by side; writing one leaves the others alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.constants import SHARD_ROWS
 
 
+SHARD_SCHEMA = (
+    "shard_id int, row_in_shard int, tokens array<int>, length int, split string, shard string"
+)
+
+
 def shard_size(total: Column | None, given: int | None = None) -> Column:
     """The given size, else N but at most a million, else a million if N is unknown."""
     if given is not None:
@@ -45,13 +50,19 @@ def assign_shards(
 
 
 def write_shards(df: DataFrame, folder: str, dataset: str, split: str = "train") -> str:
-    """Writes ``shard_id, row_in_shard, tokens, length`` below ``folder``; returns the path."""
+    """Writes ``shard_id, row_in_shard, tokens, length`` in place of this split; returns the data set's path."""
     path = f"{folder}/datasets/{dataset}"
     (
         df.select(
             "shard_id", "row_in_shard", "tokens", "length",
             shard_name(dataset, split, F.col("shard_id")).alias("shard"),
         )
-        .write.mode("overwrite").partitionBy("shard").parquet(path)
+        .sortWithinPartitions("shard", "row_in_shard")
+        .write.mode("overwrite").partitionBy("shard").parquet(f"{path}/split={split}")
     )
     return path
+
+
+def read_shards(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of all splits of a data set, also where they are none."""
+    return spark.read.schema(SHARD_SCHEMA).parquet(path)

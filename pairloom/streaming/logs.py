@@ -6,12 +6,15 @@ appended to a file that was already read are for the batch form.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pairloom.operators.steps import accumulation_window
 from pairloom.sources.logs import parse_sft_log
+from pairloom.streaming.prepare import ONCE
 
 
 def read_log_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -26,7 +29,9 @@ def live_windows(lines: DataFrame, accumulation: int) -> DataFrame:
     ).agg(F.sum("loss").alias("loss"), F.count("*").alias("lines"))
 
 
-def write_windows(windows: DataFrame, out: str) -> StreamingQuery:
+def write_windows(
+    windows: DataFrame, out: str, trigger: Mapping[str, object] = ONCE
+) -> StreamingQuery:
     """Writes the windows that changed, one folder per epoch; a retry overwrites its own."""
 
     def each(batch: DataFrame, epoch: int) -> None:
@@ -35,7 +40,7 @@ def write_windows(windows: DataFrame, out: str) -> StreamingQuery:
     return (
         windows.writeStream.outputMode("update").foreachBatch(each)
         .option("checkpointLocation", f"{out}/checkpoint")
-        .trigger(availableNow=True).start()
+        .trigger(**trigger).start()
     )
 
 

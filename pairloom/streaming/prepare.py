@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
+# The default trigger: everything there is, in as many batches as it takes, then stop.
+ONCE = {"availableNow": True}
+
+
 def read_stream(
     spark: SparkSession,
     path: str,
@@ -28,10 +32,11 @@ def prepare_stream(
     prepare: Callable[[DataFrame], DataFrame],
     out: str,
     checkpoint: str,
+    trigger: Mapping[str, object] = ONCE,
 ) -> StreamingQuery:
     """Applies a batch preparation to every new row and appends the result."""
     return (
         prepare(stream).writeStream.format("parquet").outputMode("append")
         .option("path", out).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(**trigger).start()
     )

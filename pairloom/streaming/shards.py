@@ -8,7 +8,7 @@ output; a shard may hold rows of several epochs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pairloom.constants import SHARD_ROWS
 from pairloom.operators.ordering import dense_index
 from pairloom.sources.shards import assign_shards
+from pairloom.streaming.prepare import ONCE
 
 MANIFEST_SCHEMA = "rows_so_far bigint"
 
@@ -37,11 +38,12 @@ def write_epoch(
     offset = rows_before(spark, manifest, epoch)
     numbered = dense_index(batch, order_by).withColumn("idx", F.col("idx") + F.lit(offset))
     target = f"{out}/rows/epoch={epoch}"
-    assign_shards(numbered, size, total=None).drop("idx", "n_rows").write.mode(
+    rows = assign_shards(numbered, size, total=None).drop("idx", "n_rows")
+    rows.sortWithinPartitions("shard_id", "row_in_shard").write.mode(
         "overwrite"
     ).partitionBy("shard_id").parquet(target)
-    # written last: an epoch without a manifest row is not finished
-    spark.read.parquet(target).agg(
+    # written last: an epoch without a manifest row is not finished; an epoch may have no rows
+    spark.read.schema(rows.schema).parquet(target).agg(
         (F.count("*") + F.lit(offset)).alias("rows_so_far")
     ).write.mode("overwrite").parquet(f"{manifest}/epoch={epoch}")
 
@@ -52,8 +54,9 @@ def write_stream(
     order_by: Sequence[str],
     out: str,
     size: int = SHARD_ROWS,
+    trigger: Mapping[str, object] = ONCE,
 ) -> StreamingQuery:
-    """Shards everything that has arrived; call again to go on."""
+    """Shards what arrives; by default everything there is, and a further call goes on."""
 
     def each(batch: DataFrame, epoch: int) -> None:
         write_epoch(prepare(batch), epoch, order_by, out, size)
@@ -61,7 +64,7 @@ def write_stream(
     return (
         stream.writeStream.foreachBatch(each)
         .option("checkpointLocation", f"{out}/checkpoint")
-        .trigger(availableNow=True).start()
+        .trigger(**trigger).start()
     )
 
 

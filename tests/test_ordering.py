@@ -70,12 +70,11 @@ def test_source_index_follows_files_and_places(spark, tmp_path):
     assert all(r.idx == r.id and r.n_rows == 100 for r in got) and len(got) == 100
 
 
-def test_source_index_with_very_many_files_sorts_instead(spark, tmp_path, monkeypatch):
+def test_source_index_over_too_many_files_is_refused(spark, tmp_path):
     spark.range(100).repartition(5).write.parquet(f"{tmp_path}/data")
-    direct = O.source_index(spark, f"{tmp_path}/data", ["id"]).collect()
-    monkeypatch.setattr(O, "MAX_INDEXED_FILES", 2)
-    sorted_way = O.source_index(spark, f"{tmp_path}/data", ["id"]).collect()
-    assert {(r.id, r.idx, r.n_rows) for r in direct} == {(r.id, r.idx, r.n_rows) for r in sorted_way}
+    assert O.source_index(spark, f"{tmp_path}/data", ["id"], max_files=5).count() == 100
+    with pytest.raises(ValueError, match="more than 2 files"):
+        O.source_index(spark, f"{tmp_path}/data", ["id"], max_files=2)
 
 
 def test_source_index_does_not_shuffle_rows(spark, sf_dir):
