@@ -196,8 +196,8 @@ def join_vocabulary(tokens: DataFrame, vocabulary: DataFrame, piece: str = "piec
     which bounds what is broadcast; both are checked before.
     """
     held = vocabulary.select("token", "token_id").limit(ID_LIMIT + 1)
-    n, tokens, ids = held.agg(F.count("*"), F.countDistinct("token"), F.countDistinct("token_id")).first()
-    if n > ID_LIMIT or not n == tokens == ids:
+    n, n_tokens, n_ids = held.agg(F.count("*"), F.countDistinct("token"), F.countDistinct("token_id")).first()
+    if n > ID_LIMIT or not n == n_tokens == n_ids:
         raise ValueError(f"a vocabulary has at most {ID_LIMIT} rows, and each token and id once")
     token_id = F.col("token_id").cast("int")
     by_piece = vocabulary.select(

@@ -108,6 +108,7 @@ def test_a_null_list_has_not_the_length(spark):
 
 def test_a_vocabulary_with_a_token_twice_is_refused(spark):
     tokens = spark.createDataFrame([("a",)], "piece string")
+    assert join_vocabulary(tokens, spark.createDataFrame([("a", 1)], "token string, token_id int")).count() == 1
     for rows in ([("a", 1), ("a", 2)], [("a", 1), ("b", 1)]):
         with pytest.raises(ValueError, match="once"):
             join_vocabulary(tokens, spark.createDataFrame(rows, "token string, token_id int"))
