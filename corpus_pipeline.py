@@ -34,12 +34,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     row = F.xxhash64(*COLUMNS)
     keyed = docs.withColumn("key", F.struct("doc_id", row.alias("row")))
     # The key is the id, then the whole row: equal ids beside different texts stay apart.
-    numbered = stored(keyed.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("key.doc_id"), F.col("key.row")).alias("key"), "text"), "keyed")
+    numbered = keyed.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("key.doc_id"), F.col("key.row")).alias("key"), "text")
     groups = jaccard_join.jaccard_components(numbered, key="key")
     first = groups.where("key = component_id").select("key.doc_id", "key.row").distinct()
+    # The ids are compared but are no key, so texts are dealt once, by their row, for the join and the copies alike.
+    same_id = F.coalesce(F.col("doc_id") == F.col("first_id"), F.col("doc_id").isNull() & F.col("first_id").isNull())
     kept = docs.withColumn("row", row).join(
-        first.withColumnsRenamed({"doc_id": "first_id", "row": "first_row"}),
-        (F.col("row") == F.col("first_row")) & F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi",
+        first.withColumnsRenamed({"doc_id": "first_id", "row": "first_row"}), (F.col("row") == F.col("first_row")) & same_id, "left_semi",
     )
     return kept.dropDuplicates(["doc_id", "row"]).select(*COLUMNS)
 
