@@ -162,12 +162,11 @@ def planned(rows: DataFrame) -> DataFrame:
         .withColumn("nth", F.row_number().over(ordered)).where("nth = 1")
         .select("sources", "bin", (F.col("rest") - F.col("upto") + F.col("words")).alias("room"))
     )
-    inside = binned.join(F.broadcast(cut), ["sources", "bin"]).select("sources", "room", "h", "size")
+    inside = binned.join(F.broadcast(cut), ["sources", "bin"]).groupBy("sources", "room", "h").agg(F.sum("size").alias("size"))
 
     def close(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         room, last, fill, open_ = int(group["room"].iloc[0]), None, [], True
-        same = group.groupby("h", sort=False)["size"].sum()
-        in_order = sorted(zip(same.index.tolist(), same.tolist()), key=lambda x: x[0] % (1 << 64))  # unsigned, as bins are
+        in_order = sorted(zip(group["h"].tolist(), group["size"].tolist()), key=lambda x: x[0] % (1 << 64))  # unsigned, as bins are
         taken: dict[int, int] = {}
         for h, size in in_order:
             if size > room:
