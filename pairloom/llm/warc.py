@@ -21,6 +21,8 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 import zstandard
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 SKIPPABLE = 0x184D2A5D
 REVISIT_BYTES = 1000
-ARCHIVE_BYTES = 64 << 20  # payload of an archive, about
+ARCHIVE_BYTES = 64 << 20  # payload after which a task begins its next archive
 SAMPLE_RECORDS = 256  # records that an archive's dictionary is trained on,
 SAMPLE_BYTES = 8192  # with so many bytes of each
 DICTIONARY_BYTES = 32 << 10
@@ -182,43 +184,42 @@ def classified(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> int:
-    """Writes every row of ``pages`` as one record into archives below ``folder``; their number of records."""
+    """Writes every row of ``pages`` as one record into archives below ``folder``; their number of records.
+
+    A task writes the rows it has after the search for equal payloads, so payloads move once at most; it
+    begins a new archive when the one at hand has come to ``archive_bytes`` of payload.
+    """
     folder = _local_uri(folder)
-    size = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    archives = max(1, -(-size // archive_bytes))
-    dealt = classified(pages).repartition(archives, F.xxhash64("page_id", "payload_digest")).sortWithinPartitions(
-        "page_id", "payload_digest", "url"
-    )
+    dealt = classified(pages).sortWithinPartitions("page_id", "payload_digest", "url")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def records() -> Iterator[bytes]:
+        def records() -> Iterator[tuple[int, bytes]]:
+            """The records, each with the number of the archive it belongs to."""
+            archive = used = 0
             for batch in batches:
                 columns = (batch[c].astype(object).where(batch[c].notna(), None) for c in
                            ("page_id", "url", "html", "payload_bytes", "payload_digest", "refers_to"))
                 for page_id, url, html, n, digest, target in zip(*columns):
-                    yield record(_whole(page_id), url, html.encode(), n, digest, _whole(target))
+                    if used >= archive_bytes:
+                        archive, used = archive + 1, 0
+                    payload = html.encode()
+                    used += len(payload)
+                    yield archive, record(_whole(page_id), url, payload, n, digest, _whole(target))
 
-        some = records()
-        first = next(some, None)
-        if first is None:
-            return
         place, path = _place(folder)
-        place.create_dir(path, recursive=True)
-        name = f"{path}/pages-{TaskContext.get().partitionId():06d}.warc.zst"
-        draft = f"{path}/.{uuid.uuid4().hex}.part"
-        with place.open_output_stream(draft, compression=None) as out:
-            n = write_archive(out, _again(first, some))
-        place.move(draft, name)
+        task = TaskContext.get().partitionId()
+        n = 0
+        for archive, some in groupby(records(), itemgetter(0)):
+            place.create_dir(path, recursive=True)
+            draft = f"{path}/.{uuid.uuid4().hex}.part"
+            with place.open_output_stream(draft, compression=None) as out:
+                n += write_archive(out, (data for _, data in some))
+            place.move(draft, f"{path}/pages-{task:06d}-{archive:04d}.warc.zst")
         yield pd.DataFrame({"records": [n]})
 
     return dealt.mapInPandas(write, "records bigint").agg(F.sum("records")).first()[0] or 0
 
 
-def _again(first: bytes, rest: Iterator[bytes]) -> Iterator[bytes]:
-    yield first
-    yield from rest
-
-
 def _whole(value) -> int | None:
     return None if value is None else int(value)
 
