@@ -104,6 +104,17 @@ def check_power_of_two(length: int) -> None:
         raise ValueError("the sequence length must be a power of 2")
 
 
+def cut_to_limit(df: DataFrame, limit: int, replies: Sequence[str]) -> DataFrame:
+    """Encoded rows with at most ``limit`` ids: the prefix first, then each reply as far as it fits.
+
+    No batch is longer than ``limit``, so the ids beyond it are in no batch; what is left is
+    as long as the whole or as ``limit``, hence lengths, masks and padding come out the same.
+    """
+    cut = df.withColumn("prefix_ids", F.slice("prefix_ids", 1, limit))
+    room = F.lit(limit) - F.size("prefix_ids")
+    return cut.withColumns({name: F.slice(name, F.lit(1), room) for name in replies})
+
+
 def longest_length(df: DataFrame, limit: int = BATCH_LENGTH) -> DataFrame:
     """Adds ``batch_len`` to encoded rows: the longest of the batch, at most ``limit``."""
     n = F.size("prefix_ids") + F.size("answer_ids")
@@ -141,7 +152,8 @@ def _padded(prefix: Column, reply: Column, length: Column) -> dict[str, Column]:
 def sft_batches(df: DataFrame, limit: int = BATCH_LENGTH) -> DataFrame:
     """Pads or cuts every encoded row to the length of its batch."""
     padded = _padded(F.col("prefix_ids"), F.col("answer_ids"), F.col("batch_len"))
-    return longest_length(df, limit).select(
+    cut = cut_to_limit(df, limit, ["answer_ids"])
+    return longest_length(cut, limit).select(
         *BATCH_KEY, "row_in_batch", *[c.alias(name) for name, c in padded.items()]
     )
 
@@ -167,7 +179,8 @@ def dpo_batches(
 ) -> DataFrame:
     """Pads or cuts both sides of every encoded pair to the length of its batch."""
     padded = _padded(F.col("prefix_ids"), F.col("reply_ids"), F.col("batch_len"))
-    return interleave(pair_length(df, limit, batch_len), "batch_len", *carry).select(
+    cut = cut_to_limit(df, limit, [f"{side}_reply_ids" for side in SIDES])
+    return interleave(pair_length(cut, limit, batch_len), "batch_len", *carry).select(
         *BATCH_KEY, *carry, "row_in_batch", "pair_in_batch", "side",
         *[c.alias(name) for name, c in padded.items()],
     )

@@ -595,9 +595,15 @@ SELECT 'rank' || rank AS run_id, {', '.join(DPO_REPORT_COLUMNS)} FROM logged""",
     "stream_prepare": f"""WITH {SHARD_IDS}
 SELECT doc_id, {text('tokens')} AS tokens, least(len(ids), {SHARD_LENGTH})::INTEGER AS length
 FROM shard_tokens""",
-    "stream_shards": f"""WITH {NUMBERED_DOCUMENTS}
-SELECT 0 AS epoch, (idx // {Q.SHARD})::INTEGER AS shard_id, (idx % {Q.SHARD})::INTEGER AS row_in_shard,
-       doc_id, n_chars FROM numbered""",
+    "stream_shards": f"""WITH {SHARD_IDS},
+parts AS (SELECT doc_id, doc_id % {Q.STREAM_PARTS} AS part FROM documents),
+placed AS (
+    SELECT doc_id, CASE WHEN part = 0 THEN 0 ELSE part + 1 END AS epoch,
+           row_number() OVER (ORDER BY part, doc_id) - 1 AS place FROM parts
+)
+SELECT epoch::INTEGER AS epoch, (place // {Q.SHARD})::INTEGER AS shard_id, (place % {Q.SHARD})::INTEGER AS row_in_shard,
+       doc_id, {text('tokens')} AS tokens, least(len(ids), {SHARD_LENGTH})::INTEGER AS length
+FROM placed JOIN shard_tokens USING (doc_id)""",
     "stream_log": f"""WITH {SFT_LINES}
 SELECT 'run0' AS run_id, {window_of('step', Q.SFT_LOG_EVERY * 10)} AS window_id,
        round(sum(split_part(value, ' ', 3)::DOUBLE), 8) AS loss, count(*) AS lines

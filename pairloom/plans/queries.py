@@ -50,6 +50,7 @@ ACCUMULATION = 8
 BASE_LR = 5e-4
 LOG_EVERY = 2
 SFT_LOG_EVERY = 16
+STREAM_PARTS = 3
 EVAL_EVERY = 500
 SAVE_EVERY = 500
 MIN_LR = 6e-5
@@ -761,15 +762,27 @@ def stream_prepare_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_shards_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that arrive in several epochs; all rows of the second are refused for their NULLs."""
     out = new_path(spark, "stream-shards")
-    source = stream_prepare.read_stream(
-        spark, sf_dir, DOCUMENT_SCHEMA, pathGlobFilter="documents.parquet"
-    )
-    stream_shards.write_stream(
-        source, lambda rows: rows.select("doc_id", "n_chars"), ["doc_id"], out, SHARD
-    ).awaitTermination()
+    folder = f"{out}/arrivals"
+    texts = A.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    columns = {"query": "source", "response": "text"}
+    segments = templates.shard_segments(F.col("query"), F.col("response"))
+
+    def prepare(rows: DataFrame) -> DataFrame:
+        named = map_columns(rows, columns, ["doc_id"], on_null="drop")
+        return B.shard_rows(named, segments, BYTES, SHARD_LENGTH, END_OF_PROMPT_ID).select(
+            "doc_id", "tokens", "length"
+        )
+
+    arrivals = [texts.where(F.col("doc_id") % STREAM_PARTS == part) for part in range(STREAM_PARTS)]
+    arrivals.insert(1, arrivals[0].withColumn("text", F.lit(None).cast("string")))
+    for arrival in arrivals:  # each call goes on where the one before ended
+        arrival.write.mode("append").parquet(folder)
+        source = stream_prepare.read_stream(spark, folder, "doc_id bigint, text string, source string")
+        stream_shards.write_stream(source, prepare, ["doc_id"], out, SHARD).awaitTermination()
     return stream_shards.read_shards(spark, out).select(
-        "epoch", "shard_id", "row_in_shard", "doc_id", "n_chars"
+        "epoch", "shard_id", "row_in_shard", "doc_id", joined(F.col("tokens")).alias("tokens"), "length"
     )
 
 

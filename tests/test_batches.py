@@ -60,6 +60,19 @@ def exchanges(df):
     return plan.count("Exchange hashpartitioning"), plan
 
 
+@pytest.mark.parametrize("limit", [1, 10, 40, 1024])
+def test_no_more_than_the_limit_reaches_the_batch(spark, limit):
+    encoder = ByteEncoder()
+    df = spark.createDataFrame(ROWS, "id int, prompt string, chosen string, rejected string")
+    rows = B.encode_dpo(df, encoder).drop("prompt", "chosen", "rejected")
+    replies = [f"{side}_reply_ids" for side in B.SIDES]
+    whole = {r.id: r for r in rows.collect()}
+    for r in B.cut_to_limit(rows, limit, replies).collect():
+        for name in replies:
+            ids = whole[r.id].prefix_ids + whole[r.id][name]
+            assert r.prefix_ids + r[name] == ids[:limit]
+
+
 def test_flow_from_source_order_shuffles_once(spark, sf_dir):
     from pairloom.operators.ordering import source_index
     indexed = source_index(spark, f"{sf_dir}/documents.parquet", ["source", "text"])
