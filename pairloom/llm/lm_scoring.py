@@ -1,17 +1,17 @@
 """Language model scores by a weighted backoff automaton.
 
-Counts: all words of all training texts (for the base score and the root), and, between words
-that make up a given share of the tokens, pairs and triples.  An n-gram that makes up
-``NGRAM_SHARE`` of the tokens becomes an arc; a history with arcs is a state.  Counts are
-discounted by an absolute amount; the mass that a history saves is the weight of its
-failure arc, which leads to the state of its shorter history, and so to the root, where
-every word has an arc.  One traversal from left to right carries the state and adds up
-log10 probabilities.  Shares, not numbers, say what becomes a state, so the automaton is
-bounded (at most 1 / ``NGRAM_SHARE`` arcs an order) though the counts grow with the input.
-
-Word counts are not bounded, so they are never broadcast: texts are cut into blocks, each
-block's distinct words are joined with the counts of all blocks by one shuffle, and come
-back to their block.
+Counts: all words, pairs and triples of all training texts.  An n-gram that was seen ``FLOOR``
+times is an arc; a history with arcs is a state.  Counts are discounted by an absolute amount;
+the mass that a history saves is the weight of its failure arc, which leads to the state of its
+shorter history, and so to the root, where every word has an arc.  A traversal from left to right
+carries the state and adds up log10 probabilities.  The state after a word is that of the longest
+history among its last two words, so a block takes the steps of all its positions at once.
+
+Neither words nor arcs are bounded, so they are never broadcast: texts are cut into blocks, and a
+block gets what its own n-grams need by shuffles.  Words are joined with the counts of all blocks.
+Pairs and triples are known by 64-bit hashes and dealt by them, packed, into parts; a part adds up
+the counts of all blocks and answers each of them.  Of the blocks that have an n-gram in a training
+text the first one owns it, so each arc adds to its history's mass once; these sums take the same way.
 
 Defined cases: a null or empty text is its end token alone; a word that was never seen has
 count 0; without training texts all counts are 0 and the scores are those of the root; a null
@@ -31,14 +31,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import stored
+from pairloom.llm.common import mix, shuffle_tasks, stored
 from pairloom.scratch import new_path
 
 BLOCK_TOKENS = 4_000_000
-WORD_SHARES = {2: 1e-4, 3: 1e-3}  # share of the tokens that a word of a pair, of a triple makes up
-NGRAM_SHARE = 1e-6
+PART_GRAMS = 1_000_000  # about as many n-grams come to one part
+FLOOR = 2  # an n-gram seen less often is no arc
 DISCOUNT = 0.5
 END = b""  # no word is empty
+_STEPS = mix(np.arange(1, 6, dtype=np.uint64)) | np.uint64(1)
 
 
 def tokens_of(text: bytes) -> list[bytes]:
@@ -107,19 +108,21 @@ def blocks(docs: DataFrame) -> DataFrame:
 
 
 def word_counts(cut: DataFrame) -> DataFrame:
-    """block, local, word, c (training occurrences everywhere), first (once a word)."""
+    """block, local, h (the word's hash), c (training occurrences everywhere), first (once a word)."""
     everywhere = Window.partitionBy("word")
     return stored(
         cut.where("word IS NOT NULL").select("block", "local", "word", "n").withColumns({
             "c": F.sum("n").over(everywhere), "first": F.min("block").over(everywhere) == F.col("block"),
-        }).drop("n"), "word-counts",
+        }).select("block", "local", F.xxhash64("word").alias("h"), "c", "first"), "word-counts",
     )
 
 
 # The automaton ---------------------------------------------------------------------
 
 class Automaton:
-    """States 0 (root), then histories of one word, then of two; arcs by ``state * size + word``.
+    """The model of few n-grams in one place; the blocks' steps are those of this one.
+
+    States 0 (root), then histories of one word, then of two; arcs by ``state * size + word``.
 
     Weights are log10 probabilities.  ``gain`` of a step is what it adds to the root's
     probability of the word, so texts with unknown words need no arcs for them.
@@ -210,126 +213,222 @@ def gain(automaton: Automaton, words: list[int], known: dict[int, tuple[float, i
     return total
 
 
-def count_ngrams(docs: DataFrame, numbers: dict[bytes, int], highest: dict[int, int]) -> DataFrame:
-    """size, gram, n over all training texts, between words whose number is below ``highest[size]``.
+# The blocks' parts of it -----------------------------------------------------------
 
-    Numbers go by falling count, so the words of triples are the first ones.  ``size`` 1 counts a word
-    as a history, and so does a pair with ``gram`` below zero for triples.
-    """
-    base = len(numbers) + 1
-    shared = docs.sparkSession.sparkContext.broadcast(numbers)
+class Block:
+    """The texts of a block, and its distinct pairs and triples in the order of their hashes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = shared.value
-        held, size = [], 0
-        for batch in batches:
-            for one in pc.fill_null(batch.column("text"), "").cast(pa.binary()):
-                found = tokens_of(one.as_py())
-                held.append(np.fromiter((lookup.get(w, -1) for w in found), np.int64, len(found)))
-                size += len(found)
-                if size >= BLOCK_TOKENS:
-                    yield counted(held)
-                    held, size = [], 0
-        if held:
-            yield counted(held)
-
-    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
-        words = np.concatenate(held)
-        starts = np.zeros(len(words) + 1, bool)
-        starts[np.cumsum([len(h) for h in held])] = True
-        sizes, grams, often = [], [], []
-
-        def add(size: int, keys: np.ndarray) -> None:
-            found, n = np.unique(keys, return_counts=True)
-            sizes.append(np.full(len(found), size))
-            grams.append(found)
-            often.append(n)
-
-        a, b = words[:-1], words[1:]
-        inner = ~starts[1:len(words)]  # the second word belongs to the same text
-        # A history counts wherever a token follows it, known or not.
-        add(1, a[inner & (a >= 0)])
-        add(2, (a * base + b)[inner & (a >= 0) & (b >= 0)])
-        if len(words) > 2:
-            few = highest[3]
-            a, b, c = words[:-2], words[1:-1], words[2:]
-            inner = inner[:-1] & inner[1:]
-            history = inner & (a >= 0) & (a < few) & (b >= 0) & (b < few)
-            add(-2, (a * base + b)[history])
-            add(3, ((a * base + b) * base + c)[history & (c >= 0) & (c < few)])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(x), t) for x, t in ((sizes, pa.int32()), (grams, pa.int64()), (often, pa.int64()))],
-            ["size", "gram", "n"],
+    def __init__(self, texts: pd.DataFrame, words: pd.DataFrame):
+        at = words["local"].to_numpy(np.int64)
+        self.c, self.hashes = np.zeros(len(words), np.int64), np.zeros(len(words), np.uint64)
+        self.c[at] = words["c"].to_numpy(np.int64)
+        self.hashes[at] = words["h"].to_numpy(np.int64).view(np.uint64)
+        sizes = np.array([len(x) // 4 for x in texts["ids"]], np.int64)
+        self.ids = np.frombuffer(b"".join(texts["ids"]), np.int32)
+        self.starts = np.cumsum(sizes) - sizes
+        self.trained = np.repeat(~texts["held_out"].to_numpy(bool), sizes)
+        inner = np.ones(len(self.ids), bool)
+        inner[self.starts] = False
+        self.pair_at = np.flatnonzero(inner)  # where the pair ends
+        self.triple_at = self.pair_at[inner[self.pair_at - 1]]
+        # By position, the number of the pair that ends there.
+        self.pairs, found = self._distinct(self.pair_at, 2)
+        self.pair_of = np.full(len(self.ids), -1, np.int32)
+        self.pair_of[self.pair_at] = found
+        self.triples, self.triple_of = self._distinct(self.triple_at, 3)
+
+    def _distinct(self, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.full(len(at), size, np.uint64)
+        for i in range(size):
+            keys += self.hashes[self.ids[at - i]] * _STEPS[i + size - 2]
+        found, where = np.unique(mix(keys), return_inverse=True)
+        return found, where.astype(np.int32)
+
+    def counts(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes, and occurrences in training texts."""
+        keys, at, of = (self.pairs, self.pair_at, self.pair_of[self.pair_at]) if size == 2 else (self.triples, self.triple_at, self.triple_of)
+        return keys, np.bincount(of[self.trained[at]], minlength=len(keys))
+
+    def root(self, scale: float) -> np.ndarray:
+        return (self.c + 0.5) / scale
+
+    def histories(self, n: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """By size the words and pairs that may have arcs, in the order of their hashes, and these."""
+        order = np.argsort(self.hashes, kind="stable")
+        order = order[self.c[order] >= FLOOR]
+        pairs = np.flatnonzero(n[2] >= FLOOR)
+        return {1: (order, self.hashes[order]), 2: (pairs, self.pairs[pairs])}
+
+    def masses(self, n: dict[int, np.ndarray], owned: dict[int, np.ndarray], scale: float) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """By size of the history what the arcs of this block's own n-grams take, and what the shorter history gives them.
+
+        A word but the end has a follower at each of its places, so its count is that of the history.
+        """
+        made = {}
+        where = np.zeros(len(self.pairs), np.int64)
+        where[self.pair_of[self.pair_at]] = self.pair_at
+        arcs = np.flatnonzero(owned[2])
+        before, word = self.ids[where[arcs] - 1], self.ids[where[arcs]]
+        add = lambda at, values, size: np.bincount(at, values, size)
+        made[1] = (add(before, (n[2][arcs] - DISCOUNT) / self.c[before], len(self.c)), add(before, self.root(scale)[word], len(self.c)))
+        where = np.zeros(len(self.triples), np.int64)
+        where[self.triple_of] = self.triple_at
+        at = where[np.flatnonzero(owned[3])]
+        head, tail = self.pair_of[at - 1], self.pair_of[at]
+        made[2] = (
+            add(head, (n[3][owned[3]] - DISCOUNT) / n[2][head], len(self.pairs)),
+            add(head, (n[2][tail] - DISCOUNT) / self.c[self.ids[at - 1]], len(self.pairs)),
         )
+        return made
+
+    def gains(self, n: dict[int, np.ndarray], failing: dict[int, np.ndarray], log: np.ndarray) -> np.ndarray:
+        """By position what its step adds to the root's probability; ``failing`` has the weights of failure arcs."""
+        gain = np.zeros(len(self.ids))
+        pair, before, word = self.pair_of[self.pair_at], self.ids[self.pair_at - 1], self.ids[self.pair_at]
+        seen = n[2][pair] >= FLOOR
+        gain[self.pair_at] = failing[1][before]
+        at = self.pair_at[seen]
+        gain[at] = np.log10((n[2][pair[seen]] - DISCOUNT) / self.c[before[seen]]) - log[word[seen]]
+        head = self.pair_of[self.triple_at - 1]
+        gain[self.triple_at] += failing[2][head]
+        seen = n[3][self.triple_of] >= FLOOR
+        at = self.triple_at[seen]
+        gain[at] = np.log10((n[3][self.triple_of[seen]] - DISCOUNT) / n[2][head[seen]]) - log[self.ids[at]]
+        return gain
+
+
+def _dealt(block: int, size: int, parts: int, keys: np.ndarray, *values: np.ndarray) -> Iterator[tuple]:
+    """Rows block, size, part, and the packed arrays of the part; ``keys`` are in order."""
+    step = (1 << 64) // parts + 1
+    cuts = [0, *np.searchsorted(keys, np.array([i * step for i in range(1, parts)], np.uint64)).tolist(), len(keys)]
+    for part, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        if a < b:
+            yield (block, size, part, *(x[a:b].tobytes() for x in (keys, *values)))
+
+
+def _joined(answers: pd.DataFrame, size: int, column: str, kind: type) -> np.ndarray:
+    """What the parts answered, in the order of the hashes."""
+    mine = answers[answers["size"] == size].sort_values("part")
+    return np.frombuffer(b"".join(mine[column]), kind)
+
+
+def _per_block(texts: DataFrame, others: list[DataFrame], run, schema: str) -> DataFrame:
+    """``run(block, texts, words, answers...)`` for each block; ``others`` are the words, then answers."""
+    given = others[0].withColumn("_of", F.lit(0))
+    for i, one in enumerate(others[1:], 1):
+        given = given.unionByName(one.withColumn("_of", F.lit(i)), allowMissingColumns=True)
+    given = given.na.fill(0)  # pandas has no null among whole numbers, and hashes are no floats
+    many = len(others)
+
+    def call(mine: pd.DataFrame, rest: pd.DataFrame) -> pd.DataFrame:
+        made = Block(mine, rest[rest["_of"] == 0])
+        return run(int(mine["block"].iloc[0]), made, mine, *(rest[rest["_of"] == i] for i in range(1, many)))
+
+    return texts.groupBy("block").cogroup(given.groupBy("block")).applyInPandas(call, schema)
+
+
+def ngram_totals(texts: DataFrame, words: DataFrame, parts: int) -> DataFrame:
+    """block, size, part, n (counts everywhere of the block's n-grams in the order of their hashes, 0 below ``FLOOR``), owned, arcs."""
+    names = ["block", "size", "part", "keys", "often"]
+
+    def send(block: int, made: Block, _: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for size in (2, 3):
+            keys, often = made.counts(size)
+            rows.extend(_dealt(block, size, parts, keys, often.astype(np.uint32)))
+        return pd.DataFrame(rows, columns=names)
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("block")
+        keys, where = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in rows["keys"]]), return_inverse=True)
+        often = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["often"]]).astype(np.int64)
+        n = np.bincount(where, often, len(keys)).astype(np.int64)  # whole below 2 ** 53
+        n[n < FLOOR] = 0
+        trained = np.flatnonzero(often)
+        first = np.full(len(keys), -1, np.int64)
+        first[where[trained[::-1]]] = trained[::-1]
+        owned = np.zeros(len(where), np.uint8)
+        owned[first[n > 0]] = 1
+        cuts = np.cumsum([0, *(len(x) // 8 for x in rows["keys"])])
+        return pd.DataFrame({
+            "block": rows["block"].to_numpy(), "size": rows["size"].to_numpy(), "part": rows["part"].to_numpy(),
+            "n": [n[where[a:b]].tobytes() for a, b in zip(cuts, cuts[1:])],
+            "owned": [owned[a:b].tobytes() for a, b in zip(cuts, cuts[1:])],
+            "arcs": [int(owned[a:b].sum()) for a, b in zip(cuts, cuts[1:])],
+        })
+
+    sent = _per_block(texts, [words], send, "block bigint, size int, part int, keys binary, often binary")
+    return stored(
+        sent.groupBy("size", "part").applyInPandas(add, "block bigint, size int, part int, n binary, owned binary, arcs bigint"), "ngrams"
+    )
 
-    counts = docs.select("text").mapInArrow(run, "size int, gram bigint, n bigint")
-    return counts.groupBy("size", "gram").agg(F.sum("n").alias("n"))
 
+def _totals(answers: pd.DataFrame) -> dict[int, np.ndarray]:
+    return {size: _joined(answers, size, "n", np.int64) for size in (2, 3)}
 
-def learned(docs: DataFrame, counts: DataFrame) -> tuple[Automaton, dict[bytes, int], int, int]:
-    """The automaton, the numbers of its words, N and V, from training ``docs`` and all word counts."""
-    row = counts.where("first").agg(F.sum("c").alias("total"), F.count_if(F.col("c") > 0).alias("words")).first()
-    total, vocabulary = row["total"] or 0, row["words"] or 0
-    least = {size: max(2, math.ceil(share * total)) for size, share in WORD_SHARES.items()}
-    often = counts.where(F.col("first") & (F.col("c") >= least[2])).select("word", "c").collect()  # at most 1 / share
-    often = sorted(((bytes(r["word"]), r["c"]) for r in often), key=lambda x: (-x[1], x[0]))
-    numbers = {w: i for i, (w, _) in enumerate(often)}
-    highest = {size: sum(c >= n for _, c in often) for size, n in least.items()}
-    base = len(numbers) + 1
-    if not numbers:
-        return Automaton({}, total, vocabulary, {}, {}, {}), numbers, total, vocabulary
-    grams = stored(count_ngrams(docs, numbers, highest), "ngrams")
-    keep = max(2, math.ceil(NGRAM_SHARE * total))
-    kept = grams.where(F.col("n") >= keep).toPandas()  # at most 1 / NGRAM_SHARE of each size
-    pairs, triples, histories = {}, {}, {}
-    for size, gram, n in zip(kept["size"].tolist(), kept["gram"].tolist(), kept["n"].tolist()):
-        if size == 1:
-            histories[(gram,)] = n
-        elif size == -2:
-            histories[divmod(gram, base)] = n
-        elif size == 2:
-            pairs[divmod(gram, base)] = n
-        else:
-            head, last = divmod(gram, base)
-            triples[(*divmod(head, base), last)] = n
-    return Automaton({i: c for i, (_, c) in enumerate(often)}, total, vocabulary, pairs, triples, histories), numbers, total, vocabulary
+
+def failure_weights(texts: DataFrame, words: DataFrame, totals: DataFrame, parts: int, scale: float) -> DataFrame:
+    """block, size, part, weight: log10 of the failure arcs' weights for ``Block.histories``; 0 where no state is."""
+
+    def send(block: int, made: Block, _: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        n = _totals(answers)
+        masses = made.masses(n, {size: _joined(answers, size, "owned", np.bool_) for size in (2, 3)}, scale)
+        rows = []
+        for size, (at, keys) in made.histories(n).items():
+            rows.extend(_dealt(block, size, parts, keys, *(x[at] for x in masses[size])))
+        return pd.DataFrame(rows, columns=["block", "size", "part", "keys", "taken", "given"])
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("block")
+        keys, where = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in rows["keys"]]), return_inverse=True)
+        taken, given = (np.bincount(where, np.concatenate([np.frombuffer(x) for x in rows[c]]), len(keys)) for c in ("taken", "given"))
+        weight = np.log10(np.maximum(1e-12, 1 - taken) / np.maximum(1e-12, 1 - given))
+        cuts = np.cumsum([0, *(len(x) // 8 for x in rows["keys"])])
+        return pd.DataFrame({
+            "block": rows["block"].to_numpy(), "size": rows["size"].to_numpy(), "part": rows["part"].to_numpy(),
+            "weight": [weight[where[a:b]].tobytes() for a, b in zip(cuts, cuts[1:])],
+        })
+
+    sent = _per_block(texts, [words, totals], send, "block bigint, size int, part int, keys binary, taken binary, given binary")
+    return sent.groupBy("size", "part").applyInPandas(add, "block bigint, size int, part int, weight binary")
 
 
 # Scores ----------------------------------------------------------------------------
 
-def scored(docs: DataFrame) -> DataFrame:
-    """key, held_out, n_tokens, n_known, train_tokens, base_score, score for ``docs`` (key, text, held_out)."""
-    spark = docs.sparkSession
+def gathered(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, int, int, int]:
+    """Texts, words and n-gram totals by block, N, V and the number of parts."""
     cut = blocks(docs)
     counts = word_counts(cut)
-    automaton, numbers, total, vocabulary = learned(docs.where("NOT held_out"), counts)
-    shared = spark.sparkContext.broadcast(automaton)
-    schema = "word binary, number int"
-    # At most 1 / WORD_SHARES[2] rows.
-    numbered = spark.createDataFrame([(bytearray(w), i) for w, i in numbers.items()], schema)
-    words = counts.join(F.broadcast(numbered), "word", "left").select("block", "local", "c", "number")
+    row = counts.where("first").agg(F.sum("c").alias("total"), F.count_if(F.col("c") > 0).alias("words")).first()
+    total, vocabulary = row["total"] or 0, row["words"] or 0
+    parts = max(shuffle_tasks(docs.sparkSession), math.ceil(2 * total / PART_GRAMS))
+    texts = cut.where("ids IS NOT NULL").select("block", "key", "held_out", "ids")
+    words = counts.select("block", "local", "h", "c")
+    return texts, words, ngram_totals(texts.drop("key"), words, parts), total, vocabulary, parts
+
+
+def scored(docs: DataFrame) -> DataFrame:
+    """key, held_out, n_tokens, n_known, train_tokens, base_score, score for ``docs`` (key, text, held_out)."""
+    texts, words, totals, total, vocabulary, parts = gathered(docs)
     scale = total + 0.5 * (vocabulary + 1)
     kind = docs.schema["key"].dataType.simpleString()
-
-    def score(texts: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        c = np.zeros(len(words), np.int64)
-        number = np.full(len(words), -1, np.int64)
-        at = words["local"].to_numpy(np.int64)
-        c[at] = words["c"].to_numpy(np.int64)
-        number[at] = words["number"].fillna(-1).to_numpy(np.int64)
-        log = np.log10((c + 0.5) / scale)
-        known, rows = {}, []
-        for packed in texts["ids"]:
-            ids = np.frombuffer(packed, np.int32)
-            base = float(log[ids].sum())
-            rows.append((len(ids), int(np.count_nonzero(c[ids])), base, base + gain(shared.value, number[ids].tolist(), known)))
-        out = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base_score", "score"])
-        out.insert(0, "held_out", texts["held_out"].to_numpy())
-        out.insert(0, "key", texts["key"].array)
-        out["train_tokens"] = total
-        return out
-
-    rows = cut.where("ids IS NOT NULL").select("block", "key", "held_out", "ids")
-    return rows.groupBy("block").cogroup(words.groupBy("block")).applyInPandas(
-        score, f"key {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, train_tokens bigint"
+    weights = failure_weights(texts.drop("key"), words, totals.select("block", "size", "part", "n", "owned"), parts, scale)
+
+    def score(_: int, made: Block, mine: pd.DataFrame, answers: pd.DataFrame, weights: pd.DataFrame) -> pd.DataFrame:
+        n = _totals(answers)
+        failing = {1: np.zeros(len(made.c)), 2: np.zeros(len(made.pairs))}
+        for size, (at, _) in made.histories(n).items():
+            failing[size][at] = _joined(weights, size, "weight", np.float64)
+        log = np.log10(made.root(scale))
+        base = np.add.reduceat(log[made.ids], made.starts)
+        return pd.DataFrame({
+            "key": mine["key"].array, "held_out": mine["held_out"].to_numpy(),
+            "n_tokens": np.diff(np.append(made.starts, len(made.ids))),
+            "n_known": np.add.reduceat((made.c > 0)[made.ids].astype(np.int64), made.starts), "base_score": base,
+            "score": base + np.add.reduceat(made.gains(n, failing, log), made.starts), "train_tokens": total,
+        })
+
+    return _per_block(
+        texts, [words, totals.select("block", "size", "part", "n"), weights], score,
+        f"key {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, train_tokens bigint",
     )

@@ -594,6 +594,36 @@ def test_automaton_is_a_distribution_and_does_better_on_held_out_text(spark):
     assert sum(r.score for r in rows if r.held_out) > sum(r.base_score for r in rows if r.held_out)
 
 
+def test_all_ngrams_seen_twice_are_arcs(spark):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{min(int(rng.paretovariate(0.7)), 900)}" for _ in range(rng.randrange(25))) for _ in range(1200)]
+    rows = [(i, t, i % 5 == 1) for i, t in enumerate(texts)]
+    arcs = []
+    for some in (rows[:400], rows):
+        docs = spark.createDataFrame(some, "key bigint, text string, held_out boolean").repartition(4)
+        found = {r.key: r for r in lm_scoring.scored(docs).collect()}
+        ids = defaultdict(lambda: len(ids))
+        single, pairs, triples = Counter(), Counter(), Counter()
+        # Training texts come first: the automaton's words are numbered without gaps.
+        grams = {k: [ids[w] for w in [*t.split(), ""]] for k, t, _ in sorted(some, key=lambda r: r[2])}
+        for k, _, held in some:
+            if not held:
+                g = grams[k]
+                single.update(g)
+                pairs.update(zip(g, g[1:]))
+                triples.update(zip(g, g[1:], g[2:]))
+        histories = {(w,): n for w, n in single.items()} | dict(pairs)
+        kept = [{g: n for g, n in x.items() if n >= lm_scoring.FLOOR} for x in (pairs, triples)]
+        a = lm_scoring.Automaton(dict(single), sum(single.values()), len(single), *kept, histories)
+        for k, g in grams.items():
+            gain = lm_scoring.gain(a, [w if w in single else -1 for w in g], {})
+            assert found[k].score == pytest.approx(found[k].base_score + gain, abs=1e-6)
+        totals = {r["size"]: r["arcs"] for r in lm_scoring.gathered(docs)[2].groupBy("size").agg(F.sum("arcs").alias("arcs")).collect()}
+        assert totals == {2: len(kept[0]), 3: len(kept[1])}
+        arcs.append(totals)
+    assert all(arcs[1][size] > 2 * arcs[0][size] for size in (2, 3))
+
+
 # The pipeline -----------------------------------------------------------------------
 
 def test_pipeline_stage_by_stage(spark, sf_dir, folder):
