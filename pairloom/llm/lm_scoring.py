@@ -21,7 +21,7 @@ id counts as the empty text; repeated rows are scored each; an empty table gives
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,6 +39,7 @@ PART_GRAMS = 1_000_000  # about as many n-grams come to one part
 FLOOR = 2  # an n-gram seen less often is no arc
 DISCOUNT = 0.5
 END = b""  # no word is empty
+_CODEC = pa.Codec("zstd", compression_level=1)
 _STEPS = mix(np.arange(1, 6, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -229,8 +230,13 @@ class Block:
         self.trained = np.repeat(~texts["held_out"].to_numpy(bool), sizes)
         inner = np.ones(len(self.ids), bool)
         inner[self.starts] = False
+        self.inner = inner
         self.pair_at = np.flatnonzero(inner)  # where the pair ends
         self.triple_at = self.pair_at[inner[self.pair_at - 1]]
+        # An n-gram with a word seen less often is no arc, and is not asked for.
+        common = (self.c >= FLOOR)[self.ids]
+        self.pair_at = self.pair_at[common[self.pair_at] & common[self.pair_at - 1]]
+        self.triple_at = self.triple_at[common[self.triple_at] & common[self.triple_at - 1] & common[self.triple_at - 2]]
         # By position, the number of the pair that ends there.
         self.pairs, found = self._distinct(self.pair_at, 2)
         self.pair_of = np.full(len(self.ids), -1, np.int32)
@@ -241,8 +247,14 @@ class Block:
         keys = np.full(len(at), size, np.uint64)
         for i in range(size):
             keys += self.hashes[self.ids[at - i]] * _STEPS[i + size - 2]
-        found, where = np.unique(mix(keys), return_inverse=True)
-        return found, where.astype(np.int32)
+        keys = mix(keys)
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.ones(len(keys), bool)
+        np.not_equal(keys[1:], keys[:-1], out=new[1:])
+        where = np.empty(len(keys), np.int32)
+        where[order] = np.cumsum(new, dtype=np.int32) - 1
+        return keys[new], where
 
     def counts(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes, and occurrences in training texts."""
@@ -284,32 +296,61 @@ class Block:
     def gains(self, n: dict[int, np.ndarray], failing: dict[int, np.ndarray], log: np.ndarray) -> np.ndarray:
         """By position what its step adds to the root's probability; ``failing`` has the weights of failure arcs."""
         gain = np.zeros(len(self.ids))
+        at = np.flatnonzero(self.inner)
+        gain[at] = failing[1][self.ids[at - 1]]
+        # The pair before a position is a history wherever it is known, whether or not a triple is.
+        at = at[(self.pair_of[at - 1] >= 0)]
+        gain[at] += failing[2][self.pair_of[at - 1]]
         pair, before, word = self.pair_of[self.pair_at], self.ids[self.pair_at - 1], self.ids[self.pair_at]
         seen = n[2][pair] >= FLOOR
-        gain[self.pair_at] = failing[1][before]
         at = self.pair_at[seen]
-        gain[at] = np.log10((n[2][pair[seen]] - DISCOUNT) / self.c[before[seen]]) - log[word[seen]]
+        gain[at] += np.log10((n[2][pair[seen]] - DISCOUNT) / self.c[before[seen]]) - log[word[seen]] - failing[1][before[seen]]
         head = self.pair_of[self.triple_at - 1]
-        gain[self.triple_at] += failing[2][head]
         seen = n[3][self.triple_of] >= FLOOR
         at = self.triple_at[seen]
         gain[at] = np.log10((n[3][self.triple_of[seen]] - DISCOUNT) / n[2][head[seen]]) - log[self.ids[at]]
         return gain
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Compressed, all first bytes first: the upper bytes of small numbers are alike."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+    return _CODEC.compress(planes, asbytes=True)
+
+
+def _unpacked(packed: Iterable[bytes], sizes: Iterable[int], kind: type) -> np.ndarray:
+    parts = [np.frombuffer(_CODEC.decompress(x, decompressed_size=8 * n), np.uint8).reshape(8, n).T for x, n in zip(packed, sizes)]
+    return np.concatenate([np.zeros((0, 8), np.uint8), *parts]).view(kind).reshape(-1)
+
+
 def _dealt(block: int, size: int, parts: int, keys: np.ndarray, *values: np.ndarray) -> Iterator[tuple]:
-    """Rows block, size, part, and the packed arrays of the part; ``keys`` are in order."""
+    """Rows block, size, part, many, and the packed steps of ``keys``, which are in order, and ``values``."""
     step = (1 << 64) // parts + 1
     cuts = [0, *np.searchsorted(keys, np.array([i * step for i in range(1, parts)], np.uint64)).tolist(), len(keys)]
     for part, (a, b) in enumerate(zip(cuts, cuts[1:])):
         if a < b:
-            yield (block, size, part, *(x[a:b].tobytes() for x in (keys, *values)))
+            yield (block, size, part, b - a, _packed(np.diff(keys[a:b], prepend=np.uint64(0))), *(_packed(x[a:b]) for x in values))
 
 
 def _joined(answers: pd.DataFrame, size: int, column: str, kind: type) -> np.ndarray:
     """What the parts answered, in the order of the hashes."""
     mine = answers[answers["size"] == size].sort_values("part")
-    return np.frombuffer(b"".join(mine[column]), kind)
+    return _unpacked(mine[column], mine["many"], kind)
+
+
+def _keys(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of a part, and where each of the rows' hashes is among them."""
+    steps = [np.cumsum(_unpacked([x], [n], np.uint64), dtype=np.uint64) for x, n in zip(rows["keys"], rows["many"])]
+    return np.unique(np.concatenate(steps), return_inverse=True)
+
+
+def _answered(rows: pd.DataFrame, **columns: np.ndarray) -> pd.DataFrame:
+    """Each block's slice of ``columns``, packed."""
+    cuts = np.cumsum([0, *rows["many"]])
+    made = rows[["block", "size", "part", "many"]].copy()
+    for name, values in columns.items():
+        made[name] = [_packed(values[a:b]) for a, b in zip(cuts, cuts[1:])]
+    return made
 
 
 def _per_block(texts: DataFrame, others: list[DataFrame], run, schema: str) -> DataFrame:
@@ -328,69 +369,66 @@ def _per_block(texts: DataFrame, others: list[DataFrame], run, schema: str) -> D
 
 
 def ngram_totals(texts: DataFrame, words: DataFrame, parts: int) -> DataFrame:
-    """block, size, part, n (counts everywhere of the block's n-grams in the order of their hashes, 0 below ``FLOOR``), owned, arcs."""
-    names = ["block", "size", "part", "keys", "often"]
+    """block, size, part, many, n, arcs (of this row) for the block's n-grams in the order of their hashes.
+
+    ``n`` has packed counts everywhere, 0 below ``FLOOR``, times two, and one more where the block owns the arc.
+    """
+    names = ["block", "size", "part", "many", "keys", "often"]
 
     def send(block: int, made: Block, _: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for size in (2, 3):
             keys, often = made.counts(size)
-            rows.extend(_dealt(block, size, parts, keys, often.astype(np.uint32)))
+            rows.extend(_dealt(block, size, parts, keys, often))
         return pd.DataFrame(rows, columns=names)
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("block")
-        keys, where = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in rows["keys"]]), return_inverse=True)
-        often = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["often"]]).astype(np.int64)
+        keys, where = _keys(rows)
+        often = _unpacked(rows["often"], rows["many"], np.int64)
         n = np.bincount(where, often, len(keys)).astype(np.int64)  # whole below 2 ** 53
         n[n < FLOOR] = 0
         trained = np.flatnonzero(often)
         first = np.full(len(keys), -1, np.int64)
         first[where[trained[::-1]]] = trained[::-1]
-        owned = np.zeros(len(where), np.uint8)
+        owned = np.zeros(len(where), np.int64)
         owned[first[n > 0]] = 1
-        cuts = np.cumsum([0, *(len(x) // 8 for x in rows["keys"])])
-        return pd.DataFrame({
-            "block": rows["block"].to_numpy(), "size": rows["size"].to_numpy(), "part": rows["part"].to_numpy(),
-            "n": [n[where[a:b]].tobytes() for a, b in zip(cuts, cuts[1:])],
-            "owned": [owned[a:b].tobytes() for a, b in zip(cuts, cuts[1:])],
-            "arcs": [int(owned[a:b].sum()) for a, b in zip(cuts, cuts[1:])],
-        })
+        made = _answered(rows, n=2 * n[where] + owned)  # a count and its owner's mark in one number
+        made["arcs"] = np.add.reduceat(owned, np.cumsum([0, *rows["many"]])[:-1])
+        return made
 
-    sent = _per_block(texts, [words], send, "block bigint, size int, part int, keys binary, often binary")
+    sent = _per_block(texts, [words], send, "block bigint, size int, part int, many int, keys binary, often binary")
     return stored(
-        sent.groupBy("size", "part").applyInPandas(add, "block bigint, size int, part int, n binary, owned binary, arcs bigint"), "ngrams"
+        sent.groupBy("size", "part").applyInPandas(add, "block bigint, size int, part int, many int, n binary, arcs bigint"), "ngrams"
     )
 
 
-def _totals(answers: pd.DataFrame) -> dict[int, np.ndarray]:
-    return {size: _joined(answers, size, "n", np.int64) for size in (2, 3)}
+def _totals(answers: pd.DataFrame) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
+    """By size the counts, and which arcs the block owns."""
+    found = {size: _joined(answers, size, "n", np.int64) for size in (2, 3)}
+    return {size: x >> 1 for size, x in found.items()}, {size: (x & 1).astype(bool) for size, x in found.items()}
 
 
 def failure_weights(texts: DataFrame, words: DataFrame, totals: DataFrame, parts: int, scale: float) -> DataFrame:
     """block, size, part, weight: log10 of the failure arcs' weights for ``Block.histories``; 0 where no state is."""
 
     def send(block: int, made: Block, _: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        n = _totals(answers)
-        masses = made.masses(n, {size: _joined(answers, size, "owned", np.bool_) for size in (2, 3)}, scale)
+        n, owned = _totals(answers)
+        masses = made.masses(n, owned, scale)
         rows = []
         for size, (at, keys) in made.histories(n).items():
             rows.extend(_dealt(block, size, parts, keys, *(x[at] for x in masses[size])))
-        return pd.DataFrame(rows, columns=["block", "size", "part", "keys", "taken", "given"])
+        return pd.DataFrame(rows, columns=["block", "size", "part", "many", "keys", "taken", "given"])
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("block")
-        keys, where = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in rows["keys"]]), return_inverse=True)
-        taken, given = (np.bincount(where, np.concatenate([np.frombuffer(x) for x in rows[c]]), len(keys)) for c in ("taken", "given"))
+        keys, where = _keys(rows)
+        taken, given = (np.bincount(where, _unpacked(rows[c], rows["many"], np.float64), len(keys)) for c in ("taken", "given"))
         weight = np.log10(np.maximum(1e-12, 1 - taken) / np.maximum(1e-12, 1 - given))
-        cuts = np.cumsum([0, *(len(x) // 8 for x in rows["keys"])])
-        return pd.DataFrame({
-            "block": rows["block"].to_numpy(), "size": rows["size"].to_numpy(), "part": rows["part"].to_numpy(),
-            "weight": [weight[where[a:b]].tobytes() for a, b in zip(cuts, cuts[1:])],
-        })
+        return _answered(rows, weight=weight[where])
 
-    sent = _per_block(texts, [words, totals], send, "block bigint, size int, part int, keys binary, taken binary, given binary")
-    return sent.groupBy("size", "part").applyInPandas(add, "block bigint, size int, part int, weight binary")
+    sent = _per_block(texts, [words, totals], send, "block bigint, size int, part int, many int, keys binary, taken binary, given binary")
+    return sent.groupBy("size", "part").applyInPandas(add, "block bigint, size int, part int, many int, weight binary")
 
 
 # Scores ----------------------------------------------------------------------------
@@ -412,10 +450,10 @@ def scored(docs: DataFrame) -> DataFrame:
     texts, words, totals, total, vocabulary, parts = gathered(docs)
     scale = total + 0.5 * (vocabulary + 1)
     kind = docs.schema["key"].dataType.simpleString()
-    weights = failure_weights(texts.drop("key"), words, totals.select("block", "size", "part", "n", "owned"), parts, scale)
+    weights = failure_weights(texts.drop("key"), words, totals.drop("arcs"), parts, scale)
 
     def score(_: int, made: Block, mine: pd.DataFrame, answers: pd.DataFrame, weights: pd.DataFrame) -> pd.DataFrame:
-        n = _totals(answers)
+        n, _owned = _totals(answers)
         failing = {1: np.zeros(len(made.c)), 2: np.zeros(len(made.pairs))}
         for size, (at, _) in made.histories(n).items():
             failing[size][at] = _joined(weights, size, "weight", np.float64)
@@ -429,6 +467,6 @@ def scored(docs: DataFrame) -> DataFrame:
         })
 
     return _per_block(
-        texts, [words, totals.select("block", "size", "part", "n"), weights], score,
+        texts, [words, totals.drop("arcs"), weights], score,
         f"key {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, train_tokens bigint",
     )
