@@ -6,6 +6,11 @@ Jensen-Shannon distance (0 to 1).  Fewer than ``MIN_WORDS`` words say too little
 distances do not count there.  Before that the base rules look at the number of words and
 at repeated windows of three words.
 
+What a word distance can be depends on the share of a language's words that the common ones make
+up, so its limit is ``MAX_WORD_SHARE`` of ``ref_reach``, the distance of a text that has none of them.
+All documents together are no language whose common words a text must have: against them, and above
+every language's limit, only ``MAX_WORD_DISTANCE`` counts, which takes an excess of some common word.
+
 References come from one table of (language, word, count) over all documents; a language
 with fewer than ``MIN_REFERENCE`` words, and a null language, is held against all documents.
 
@@ -26,7 +31,8 @@ COMMON_WORDS = 16
 MIN_WORDS = 200
 MIN_REFERENCE = 10_000
 MAX_CLASS_DISTANCE = 0.35
-MAX_WORD_DISTANCE = 0.6
+MAX_WORD_DISTANCE = 0.4
+MAX_WORD_SHARE = 0.85  # of what a text without common words has
 MAX_LANGUAGES = 10_000  # more references than this are joined without a broadcast
 
 SYMBOLS = "#*$%&|<>"
@@ -99,7 +105,7 @@ def base_counts(df: DataFrame, text: str) -> DataFrame:
 
 
 def references(docs: DataFrame, text: str, lang: str, words: int = COMMON_WORDS) -> DataFrame:
-    """ref_lang, ref_classes, ref_words, ref_shares; the null language is all documents together."""
+    """ref_lang, ref_classes, ref_words, ref_counts, ref_total, ref_reach; the null language is all documents together."""
     counts = stored(
         docs.select(F.col(lang).alias("lang"), F.explode(split_words(F.coalesce(text, F.lit("")))).alias("word"))
         .groupBy("lang", "word").agg(F.count("*").alias("n")), "word-counts",
@@ -119,10 +125,16 @@ def references(docs: DataFrame, text: str, lang: str, words: int = COMMON_WORDS)
             F.col("lang").alias("ref_lang"), "ref_classes", F.col("top.word").alias("ref_words"),
             F.transform("top.n", lambda n: n.cast("double")).alias("ref_counts"),
             F.col("total").cast("double").alias("ref_total"),
-        ), "references",
+        ).withColumn("ref_reach", js_distance(
+            F.concat(F.transform("ref_counts", lambda n: F.lit(0.0)), F.array(F.lit(1.0))), _with_rest("ref_counts", "ref_total")
+        )), "references",
     )
 
 
+def _with_rest(counts: str, total: str) -> Column:
+    return F.concat(counts, F.array(F.col(total) - F.aggregate(counts, F.lit(0.0), lambda x, y: x + y)))
+
+
 def js_distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance (base 2) of two arrays of counts; 0 where one of them is empty."""
     let = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)
@@ -143,6 +155,7 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
     refs = references(docs, text, lang)
     known = refs.count()
     overall = refs.where("ref_lang IS NULL").drop("ref_lang").select(*[F.col(c).alias(f"all_{c}") for c in ("ref_classes", "ref_words", "ref_counts", "ref_total")])
+    # Without a reference of its language a text has no ``ref_reach``.
     own = refs.where("ref_lang IS NOT NULL")
     small = (lambda x: F.broadcast(x)) if known <= MAX_LANGUAGES else (lambda x: x)
     columns = docs.columns
@@ -156,16 +169,15 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
         (F.octet_length("_padded") - F.octet_length(F.replace(F.col("_padded"), F.concat(F.lit(" "), w, F.lit(" ")), F.lit(""))))
         / (F.octet_length(w) + 2)
     ))
-    sum_of = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
     counted = padded.withColumn("_hits", hits).withColumns({
         "class_distance": js_distance(F.array(*[F.col(c).cast("double") for c in CLASSES]), F.col("ref_classes")),
         "word_distance": js_distance(
-            F.concat("_hits", F.array(F.col("n_words") - sum_of(F.col("_hits")))),
-            F.concat("ref_counts", F.array(F.col("ref_total") - sum_of(F.col("ref_counts")))),
+            _with_rest("_hits", "n_words"), _with_rest("ref_counts", "ref_total"),
         ),
     })
+    reach = F.coalesce(F.col("word_distance") > MAX_WORD_SHARE * F.col("ref_reach"), F.lit(False))
     strange = (F.col("n_words") >= MIN_WORDS) & (
-        (F.col("class_distance") > MAX_CLASS_DISTANCE) | (F.col("word_distance") > MAX_WORD_DISTANCE)
+        (F.col("class_distance") > MAX_CLASS_DISTANCE) | (F.col("word_distance") > MAX_WORD_DISTANCE) | reach
     )
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance"]
     return counted.withColumn("kept", ~F.col("base_failed") & ~strange).select(*columns, *added, "kept")

@@ -162,6 +162,23 @@ def test_quality(spark, sf_dir, folder):
         assert expected == Counter((r.doc_id, round(r.class_distance, 9), round(r.word_distance, 9), r.kept) for r in rows)
 
 
+def cut_to(docs, lang, low, high, n):
+    found = [r.text for r in docs if r.lang == lang and len(words(r.text)) >= high and not plain_base(r.text)[-1]][:n]
+    return [" ".join(words(t)[:low]) for t in found]
+
+
+def test_texts_of_another_language_and_of_random_letters_are_strange(spark):
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(2)
+    wrong = cut_to(given.collect(), "de", 300, 300, 15)
+    wrong += [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(300)) for _ in range(15)]
+    added = spark.createDataFrame([(10**9 + i, t, "en") for i, t in enumerate(wrong)], given.schema)
+    rows = quality_divergence.judged(given.union(added)).collect()
+    assert sum(not r.kept for r in rows if r.doc_id >= 10**9) >= 29
+    clean = [r for r in rows if r.doc_id < 10**9 and r.n_words >= 200 and not r.base_failed and r.class_distance < 0.2]
+    assert len(clean) > 400 and sum(r.kept for r in clean) > 0.95 * len(clean)
+
+
 # 3 ---------------------------------------------------------------------------------
 
 def test_archive_round_trip_and_revisits(spark, tmp_path):
