@@ -2,12 +2,13 @@
 
 A document's histogram of character classes and its histogram of common words are compared
 with those of its language, which all documents of that language make up, by the
-Jensen-Shannon distance (0 to 1).  Fewer than ``MIN_WORDS`` words say too little, and the
-distances do not count there.  Before that the base rules look at the number of words and
+Jensen-Shannon distance (0 to 1).  Fewer than ``MIN_WORDS`` words say too little, and fail
+the base rules anyway.  Before that the base rules look at the number of words and
 at repeated windows of three words.
 
 What a word distance can be depends on the share of a language's words that the common ones make
-up, so its limit is ``MAX_WORD_SHARE`` of ``ref_reach``, the distance of a text that has none of them.
+up, so its limit is ``MAX_WORD_SHARE`` of ``ref_reach``, the distance of a text that has none of them
+(``MAX_SHORT_SHARE`` for a short text).
 All documents together are no language whose common words a text must have: against them, and above
 every language's limit, only ``MAX_WORD_DISTANCE`` counts, which takes an excess of some common word.
 
@@ -28,11 +29,13 @@ from pyspark.sql import functions as F
 from pairloom.llm.common import SPACES, stored
 
 COMMON_WORDS = 16
-MIN_WORDS = 200
+MIN_WORDS = 50  # where the base rule ends; a class histogram has some 250 characters then
 MIN_REFERENCE = 10_000
 MAX_CLASS_DISTANCE = 0.35
 MAX_WORD_DISTANCE = 0.4
 MAX_WORD_SHARE = 0.85  # of what a text without common words has
+LONG_WORDS = 100
+MAX_SHORT_SHARE = 0.98  # of the same, with fewer than LONG_WORDS words: chance alone leaves out more of the common ones
 MAX_LANGUAGES = 10_000  # more references than this are joined without a broadcast
 
 SYMBOLS = "#*$%&|<>"
@@ -175,7 +178,8 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
             _with_rest("_hits", "n_words"), _with_rest("ref_counts", "ref_total"),
         ),
     })
-    reach = F.coalesce(F.col("word_distance") > MAX_WORD_SHARE * F.col("ref_reach"), F.lit(False))
+    share = F.when(F.col("n_words") < LONG_WORDS, MAX_SHORT_SHARE).otherwise(MAX_WORD_SHARE)
+    reach = F.coalesce(F.col("word_distance") > share * F.col("ref_reach"), F.lit(False))
     strange = (F.col("n_words") >= MIN_WORDS) & (
         (F.col("class_distance") > MAX_CLASS_DISTANCE) | (F.col("word_distance") > MAX_WORD_DISTANCE) | reach
     )

@@ -179,6 +179,20 @@ def test_texts_of_another_language_and_of_random_letters_are_strange(spark):
     assert len(clean) > 400 and sum(r.kept for r in clean) > 0.95 * len(clean)
 
 
+def test_short_texts_have_verdicts_too(spark):
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(3)
+    strange = [" ".join(str(rng.randrange(10**6)) for _ in range(n)) for n in (50, 120, 199)]
+    strange += [" ".join("".join(rng.choices("абвгдежзик", k=6)) for _ in range(n)) for n in (50, 120, 199)]
+    strange += [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(n)) for n in (60, 120, 199)]
+    clean = cut_to(given.collect(), "en", 60, 200, 40) + cut_to(given.collect(), "en", 150, 200, 40)
+    added = [(10**9 + i, t, "en") for i, t in enumerate(strange)] + [(2 * 10**9 + i, t, "en") for i, t in enumerate(clean)]
+    rows = quality_divergence.judged(given.union(spark.createDataFrame(added, given.schema))).collect()
+    assert not any(r.kept for r in rows if 10**9 <= r.doc_id < 2 * 10**9)
+    clean = [r for r in rows if r.doc_id >= 2 * 10**9 and not r.base_failed and r.class_distance < 0.2]
+    assert len(clean) > 60 and sum(r.kept for r in clean) >= 0.95 * len(clean)
+
+
 # 3 ---------------------------------------------------------------------------------
 
 def test_archive_round_trip_and_revisits(spark, tmp_path):
