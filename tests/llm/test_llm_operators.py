@@ -410,6 +410,16 @@ def test_components_without_common_tokens_and_with_small_parts(spark, sf_dir, mo
         assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == expected
 
 
+def test_repeated_postings_do_not_make_unrelated_tokens_one(spark):
+    # Token 1 has the nodes 10 and 11, token 2 the nodes 20 and 21, all of them from two parts.
+    rows = [(t, n, p) for t, nodes in ((1, (10, 11)), (2, (20, 21))) for n in nodes for p in (3, 5)]
+    got = jaccard_join._merged(spark.createDataFrame(rows, "token bigint, node bigint, place int")).collect()
+    nodes = defaultdict(set)
+    for r in got:
+        nodes[r.token].add((r.node, r.place))
+    assert sorted(map(sorted, nodes.values())) == [[(10, 3), (11, 3)], [(20, 3), (21, 3)]] and len(got) == 4
+
+
 def test_connected_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(400, 450)] + [(600, 500 + i) for i in range(60)]
