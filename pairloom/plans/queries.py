@@ -775,7 +775,9 @@ def stream_shards_query(spark: SparkSession, sf_dir: str) -> DataFrame:
             "doc_id", "tokens", "length"
         )
 
-    arrivals = [texts.where(F.col("doc_id") % STREAM_PARTS == part) for part in range(STREAM_PARTS)]
+    # Every row arrives once, also with a negative id or none.
+    arrival_of = F.coalesce(F.pmod("doc_id", F.lit(STREAM_PARTS)), F.lit(0))
+    arrivals = [texts.where(arrival_of == part) for part in range(STREAM_PARTS)]
     arrivals.insert(1, arrivals[0].withColumn("text", F.lit(None).cast("string")))
     for arrival in arrivals:  # each call goes on where the one before ended
         arrival.write.mode("append").parquet(folder)

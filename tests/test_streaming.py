@@ -6,6 +6,7 @@ from pairloom.functions.encoding import ByteEncoder
 from pairloom.functions.templates import shard_segments
 from pairloom.operators import batches as B
 from pairloom.plans import adapters as A
+from pairloom.plans.queries import QUERIES
 from pairloom.sources import logs
 from pairloom.streaming import logs as live
 from pairloom.streaming import prepare as P
@@ -89,3 +90,10 @@ def test_live_log_windows(spark, tmp_path):
             expected[-(-s // 4)] = (total + s / 4, n + 1)
         got = {r.window_id: (r.loss, r.lines) for r in live.latest_windows(spark, out).collect()}
         assert got == expected
+
+
+def test_every_document_arrives_once(spark, tmp_path):
+    rows = [(i, "a few words", "s") for i in (-4, -3, -2, -1, 0, 1, 2, 3)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["stream_shards"](spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in got) == [r[0] for r in rows]
