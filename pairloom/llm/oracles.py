@@ -1,5 +1,87 @@
 """DuckDB SQL for the operators that SQL can express; the others are tested against brute force."""
 
+from pairloom.llm import url_filter
+
+#: CRC-32 in SQL: the table of 256 follows from the polynomial, a list of byte values is folded through it.
+CRC_TABLE = """
+    crc_table AS MATERIALIZED (
+        SELECT list_transform(range(256), lambda n: list_reduce(
+            [n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END
+        )) AS steps
+    )
+"""
+
+
+def crc_sql(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, beside ``crc_table``."""
+    digits = f"hex(encode({text}))"
+    values = f"list_transform(range(1, length({digits}), 2), lambda i: ('0x' || substr({digits}, i, 2))::BIGINT)"
+    folded = f"list_reduce(list_concat([4294967295], {values}), lambda c, b: xor(c // 256, steps[xor(c % 256, b) + 1]))"
+    return f"xor({folded}, 4294967295)"
+
+
+def _url_filter() -> str:
+    """The rules, the labelled table, each step of the regression in turn, and the verdicts."""
+    m = url_filter
+    a, b, c = m.FACTORS
+
+    def buckets(text: str, kind: int) -> str:
+        codes = f"list_transform(string_split({text}, ''), lambda x: unicode(x)::BIGINT)"
+        return (
+            f"list_transform(range(1, greatest(length({text}) - 1, 1)), "
+            f"lambda i: ({codes}[i] * {a} + {codes}[i + 1] * {b} + {codes}[i + 2] * {c} + {kind}) % {m.BUCKETS})"
+        )
+
+    cases = " ".join(
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN ['{verdict}', '{h}{p}']"
+        for verdict, h, p in sorted(m.RULES, key=lambda r: -len(r[1] + r[2]))
+    )
+    steps = ["w0 AS MATERIALIZED (SELECT unnest(range(%d)) AS bucket, 0::BIGINT AS w, 0::BIGINT AS move)" % (m.BUCKETS + 1)]
+    for k in range(m.STEPS):
+        steps.append(f"""
+            e{k} AS MATERIALIZED (
+                SELECT id, n, floor((1 / (1 + exp(-((bias + coalesce(total, 0) / greatest(n, 1)) / {m.UNIT}))) - blocked) * {m.UNIT} + 0.5)::BIGINT AS error
+                FROM learn CROSS JOIN (SELECT w AS bias FROM w{k} WHERE bucket = {m.BUCKETS})
+                LEFT JOIN (SELECT id, sum(w)::BIGINT AS total FROM long JOIN w{k} USING (bucket) GROUP BY id) USING (id)
+            ),
+            w{k + 1} AS MATERIALIZED (
+                SELECT bucket, w - next AS w, next AS move FROM (
+                    SELECT bucket, w, floor({m.MOMENTUM} * move + CASE WHEN bucket = {m.BUCKETS} THEN {m.BIAS_RATE} ELSE {m.RATE} END
+                        * coalesce(total, 0) / greatest((SELECT count(*) FROM learn), 1))::BIGINT AS next
+                    FROM w{k} LEFT JOIN (
+                        SELECT bucket, sum(floor(error / n + 0.5))::BIGINT AS total FROM long JOIN e{k} USING (id) GROUP BY bucket
+                        UNION ALL SELECT {m.BUCKETS}, sum(error)::BIGINT FROM e{k}
+                    ) USING (bucket)
+                )
+            )""")
+    return f"""
+        WITH parts AS (
+            SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), '{m.LOWER.upper()}', '{m.LOWER}') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)
+        ),
+        ruled AS MATERIALIZED (
+            SELECT *, CASE {cases} END AS r,
+                   list_concat({buckets("('^' || host || '$')", 0)}, {buckets("(path || '$')", 1)}) AS grams
+            FROM parts
+        ),
+        learn AS MATERIALIZED (
+            SELECT row_number() OVER () AS id, grams, len(grams) AS n, blocked FROM (
+                SELECT DISTINCT host, path, grams, (r[1] = 'block')::INT AS blocked FROM ruled WHERE r IS NOT NULL
+                ORDER BY md5(host || path), host, path LIMIT {m.LABELLED_ROWS}
+            )
+        ),
+        long AS MATERIALIZED (SELECT id, unnest(grams) AS bucket FROM learn),
+        {",".join(steps)},
+        final AS MATERIALIZED (SELECT list(w ORDER BY bucket) AS w FROM w{m.STEPS})
+        SELECT page_id, host, path, r[2] AS rule,
+               CASE WHEN r IS NOT NULL THEN r[1]
+                    WHEN w[{m.BUCKETS + 1}] + coalesce(list_sum(list_transform(grams, lambda g: w[g + 1])), 0) / greatest(len(grams), 1) > 0 THEN 'block'
+                    ELSE 'allow' END AS verdict
+        FROM ruled CROSS JOIN final
+    """
+
+
 ORACLES = {
     "op1_incremental_multi_index": """
         WITH codes AS (
@@ -27,4 +109,5 @@ ORACLES = {
                CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
         FROM p LEFT JOIN c USING (payload_digest)
     """,
+    "op13_url_regression": _url_filter(),
 }
