@@ -1,6 +1,6 @@
 """DuckDB SQL for the operators that SQL can express; the others are tested against brute force."""
 
-from pairloom.llm import url_filter
+from pairloom.llm import importance, url_filter
 
 #: CRC-32 in SQL: the table of 256 follows from the polynomial, a list of byte values is folded through it.
 CRC_TABLE = """
@@ -82,6 +82,48 @@ def _url_filter() -> str:
     """
 
 
+def _importance() -> str:
+    m = importance
+    return f"""
+        WITH {CRC_TABLE},
+        said AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+        lowered AS MATERIALIZED (
+            SELECT row, 0 AS target, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM said
+            UNION ALL
+            SELECT row_number() OVER (), 1, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark
+        ),
+        words AS MATERIALIZED (
+            SELECT row, target, unnest(regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word FROM lowered
+        ),
+        hashed AS MATERIALIZED (
+            SELECT word, {crc_sql("word")} % {m.BUCKETS} AS bucket FROM (SELECT DISTINCT word FROM words) CROSS JOIN crc_table
+        ),
+        counts AS (
+            SELECT bucket, count(*) FILTER (target = 0)::DOUBLE AS s, count(*) FILTER (target = 1)::DOUBLE AS t
+            FROM words JOIN hashed USING (word) GROUP BY bucket
+        ),
+        gain AS MATERIALIZED (
+            SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM counts) + {m.BUCKETS}) / ((s + 1) * ((SELECT sum(t) FROM counts) + {m.BUCKETS}))))::BIGINT AS gain
+            FROM counts
+        ),
+        weighed AS (
+            SELECT row, count(*) AS n, floor(sum(gain) / count(*))::BIGINT AS weight
+            FROM words JOIN hashed USING (word) JOIN gain USING (bucket) WHERE target = 0 GROUP BY row
+        ),
+        scored AS MATERIALIZED (
+            SELECT row, doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{m.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+            FROM said LEFT JOIN weighed USING (row)
+        ),
+        ranked AS (
+            SELECT row, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, count(*) OVER () AS n
+            FROM scored WHERE n_features >= {m.LEAST_WORDS}
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN rank <= n * {m.PERCENT} // 100 THEN rank END AS rank
+        FROM scored LEFT JOIN ranked USING (row)
+    """
+
+
 ORACLES = {
     "op1_incremental_multi_index": """
         WITH codes AS (
@@ -109,5 +151,6 @@ ORACLES = {
                CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
         FROM p LEFT JOIN c USING (payload_digest)
     """,
+    "op11_importance_resampling": _importance(),
     "op13_url_regression": _url_filter(),
 }

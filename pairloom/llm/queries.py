@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import jaccard_join, language_id, lm_scoring, mixing, packing, pii, quality_divergence, sharding, topk_search, url_filter, warc
+from pairloom.llm import importance, jaccard_join, language_id, lm_scoring, mixing, packing, pii, quality_divergence, sharding, topk_search, url_filter, warc
 from pairloom.llm.common import id_remainder, stored, table
 from pairloom.scratch import new_path
 
@@ -80,6 +80,11 @@ def op10_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.scored(docs).withColumnRenamed("key", "doc_id")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance.resampled(docs, target)
+
+
 def op13_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judged(pages, url_filter.learned(url_filter.labelled(pages)), ["page_id"])
@@ -89,6 +94,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_incremental_multi_index, op2_distribution_divergence, op3_zstd_archive, op4_min_cost_flow,
         op5_mixture_language_id, op6_multi_order_jaccard, op7_virtual_slots, op8_semi_markov_pii,
-        op9_cost_balanced_packing, op10_backoff_automaton, op13_url_regression,
+        op9_cost_balanced_packing, op10_backoff_automaton, op11_importance_resampling, op13_url_regression,
     )
 }
