@@ -124,6 +124,49 @@ def _importance() -> str:
     """
 
 
+_TRIE = f"""
+    WITH {CRC_TABLE},
+    turns AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn,
+               md5(octet_length(encode(coalesce(role, '')))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS id
+        FROM conversations WHERE conv_id IS NOT NULL
+    ),
+    own AS MATERIALIZED (
+        SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS ids,
+               list(octet_length(encode(text)) ORDER BY turn NULLS FIRST, id) AS sizes
+        FROM turns GROUP BY conv_id
+    ),
+    headed AS (
+        SELECT own.*, ({crc_sql("conv_id::VARCHAR")} % 9)::INT AS h, conv_id - conv_id % 5 AS first FROM own CROSS JOIN crc_table
+    ),
+    rebuilt AS MATERIALIZED (
+        SELECT headed.conv_id, list_concat(coalesce(f.ids, [])[1:h], headed.ids[h + 1:]) AS ids,
+               list_concat(coalesce(f.sizes, [])[1:h], headed.sizes[h + 1:]) AS sizes
+        FROM headed LEFT JOIN own f ON headed.first = f.conv_id
+    ),
+    members AS MATERIALIZED (
+        SELECT conv_id, d AS depth, list_aggregate(ids[1:d], 'string_agg', '') AS node, list_aggregate(ids[1:d - 1], 'string_agg', '') AS parent,
+               d = len(ids) AS ends, coalesce(sizes[d], 0) AS size
+        FROM (SELECT *, unnest(range(len(ids) + 1)) AS d FROM rebuilt)
+    ),
+    nodes AS MATERIALIZED (
+        SELECT coalesce(node, '') AS node, depth, any_value(CASE WHEN depth > 0 THEN coalesce(parent, '') END) AS parent, min(conv_id) AS conv_id,
+               count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+               sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+        FROM members GROUP BY coalesce(node, ''), depth
+    ),
+    subtrees AS (
+        SELECT a.depth, a.node, sum(b.saved)::BIGINT AS saved_tokens,
+               count(*) FILTER (b.depth = a.depth + 1) AS n_children,
+               count(*) FILTER (NOT EXISTS (SELECT 1 FROM nodes c WHERE c.parent = b.node)) AS n_leaves
+        FROM nodes a JOIN nodes b ON b.depth >= a.depth AND substr(b.node, 1, 32 * a.depth) = a.node
+        GROUP BY a.depth, a.node
+    )
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves, saved_tokens, n.ends_sha256
+    FROM nodes n JOIN subtrees s USING (depth, node) LEFT JOIN nodes p ON n.parent = p.node
+"""
+
+
 ORACLES = {
     "op1_incremental_multi_index": """
         WITH codes AS (
@@ -152,5 +195,6 @@ ORACLES = {
         FROM p LEFT JOIN c USING (payload_digest)
     """,
     "op11_importance_resampling": _importance(),
+    "op12_conversation_trie": _TRIE,
     "op13_url_regression": _url_filter(),
 }

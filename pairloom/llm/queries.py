@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import importance, jaccard_join, language_id, lm_scoring, mixing, packing, pii, quality_divergence, sharding, topk_search, url_filter, warc
+from pairloom.llm import conversation_trie, importance, jaccard_join, language_id, lm_scoring, mixing, packing, pii, quality_divergence, sharding, topk_search, url_filter, warc
 from pairloom.llm.common import id_remainder, stored, table
 from pairloom.scratch import new_path
 
@@ -85,6 +85,11 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resampled(docs, target)
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_trie.trie(conversation_trie.rebuilt(conversation_trie.sequences(turns)))
+
+
 def op13_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judged(pages, url_filter.learned(url_filter.labelled(pages)), ["page_id"])
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_incremental_multi_index, op2_distribution_divergence, op3_zstd_archive, op4_min_cost_flow,
         op5_mixture_language_id, op6_multi_order_jaccard, op7_virtual_slots, op8_semi_markov_pii,
-        op9_cost_balanced_packing, op10_backoff_automaton, op11_importance_resampling, op13_url_regression,
+        op9_cost_balanced_packing, op10_backoff_automaton, op11_importance_resampling,
+        op12_conversation_trie, op13_url_regression,
     )
 }
