@@ -51,6 +51,11 @@ def folder(spark, edges, nothing, tmp_path_factory):
         path = str(tmp_path_factory.mktemp(name))
         docs.write.parquet(f"{path}/documents.parquet")
         docs.select(F.col("doc_id").alias("page_id"), F.col("lang").alias("url"), F.col("text").alias("html"), "size").write.parquet(f"{path}/pages.parquet")
+        docs.select(F.col("doc_id").alias("item_id"), F.substring("text", 1, 300).alias("text"), "size").write.parquet(f"{path}/benchmark.parquet")
+        turns = [(0, 0, "user", "hi"), (0, 1, None, None), (0, 1, None, None), (0, None, "user", "before"), (3, 2, "user", "own"), (3, 2, "assistant", "tie"),
+                 (5, 0, "user", "hi"), (5, 1, "user", LONG), (-3, 0, "user", "hi"), (7, 0, "user", "hi"), (7, 1, "", ""), (None, 0, "user", "lost"),
+                 (12, 0, "é", "🙂"), (13, 0, "user", "gone"), (1 << 40, None, None, None)]
+        spark.createDataFrame([(*t, "x") for t in turns] if name == "edges" else [], "conv_id bigint, turn bigint, role string, text string, ids string").write.parquet(f"{path}/conversations.parquet")
         vectors = [(20, [1.0] * 64, "x"), (20, [1.0] * 64, "x"), (21, [1.0] * 64, "x"), (22, [-1.0] * 64, "x"), (40, None, "x"),
                    (60, [1.0], "x"), (None, [0.5] * 64, "x"), (23, [None] + [float("nan")] * 63, "x")]
         spark.createDataFrame(vectors if name == "edges" else [], "vec_id bigint, embedding array<float>, code string").write.parquet(f"{path}/embeddings.parquet")
@@ -75,6 +80,9 @@ def test_edge_rows_and_empty_tables(spark, folder, name):
         assert {(r.vec_id, r.neighbor_id) for r in rows} == {(20, 21), (20, 22), (20, 23)}
     elif name.startswith("op9_"):
         assert len(rows) >= len(EDGES)
+    elif name.startswith("op12_"):  # conversations, not rows
+        root = [r for r in rows if r.depth == 0]
+        assert len(root) == 1 and root[0].n_convs == 8 and root[0].parent_conv_id is None
     else:
         assert len(rows) == len(EDGES)
 
@@ -83,7 +91,7 @@ def test_edge_rows_and_empty_tables(spark, folder, name):
 def test_sql(spark, folder, sf_dir, name):
     for path, files in ((sf_dir, ""), (folder["edges"], "/*.parquet")):
         con = duckdb.connect()
-        for t in ("documents", "pages", "embeddings"):
+        for t in ("documents", "pages", "embeddings", "benchmark", "conversations"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{path}/{t}.parquet{files}'")
         got = queries.QUERIES[name](spark, path)
         cursor = con.execute(ORACLES[name])
