@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pairloom.scratch import new_path
+
 # At most this many ranges: bounds the literal array of cut points, the table of
 # offsets that is broadcast, and the one-task running sum over it.
 MAX_RANGES = 32_768
@@ -37,17 +39,17 @@ def dense_index(
     ``max_ranges`` bounds the cut points; with more than ``max_ranges * rows_per_range`` rows
     the ranges get larger, so raise it there.
 
-    Before the rows themselves are shuffled once, their key columns alone are read
-    three times: to count them, to sample the cut points, to count the ranges.
+    The input is evaluated twice: once for its key columns alone, which are written to the shared folder
+    and from there counted, sampled and counted by range; and once for the rows themselves, which are shuffled once.
     """
-    n_rows = df.count()
+    keys = _stored_keys(df.select(*order_by))
+    n_rows = keys.count()
     if ranges is None:
         shuffle_tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ranges = max(2 * shuffle_tasks, -(-n_rows // rows_per_range))
     ranges = max(1, min(ranges, max_ranges, n_rows))
-    cuts = _cut_points(df.select(*order_by), n_rows, ranges)
-    placed = df.withColumn("_range", _range_of(cuts, ranges, order_by))
-    return _number(placed, order_by, index, total)
+    in_range = _range_of(_cut_points(keys, n_rows, ranges), ranges, order_by)
+    return _number(df.withColumn("_range", in_range), keys.withColumn("_range", in_range), order_by, index, total)
 
 
 def seeded_shuffle(
@@ -61,7 +63,8 @@ def seeded_shuffle(
     """Dense index in an order that depends on the seed and is the same on every run.
 
     The order is that of ``md5(seed:key)``, whose values are even, so the ranges
-    are even cuts of its first 32 bits and need no look at the data.
+    are even cuts of its first 32 bits and need no look at the data.  The input is evaluated twice,
+    once for its key columns alone, to count the ranges.
     """
     if ranges is None:
         ranges = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -71,7 +74,7 @@ def seeded_shuffle(
     placed = df.withColumn("_digest", digest).withColumn(
         "_range", F.shiftright(leading * F.lit(ranges), 32).cast("int")
     )
-    return _number(placed, ["_digest", *key], index, total).drop("_digest")
+    return _number(placed, placed, ["_digest", *key], index, total).drop("_digest")
 
 
 def source_index(
@@ -173,8 +176,15 @@ def _offsets(counts: DataFrame, part: str, total: str) -> DataFrame:
     )
 
 
-def _number(placed: DataFrame, order_by: Sequence[str], index: str, total: str) -> DataFrame:
-    counts = placed.groupBy("_range").agg(F.count("*").alias("_rows"))
+def _stored_keys(keys: DataFrame) -> DataFrame:
+    """The key columns, written once and read back."""
+    path = new_path(keys.sparkSession, "keys")
+    keys.write.parquet(path)
+    return keys.sparkSession.read.schema(keys.schema).parquet(path)
+
+
+def _number(placed: DataFrame, keys: DataFrame, order_by: Sequence[str], index: str, total: str) -> DataFrame:
+    counts = keys.groupBy("_range").agg(F.count("*").alias("_rows"))
     within = Window.partitionBy("_range").orderBy(*order_by)
     key = F.struct(*order_by)
     number = F.when(

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pairloom.constants import BATCH_LENGTH
 from pairloom.functions import schedules
+from pairloom.operators import batches as B
 from pairloom.operators import steps
 from pairloom.plans import adapters as A
 from pairloom.plans import queries as Q
 from pairloom.scratch import new_path
 from pairloom.sources import logs
-from pairloom.streaming import log_tail, windows
+from pairloom.sources.datasets import map_columns
+from pairloom.streaming import batches, log_tail, windows
 from pairloom.streaming import prepare as stream_prepare
 
 ROUNDS = 3
@@ -56,4 +59,30 @@ def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Q.Query] = {f.__name__: f for f in (stream_log_tail, stream_closed_windows)}
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Padded batches over documents that arrive in four epochs, one of them without rows and the last one run twice."""
+    out = new_path(spark, "stream-batches")
+    columns = {"prompt": "source", "answer": "text"}
+    texts = A.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+
+    def prepare(rows: DataFrame) -> DataFrame:
+        return map_columns(rows, columns, ["doc_id"], on_null="drop")
+
+    def collate(rows: DataFrame) -> DataFrame:
+        return B.sft_batches(B.encode_sft(rows, Q.BYTES), BATCH_LENGTH)
+
+    arrival_of = F.coalesce(F.pmod("doc_id", F.lit(ROUNDS)), F.lit(0))
+    arrivals = [texts.where(arrival_of == part) for part in range(ROUNDS)]
+    arrivals.insert(1, arrivals[0].withColumn("text", F.lit(None).cast("string")))
+    for arrival in arrivals:
+        arrival.write.mode("append").parquet(f"{out}/arrivals")
+        source = stream_prepare.read_stream(spark, f"{out}/arrivals", "doc_id bigint, text string, source string")
+        batches.write_stream(source, prepare, ["doc_id"], out, collate, Q.RANKS, Q.BATCH).awaitTermination()
+    batches.write_epoch(prepare(arrivals[-1]), len(arrivals) - 1, ["doc_id"], out, collate, Q.RANKS, Q.BATCH)
+    batches.finish(spark, out, collate, Q.RANKS, Q.BATCH)
+    return batches.read_batches(spark, out).select(
+        "rank", "batch_id", "row_in_batch", *[Q.joined(F.col(c)).alias(c) for c in ("x", "mask", "y")]
+    )
+
+
+QUERIES: dict[str, Q.Query] = {f.__name__: f for f in (stream_log_tail, stream_closed_windows, stream_batches)}

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pairloom.plans import lasting as L
 from pairloom.plans import queries as Q
 from pairloom.plans.oracles import ORACLES as PLAIN
-from pairloom.plans.oracles import STEPS, window_of
+from pairloom.plans.oracles import BATCH_TEXT, DOCUMENT_SAMPLES, SFT_LENGTH, STEPS, dealt, window_of
 
 ORACLES: dict[str, str] = {
     "stream_log_tail": f"""WITH {STEPS},
@@ -15,4 +16,6 @@ windows AS (
 SELECT 'rank' || rank AS run_id, step, 'train' AS kind, printf('%.6f', loss)::DOUBLE AS loss
 FROM windows WHERE step > 0 AND step % {Q.SFT_LOG_EVERY} = 0""",
     "stream_closed_windows": PLAIN["accum_loss"],
+    "stream_batches": f"""WITH {DOCUMENT_SAMPLES.replace("ORDER BY doc_id", f"ORDER BY doc_id % {L.ROUNDS}, doc_id")}, {dealt()}, {SFT_LENGTH}
+SELECT rank, batch_id, row_in_batch, {BATCH_TEXT} FROM batches""",
 }

@@ -6,7 +6,10 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from pairloom.operators.ordering import dense_index, seeded_shuffle
+from pairloom.streaming import batches as S
 from pairloom.streaming import log_tail as T
+from pairloom.streaming import shards
 from pairloom.streaming import windows as W
 
 LINES = [b"1 train 0.5", b"", "zwölf 🙂".encode(), b"x" * 90, b"crlf\r", b"2", b""]
@@ -132,3 +135,58 @@ def test_a_step_of_another_cadence_fails(spark, tmp_path):
         W.write_closed(W.closed_windows(stream, 8, every=4), str(tmp_path / "out")).awaitTermination()
     with pytest.raises(ValueError, match="no logged step"):
         W.closed_windows(stream, 4, every=8)
+
+
+# ---- batches over a source without an end --------------------------------
+
+def counted(rows):
+    return rows.select("rank", "batch_id", "row_in_batch", "id")
+
+
+def dealt_by_hand(ids, ranks, size):
+    each = len(ids) // ranks
+    return sorted((i % ranks, i // ranks // size, i // ranks % size, ids[i]) for i in range(each * ranks))
+
+
+@pytest.mark.parametrize("arrivals", ([0, 3, 11, 0, 1], [24], [1, 1, 1]))
+def test_batches_go_on_across_epochs(spark, tmp_path, arrivals):
+    out, ranks, size, ids = str(tmp_path), 3, 2, []
+    for epoch, n in enumerate(arrivals):
+        new = list(range(len(ids), len(ids) + n))
+        ids += new
+        rows = spark.createDataFrame([(i,) for i in reversed(new)], "id bigint")
+        for _ in range(1 + epoch % 2):  # every second epoch runs twice
+            S.write_epoch(rows, epoch, ["id"], out, counted, ranks, size)
+        full = len(ids) // 6 * 6
+        got = sorted(map(tuple, S.read_batches(spark, out, finished=False).collect()))
+        assert got == dealt_by_hand(ids[:full], ranks, size)
+        assert spark.read.parquet(f"{out}/carried/epoch={epoch}").count() == len(ids) - full
+    S.finish(spark, out, counted, ranks, size)
+    S.finish(spark, out, counted, ranks, size)
+    assert sorted(map(tuple, S.read_batches(spark, out).collect())) == dealt_by_hand(ids, ranks, size)
+
+
+# ---- how often an input is evaluated -------------------------------------
+
+def evaluations(spark, rows, use):
+    """How many times every row of a frame is made while ``use(frame)`` runs."""
+    made = spark.sparkContext.accumulator(0)
+
+    def pass_on(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    n = rows.count()
+    use(rows.mapInArrow(pass_on, rows.schema))
+    return made.value / n
+
+
+def test_numbering_evaluates_its_input_twice(spark, tmp_path):
+    rows = spark.range(1000).select("id", F.col("id").cast("string").alias("text"))
+    numbered = lambda df: dense_index(df, ["id"]).write.format("noop").mode("overwrite").save()
+    assert evaluations(spark, rows, numbered) == 2
+    assert evaluations(spark, rows, lambda df: seeded_shuffle(df, ["id"], 1).write.format("noop").mode("overwrite").save()) == 2
+    shards_out, batches_out = str(tmp_path / "shards"), str(tmp_path / "batches")
+    assert evaluations(spark, rows, lambda df: shards.write_epoch(df, 0, ["id"], shards_out, 7)) == 2
+    assert evaluations(spark, rows, lambda df: S.write_epoch(df, 0, ["id"], batches_out, counted, 3, 2)) == 2
