@@ -8,16 +8,18 @@ from pyspark.sql import functions as F
 from pairloom.constants import BATCH_LENGTH
 from pairloom.functions import schedules
 from pairloom.operators import batches as B
-from pairloom.operators import steps
+from pairloom.operators import permutation, steps
+from pairloom.operators.distribution import assign_batches, rank_split
 from pairloom.plans import adapters as A
 from pairloom.plans import queries as Q
 from pairloom.scratch import new_path
-from pairloom.sources import logs
+from pairloom.sources import file_index, logs, slices
 from pairloom.sources.datasets import map_columns
 from pairloom.streaming import batches, log_tail, windows
 from pairloom.streaming import prepare as stream_prepare
 
 ROUNDS = 3
+DELIVERY_FILES = 5
 
 
 def stream_log_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,4 +87,45 @@ def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Q.Query] = {f.__name__: f for f in (stream_log_tail, stream_closed_windows, stream_batches)}
+def _delivered(spark: SparkSession, rows: DataFrame, out: str, deliveries: list) -> str:
+    """A data set that arrives in deliveries of several files each, and the index that grows with it."""
+    for wanted in deliveries:
+        rows.where(wanted).repartitionByRange(DELIVERY_FILES, "doc_id").sortWithinPartitions("doc_id").write.mode("append").parquet(f"{out}/data")
+        file_index.add_files(spark, f"{out}/data", f"{out}/index")
+    return f"{out}/index"
+
+
+def index_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row numbers after a second and a third delivery: those of the first have stayed."""
+    texts = A.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    arrival = F.coalesce(F.pmod("doc_id", F.lit(ROUNDS)), F.lit(0))
+    index = _delivered(spark, texts, new_path(spark, "index-append"), [arrival == part for part in range(ROUNDS)])
+    return file_index.read_rows(spark, index, ["doc_id", "lang"])
+
+
+SPLIT_EXPRESSION = "train[:50%]+validation[-10%:]+train[10:20]+validation"
+
+
+def split_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sum of slices of two splits, which lie in several files each."""
+    texts = A.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.col("lang") == "es", F.lit(False))
+    indexes = {
+        split: _delivered(spark, texts, new_path(spark, f"split-{split}"), [wanted])
+        for split, wanted in (("train", ~held_out), ("validation", held_out))
+    }
+    return slices.read_slices(spark, indexes, SPLIT_EXPRESSION, ["doc_id", "text"]).select("split", "idx", "n_rows", "doc_id", "text")
+
+
+def permuted_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks and batches of documents in a seeded order that needs no sort: nothing is shuffled from the source on."""
+    texts = A.table(spark, sf_dir, "documents").select("doc_id")
+    index = _delivered(spark, texts, new_path(spark, "permuted"), [F.lit(True)])
+    n_rows = file_index.indexed_rows(file_index.manifest(spark, index))
+    ordered = permutation.permuted_order(file_index.read_rows(spark, index, ["doc_id"]), n_rows, Q.SEED)
+    return assign_batches(rank_split(ordered, Q.RANKS), Q.BATCH).select("doc_id", "idx", "rank", "batch_id", "row_in_batch")
+
+
+QUERIES: dict[str, Q.Query] = {f.__name__: f for f in (
+    stream_log_tail, stream_closed_windows, stream_batches, split_expression, index_append, permuted_batches,
+)}

@@ -6,7 +6,10 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from pairloom.operators import permutation as P
 from pairloom.operators.ordering import dense_index, seeded_shuffle
+from pairloom.sources import file_index as X
+from pairloom.sources import slices as L
 from pairloom.streaming import batches as S
 from pairloom.streaming import log_tail as T
 from pairloom.streaming import shards
@@ -190,3 +193,103 @@ def test_numbering_evaluates_its_input_twice(spark, tmp_path):
     shards_out, batches_out = str(tmp_path / "shards"), str(tmp_path / "batches")
     assert evaluations(spark, rows, lambda df: shards.write_epoch(df, 0, ["id"], shards_out, 7)) == 2
     assert evaluations(spark, rows, lambda df: S.write_epoch(df, 0, ["id"], batches_out, counted, 3, 2)) == 2
+
+
+# ---- a kept index, slices, a permutation ---------------------------------
+
+def deliver(spark, folder, ids, files=3):
+    spark.createDataFrame([(i, f"t{i}") for i in ids], "id bigint, text string").repartitionByRange(files, "id").sortWithinPartitions("id").write.mode("append").parquet(folder)
+
+
+def test_old_rows_keep_their_numbers_and_their_files_are_not_read_again(spark, tmp_path):
+    folder, index = str(tmp_path / "a b+c %25"), str(tmp_path / "index")
+    deliver(spark, folder, range(100, 110))
+    assert X.add_files(spark, folder, index) == 10
+    old = X.read_rows(spark, index, ["id"]).collect()
+    assert X.add_files(spark, folder, index) == 0
+    first_files = set(os.listdir(folder))
+    deliver(spark, folder, range(7))
+    # old files that cannot be read show that only new ones are looked at
+    contents = {}
+    for name in first_files:
+        if name.endswith(".parquet"):
+            contents[name] = open(f"{folder}/{name}", "rb").read()
+            os.remove(f"{folder}/.{name}.crc")
+            with open(f"{folder}/{name}", "wb") as file:
+                file.write(b"x" * len(contents[name]))
+    assert X.add_files(spark, folder, index) == 7
+    with pytest.raises(Exception, match="footer"):
+        X.read_rows(spark, index, ["id"], 0, 5).collect()
+    for name, content in contents.items():
+        with open(f"{folder}/{name}", "wb") as file:
+            file.write(content)
+    rows = X.read_rows(spark, index, ["id"]).collect()
+    assert {(r.id, r.idx) for r in rows} == {(r.id, r.idx) for r in old} | {(i, 10 + i) for i in range(7)}
+    assert {r.n_rows for r in rows} == {17}
+
+
+def test_a_changed_file_and_an_empty_index(spark, tmp_path):
+    folder, index = str(tmp_path / "data"), str(tmp_path / "index")
+    with pytest.raises(ValueError, match="nothing is indexed"):
+        X.read_rows(spark, index, ["id"])
+    deliver(spark, folder, range(5), files=1)
+    X.add_files(spark, folder, index)
+    name = [f for f in os.listdir(folder) if f.endswith(".parquet")][0]
+    spark.createDataFrame([(1, "another text")], "id bigint, text string").coalesce(1).write.parquet(str(tmp_path / "other"))
+    other = [f for f in os.listdir(tmp_path / "other") if f.endswith(".parquet")][0]
+    os.remove(f"{folder}/.{name}.crc")
+    with open(f"{folder}/{name}", "wb") as file:
+        file.write(open(tmp_path / "other" / other, "rb").read())
+    with pytest.raises(PySparkException, match="changed since it was indexed"):
+        X.read_rows(spark, index, ["id"]).collect()
+
+
+def test_bounds_of_slices():
+    bounds = lambda text, n: L.parse_slices(text)[0].rows(n)
+    assert bounds("train", 7) == (0, 7) and bounds("train[:50%]", 5) == (0, 2) and bounds("train[:50%]", 7) == (0, 4)
+    assert bounds("a-b.c[ 10 : 20 ]", 15) == (10, 15) and bounds("t[-10%:]", 25) == (23, 25) and bounds("t[-3:-1]", 10) == (7, 9)
+    assert bounds("t[5:2]", 10) == (5, 5) and bounds("t[-20:]", 10) == (0, 10) and bounds("t[33.5%:]", 200) == (67, 200)
+    assert [s.split for s in L.parse_slices("train[:1]+validation + test[2%:]")] == ["train", "validation", "test"]
+    for wrong in ("", "train[", "train[1]", "train[a:b]", "train[:5%%]", "+", "train[:1]]", "train [:1] x"):
+        with pytest.raises(ValueError, match="not a slice"):
+            L.parse_slices(wrong)
+
+
+def test_a_slice_opens_only_its_files(spark, tmp_path):
+    folder, index = str(tmp_path / "data"), str(tmp_path / "index")
+    deliver(spark, folder, range(100), files=10)
+    X.add_files(spark, folder, index)
+    sizes = [r.rows for r in X.manifest(spark, index).orderBy("first").collect()]
+    for start, stop in ((0, 1), (0, 50), (95, 100), (20, 20), (0, 100), (33, 61)):
+        rows = X.read_rows(spark, index, ["id"], start, stop)
+        assert sorted(r.id for r in rows.collect()) == list(range(start, stop))
+        ends = [sum(sizes[:i + 1]) for i in range(len(sizes))]
+        needed = sum(e > start and e - n < stop for e, n in zip(ends, sizes)) if stop > start else 1
+        data = [f for f in rows.inputFiles() if "/data/" in f]
+        assert len(data) == needed
+    both = L.read_slices(spark, {"train": index, "test": index}, "test[90:]+train[:5%]+test[3:3]", ["id"])
+    assert [(r.split, r.id) for r in both.orderBy("idx").collect()] == [("test", i) for i in range(90, 100)] + [("train", i) for i in range(5)]
+    assert {r.n_rows for r in both.collect()} == {15}
+    with pytest.raises(ValueError, match="no split"):
+        L.read_slices(spark, {"train": index}, "trian", ["id"])
+
+
+@pytest.mark.parametrize("n", (1, 2, 3, 5, 7, 64, 97, 1000, 4097, 10_007))
+def test_a_permutation_of_any_size(spark, n):
+    places = spark.range(n).select("id", P.permuted(F.col("id"), n, 5).alias("at"), P.permuted(F.col("id"), n, 6).alias("other"))
+    assert "Exchange" not in places._jdf.queryExecution().executedPlan().toString()
+    rows = places.collect()
+    assert sorted(r["at"] for r in rows) == sorted(r["other"] for r in rows) == list(range(n))
+    if n > 90:
+        assert [r["at"] for r in rows] != [r["other"] for r in rows]
+        # as little order as in any shuffled list: half of the steps go up, and hardly any row stays
+        ups = sum(b["at"] > a["at"] for a, b in zip(rows, rows[1:]))
+        assert abs(ups / (n - 1) - 0.5) < 0.12 and sum(r.id == r["at"] for r in rows) < 10
+
+
+def test_a_permutation_of_very_many_rows_takes_any_of_them(spark):
+    n = (1 << 60) - 3
+    rows = spark.range(n - 2000, n).select(P.permuted(F.col("id"), n, 1).alias("at")).collect()
+    assert len({r["at"] for r in rows}) == 2000 and all(0 <= r["at"] < n for r in rows)
+    with pytest.raises(ValueError):
+        P.permuted(F.col("id"), P.MAX_ROWS + 1, 1)
