@@ -6,20 +6,26 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairloom.constants import BATCH_LENGTH
-from pairloom.functions import schedules
+from pairloom.functions import schedules, templates
+from pairloom.functions.encoding import encode_segments
+from pairloom.functions.sequences import out_of_range
 from pairloom.operators import batches as B
-from pairloom.operators import permutation, steps
+from pairloom.operators import checks, permutation, steps
+from pairloom.operators import scoring as R
 from pairloom.operators.distribution import assign_batches, rank_split
+from pairloom.operators.ordering import dense_index
 from pairloom.plans import adapters as A
 from pairloom.plans import queries as Q
 from pairloom.scratch import new_path
-from pairloom.sources import file_index, logs, slices
+from pairloom.sources import file_index, log_store, logs, score_tables, shards, slices
 from pairloom.sources.datasets import map_columns
 from pairloom.streaming import batches, log_tail, windows
 from pairloom.streaming import prepare as stream_prepare
 
 ROUNDS = 3
 DELIVERY_FILES = 5
+CHECKED_IDS = 200
+CHECKED_LENGTH = 4000
 
 
 def stream_log_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,6 +132,82 @@ def permuted_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_batches(rank_split(ordered, Q.RANKS), Q.BATCH).select("doc_id", "idx", "rank", "batch_id", "row_in_batch")
 
 
+def log_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A training log of two appends, many tasks each, and the second one repeated: its lines with their place in the order."""
+    path = new_path(spark, "log-in-order")
+    lines = Q._sft_lines(spark, sf_dir).withColumn("run_id", F.lit("run 5%"))
+    # cut between two steps, in the middle of the log
+    cut = lines.agg(F.max("step")).first()[0] or 0
+    for append_id, part in (("first", F.col("step") <= cut // 2), ("second", F.col("step") > cut // 2), ("second", F.lit(True))):
+        log_store.append_lines(lines.where(part), path, append_id)
+    placed = dense_index(log_store.read_ordered(spark, path), ["run_id", "append", "file", "at"])
+    return placed.select("run_id", "idx", "value")
+
+
+def prepare_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard rows that are checked in the pass that writes them: rows kept, rows refused with their reasons, and the counts."""
+    texts = Q.documents_with_nulls(spark, sf_dir).withColumnsRenamed({"source": "query", "text": "response"})
+    segments = templates.shard_segments(F.col("query"), F.col("response"))
+    encoded = texts.withColumn("ids", encode_segments(segments, Q.BYTES))
+    wrong = {
+        **checks.null_checks(["query", "response"]),
+        "id out of range": out_of_range(F.col("ids"), CHECKED_IDS) > 0,
+        "too long": F.size("ids") > CHECKED_LENGTH,
+    }
+    out = new_path(spark, "prepare-checked")
+    counts = checks.write_checked(encoded, out, wrong)
+    kept = checks.read_checked(encoded, out).select(
+        F.lit("kept").alias("kind"), "doc_id", Q.joined(F.col("ids")).alias("detail"), F.lit(None).cast("bigint").alias("n")
+    )
+    refused = checks.read_checked(encoded, out, refused=True).select(
+        F.lit("refused").alias("kind"), "doc_id", F.array_join("reasons", ", ").alias("detail"), F.lit(None).cast("bigint").alias("n")
+    )
+    counted = spark.createDataFrame([("count", None, name, n) for name, n in counts.items()], kept.schema)
+    return kept.unionByName(refused).unionByName(counted)
+
+
+def shard_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two splits of shards, one of them with one file a shard, committed and verified."""
+    folder, rows = new_path(spark, "shard-verify"), Q._shard_table(spark, sf_dir)
+    shards.write_shards(rows, folder, "documents")
+    path = shards.write_shards(rows.where("shard_id % 2 = 0"), folder, "documents", "validation", one_file=True)
+    shards.commit_shards(spark, path)
+    shards.read_committed(spark, path)
+    return shards.verify_shards(spark, path).select(
+        "split", "shard_id", "rows", "checksum", "state", F.when(F.col("split") == "validation", F.col("files")).alias("files_if_one")
+    )
+
+
+def report_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The preference report from bucketed tables of labels, scores and reference scores."""
+    out = new_path(spark, "bucketed")
+    rows = Q._scored_dpo(spark, sf_dir)
+    rows.write.parquet(f"{out}/rows")
+    rows = spark.read.parquet(f"{out}/rows")
+    # a pair's number: its place among all pairs
+    pair_id = (F.col("batch_id") * Q.BATCH + F.col("pair_in_batch")) * Q.RANKS + F.col("rank")
+    following = F.slice("y", F.lit(2), F.greatest(F.size("y") - 1, F.lit(0)))
+    tables = {
+        "label": following, "policy": F.col("policy_logps"), "reference": F.col("reference_logps"),
+    }
+    names = [
+        score_tables.write_bucketed(
+            rows.select(pair_id.alias("pair_id"), "side", F.posexplode(values).alias("pos", "label" if kind == "label" else "logp")),
+            out, sort=["side", "pos"],
+        )
+        for kind, values in tables.items()
+    ]
+    pairs = rows.where("side = 'chosen'").select(pair_id.alias("pair_id"), "rank", "batch_id", "rank_steps", "pair_in_batch")
+    pairs = spark.table(score_tables.write_bucketed(pairs, out))
+    scores = score_tables.pair_scores(spark, *names)
+    scored = R.score_pairs(pairs.join(scores.hint("merge"), "pair_id"))
+    report = R.with_ramp_lr(R.preference_report(scored, ["rank", "batch_id", "rank_steps"]), "rank_steps", Q.BASE_LR)
+    return report.select(
+        "rank", "batch_id", "pairs", *[Q.rounded(F.col(c)).alias(c) for c in Q.REPORT_FIGURES], F.round("lr", 9).alias("lr"),
+    )
+
+
 QUERIES: dict[str, Q.Query] = {f.__name__: f for f in (
     stream_log_tail, stream_closed_windows, stream_batches, split_expression, index_append, permuted_batches,
+    report_bucketed, log_in_order, prepare_checked, shard_verify,
 )}

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from pairloom.constants import SHARD_ASSISTANT_FORMAT, SHARD_LENGTH, SHARD_USER_FORMAT
 from pairloom.operators import permutation as P
 from pairloom.plans import lasting as L
 from pairloom.plans import queries as Q
 from pairloom.plans.oracles import ORACLES as PLAIN
-from pairloom.plans.oracles import BATCH_TEXT, DOCUMENT_SAMPLES, NUMBERED_DOCUMENTS, SFT_LENGTH, STEPS, dealt, window_of
+from pairloom.plans.oracles import (
+    BATCH_TEXT, DOCUMENT_SAMPLES, NUMBERED_DOCUMENTS, SFT_LENGTH, SFT_LINES, SHARD_IDS, STEPS, concat, constant, dealt, text, utf8, window_of,
+)
+from pairloom.sources import shards as S
 
 def permutation_sql(source: str, key: str) -> str:
     """``key, idx, n_rows`` of a numbered source, permuted by the same integer arithmetic in one CTE a round."""
@@ -67,4 +71,45 @@ SELECT rank, batch_id, row_in_batch, {BATCH_TEXT} FROM batches""",
 FROM documents""",
     "permuted_batches": f"""WITH RECURSIVE {NUMBERED_DOCUMENTS}, {permutation_sql("numbered", "doc_id")}, {dealt("permuted")}
 SELECT doc_id, idx, rank, batch_id, row_in_batch FROM dealt""",
+    "report_bucketed": PLAIN["dpo_report"],
+    "log_in_order": f"""WITH {SFT_LINES}
+SELECT 'run 5%' AS run_id, row_number() OVER (ORDER BY step, kind) - 1 AS idx, value FROM lines""",
+    "prepare_checked": f"""WITH texts AS (
+  SELECT doc_id, nullif(source, 'src3') AS query, CASE WHEN lang <> 'es' THEN text END AS response FROM documents
+),
+ids AS (
+  SELECT *, {concat(constant(SHARD_USER_FORMAT), utf8("' ' || query || ' '"), constant(SHARD_ASSISTANT_FORMAT),
+                    utf8("' ' || response"))} AS list, query IS NOT NULL AND response IS NOT NULL AS whole
+  FROM texts
+),
+judged AS (
+  SELECT doc_id, list, query IS NULL AS a, response IS NULL AS b,
+         whole AND list_max(list) >= {L.CHECKED_IDS} AS c, whole AND len(list) > {L.CHECKED_LENGTH} AS d
+  FROM ids
+)
+SELECT 'kept' AS kind, doc_id, {text('list')} AS detail, NULL::BIGINT AS n FROM judged WHERE NOT (a OR b OR c OR d)
+UNION ALL
+SELECT 'refused', doc_id, concat_ws(', ', CASE WHEN a THEN 'null query' END, CASE WHEN b THEN 'null response' END,
+       CASE WHEN c THEN 'id out of range' END, CASE WHEN d THEN 'too long' END), NULL
+FROM judged WHERE a OR b OR c OR d
+UNION ALL SELECT 'count', NULL, 'rows', count(*) FROM judged
+UNION ALL SELECT 'count', NULL, 'refused', count(*) FROM judged WHERE a OR b OR c OR d
+UNION ALL SELECT 'count', NULL, 'null query', count(*) FROM judged WHERE a
+UNION ALL SELECT 'count', NULL, 'null response', count(*) FROM judged WHERE b
+UNION ALL SELECT 'count', NULL, 'id out of range', count(*) FROM judged WHERE c
+UNION ALL SELECT 'count', NULL, 'too long', count(*) FROM judged WHERE d""",
+    "shard_verify": f"""WITH {SHARD_IDS},
+numbered AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM shard_tokens),
+placed AS (
+  SELECT idx // {Q.SHARD} AS shard_id, (idx % {Q.SHARD})::BIGINT AS place, least(len(ids), {SHARD_LENGTH})::BIGINT AS length, tokens FROM numbered
+),
+summed AS (
+  SELECT shard_id, list_reduce(list_concat([(place * 31 + length) % {S.CHECK_PRIME}], tokens::BIGINT[]),
+                               lambda s, t: (s * {S.CHECK_FACTOR} + t) % {S.CHECK_PRIME}) AS checksum
+  FROM placed
+)
+SELECT split, shard_id::INTEGER AS shard_id, count(*) AS rows, sum(checksum)::BIGINT AS checksum, 'ok' AS state,
+       CASE WHEN split = 'validation' THEN 1 END::BIGINT AS files_if_one
+FROM summed, (VALUES ('train'), ('validation')) s(split)
+WHERE split = 'train' OR shard_id % 2 = 0 GROUP BY split, shard_id""",
 }

@@ -34,7 +34,7 @@ from pairloom.operators.ordering import dense_index, seeded_shuffle, source_inde
 from pairloom.plans import adapters as A
 from pairloom.plans import flows
 from pairloom.scratch import new_path
-from pairloom.sources import logs, shards
+from pairloom.sources import log_store, logs, shards
 from pairloom.sources.datasets import DPO_COLUMNS, SFT_COLUMNS, map_columns, null_rows, scan
 from pairloom.sources.vocabulary import decode_ranks_file, installed_ranks_path
 from pairloom.streaming import logs as live
@@ -700,15 +700,15 @@ def log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _dpo_lines(spark, sf_dir).withColumn(
         "run_id", F.concat(F.lit("rank"), F.col("rank").cast("string"))
     )
-    logs.append_log(lines, path)
-    return logs.parse_dpo_log(logs.read_log(spark, path), "run_id")
+    log_store.append_lines(lines, path)
+    return logs.parse_dpo_log(log_store.read_lines(spark, path), "run_id")
 
 
 def sft_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log of a run whose name has a blank and a percent sign, appended and read back."""
     path = new_path(spark, "sft-log")
-    logs.append_log(_sft_lines(spark, sf_dir).withColumn("run_id", F.lit("run 5%")), path)
-    return logs.parse_sft_log(logs.read_log(spark, path), "run_id")
+    log_store.append_lines(_sft_lines(spark, sf_dir).withColumn("run_id", F.lit("run 5%")), path)
+    return logs.parse_sft_log(log_store.read_lines(spark, path), "run_id")
 
 
 def null_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -792,8 +792,8 @@ def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logs written in parts, read as a stream, summed per window of logged steps."""
     out = new_path(spark, "stream-log")
     lines = _sft_lines(spark, sf_dir).withColumn("run_id", F.lit("run0"))
-    logs.append_log(lines, f"{out}/log")
-    windows = live.live_windows(live.read_log_stream(spark, f"{out}/log"), SFT_LOG_EVERY * 10)
+    log_store.append_lines(lines, f"{out}/log")
+    windows = live.live_windows(log_store.stream_lines(spark, f"{out}/log"), SFT_LOG_EVERY * 10)
     live.write_windows(windows, out).awaitTermination()
     return live.latest_windows(spark, out).select(
         "run_id", "window_id", rounded(F.col("loss")).alias("loss"), "lines"

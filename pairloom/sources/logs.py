@@ -58,7 +58,8 @@ def sft_log_lines(training: DataFrame, validation: DataFrame, log_every: int) ->
 def append_log(lines: DataFrame, path: str, run: str = "run_id") -> None:
     """Appends ``value`` lines in the order of their steps, header first.
 
-    Every run has its own folder, and every append adds one file to it.
+    Every run has its own folder, and every append adds one file to it, written by one task; ``log_store``
+    spreads a run over many.
     """
     order = [c for c in ("step", "line_in_step", "kind") if c in lines.columns]
     gathered = lines.repartition(run).sortWithinPartitions(run, *order)
@@ -71,16 +72,19 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     A run is a ``run_id=...`` folder as ``append_log`` makes it, or any other folder
     that holds its log file (``logs.txt``, ``sft.txt``), whose name it then has.
     """
+    found = spark.read.option("recursiveFileLookup", "true").text(path)
+    return found.select("value", run_name(F.col("_metadata.file_path")).alias("run_id"))
+
+
+def run_name(place: Column) -> Column:
+    """The run that a file belongs to, from its path."""
     def decoded(name: Column) -> Column:
         return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
-    place = F.col("_metadata.file_path")
     made = F.regexp_extract(place, r"/run_id=([^/]+)/[^/]*$", 1)
     folder = F.regexp_extract(place, r"/([^/]+)/[^/]*$", 1)
     # the path is encoded once as such, and a partition's name once more
-    run = F.when(made != "", decoded(decoded(made))).otherwise(decoded(folder))
-    found = spark.read.option("recursiveFileLookup", "true").text(path)
-    return found.select("value", run.alias("run_id"))
+    return F.when(made != "", decoded(decoded(made))).otherwise(decoded(folder))
 
 
 def parse_dpo_log(lines: DataFrame, *keep: str) -> DataFrame:
