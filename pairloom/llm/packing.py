@@ -9,7 +9,7 @@ fill a last sequence goes into sequences of powers of two, so nothing is padded.
 Each task packs its own documents, pool by pool: no document is shuffled, and a task holds
 one pool.  The same input split gives the same sequences on every attempt.
 
-Words are encoded once a task and looked up afterwards; that is exact, as the tokenizer's
+Words are encoded once and looked up afterwards, as long as a worker keeps them; that is exact, as the tokenizer's
 pieces never reach over ASCII white space.
 
 Defined cases: a null or empty text is its end token alone; repeated rows and null ids are
@@ -18,6 +18,7 @@ documents of their own; a text longer than a sequence is cut; an empty table giv
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,25 +33,108 @@ CAPACITY = 2048
 QUADRATIC = 2048  # tokens at which attention costs as much as the linear layers
 POOL_PIECES = 4096
 END = 1
-KNOWN_WORDS = 500_000  # words a task remembers before it begins anew
+KNOWN_BYTES = 96 << 20  # of words and ids in each of two generations that a worker keeps
+ENTRY_BYTES = 150  # what a word takes besides
+WORDS_A_CALL = 500
+GROUP_BYTES = 1 << 20  # texts are split into words by so much
+SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]")
 
 COLUMNS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_length")
 
 
-class WordIds(dict):
-    """The ids of a word, as the bytes of little-endian 32-bit numbers."""
+class WordIds:
+    """The ids of words, as the bytes of little-endian 32-bit numbers, kept for the words seen lately.
+
+    Words are kept in two generations: when the young one is full it becomes the old one, whose words go unless they
+    are seen again, so what is kept has a bound in bytes and frequent words stay.  New words are encoded by the
+    hundred, with a control character between them whose one id parts their ids; words that hold it, or may hold
+    a special token, are encoded alone.
+    """
+
+    BETWEEN = b"\x01"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        packed = self[word] = np.array(ids, "<u4").tobytes()
-        return packed
+        between = self.tokenizer.encode(self.BETWEEN.decode(), add_special_tokens=False).ids
+        self.between = between[0] if len(between) == 1 else None
+        self.young, self.old, self.size = {}, {}, 0
+
+    @classmethod
+    def of(cls, path: str) -> WordIds:
+        """This worker's words: a worker runs many tasks, and keeps those of one vocabulary."""
+        if path not in _KEPT:
+            _KEPT.clear()
+            _KEPT[path] = cls(path)
+        return _KEPT[path]
+
+    def _alone(self, word: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        """Ids of a few hundred words, in one call where that can part them."""
+        joined = b" \x01 ".join(words)
+        if self.between is None or b"<|" in joined or joined.count(self.BETWEEN) != len(words) - 1:
+            return [self._alone(w) for w in words]
+        ids = np.array(self.tokenizer.encode_batch_fast([joined.decode()], add_special_tokens=False)[0].ids, "<u4")
+        stops = [*np.flatnonzero(ids == self.between).tolist(), len(ids)]
+        packed = ids.tobytes()
+        return [packed[4 * (a + 1):4 * b] for a, b in zip([-1, *stops[:-1]], stops)]
+
+    def _keep(self, word: bytes, ids: bytes) -> None:
+        self.young[word] = ids
+        self.size += len(word) + len(ids) + ENTRY_BYTES
+        if self.size > KNOWN_BYTES:
+            self.young, self.old, self.size = {}, self.young, 0
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text."""
+        split = [t.split() for t in texts]
+        here, new = {}, []
+        for word in set().union(*split):
+            ids = self.young.get(word)
+            if ids is None:
+                ids = self.old.get(word)
+                if ids is None:
+                    new.append(word)
+                    continue
+                self._keep(word, ids)
+            here[word] = ids
+        for i in range(0, len(new), WORDS_A_CALL):
+            some = new[i:i + WORDS_A_CALL]
+            for word, ids in zip(some, self._encoded(some)):
+                here[word] = ids
+                self._keep(word, ids)
+        return [b"".join(map(here.__getitem__, words)) for words in split]
+
+
+_KEPT: dict[str, WordIds] = {}
+
+
+def _groups(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """(first text, texts) of about ``GROUP_BYTES``; a longer text is a group of its own."""
+    held, size, first = [], 0, 0
+    for i, text in enumerate(texts):
+        held.append(text.as_py())
+        size += len(held[-1])
+        if size >= GROUP_BYTES:
+            yield first, held
+            held, size, first = [], 0, i + 1
+    if held:
+        yield first, held
+
+
+def _ids(words: WordIds, text: bytes) -> bytes:
+    """The ids of a long text, part by part; parts end between words."""
+    out, start = [], 0
+    while start < len(text):
+        stop = start + GROUP_BYTES
+        space = SPACE.search(text, stop) if stop < len(text) else None
+        stop = space.end() if space else len(text)
+        out += words.ids([text[start:stop]])
+        start = stop
+    return b"".join(out)
 
 
 def vocabulary_path() -> str:
@@ -92,7 +176,7 @@ def packed(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str |
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = WordIds.of(path)
         end = np.array([END], "<u4").tobytes()
         first = TaskContext.get().partitionId() << 32
         pool: list[tuple] = []
@@ -121,19 +205,22 @@ def packed(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str |
         for batch in batches:
             kind = batch.schema.field("key").type
             texts = pc.fill_null(batch.column("text"), "").cast(pa.binary())
-            for key, data in zip(batch.column("key").to_pylist(), texts):
-                ids = b"".join(map(words.__getitem__, data.as_py().split())) + end
-                tokens = len(ids) // 4
-                whole = tokens // CAPACITY
-                for i in range(whole):
-                    row(key, ids[4 * CAPACITY * i:4 * CAPACITY * (i + 1)], CAPACITY * i, CAPACITY, tokens, first, 0, CAPACITY)
-                    first += 1
-                if tokens % CAPACITY:
-                    pool.append((key, ids[4 * CAPACITY * whole:], CAPACITY * whole, tokens))
-                if len(pool) >= POOL_PIECES:
-                    empty_pool()
-                if len(rows) >= 10_000:
-                    yield flushed()
+            keys = batch.column("key").to_pylist()
+            for at, group in _groups(texts):
+                found = words.ids(group) if len(group) > 1 else [_ids(words, group[0])]
+                for key, ids in zip(keys[at:at + len(group)], found):
+                    ids += end
+                    tokens = len(ids) // 4
+                    whole = tokens // CAPACITY
+                    for i in range(whole):
+                        row(key, ids[4 * CAPACITY * i:4 * CAPACITY * (i + 1)], CAPACITY * i, CAPACITY, tokens, first, 0, CAPACITY)
+                        first += 1
+                    if tokens % CAPACITY:
+                        pool.append((key, ids[4 * CAPACITY * whole:], CAPACITY * whole, tokens))
+                    if len(pool) >= POOL_PIECES:
+                        empty_pool()
+                    if len(rows) >= 10_000:
+                        yield flushed()
         if pool:
             empty_pool()
         if rows:
