@@ -407,11 +407,11 @@ def test_components(spark, sf_dir, seed):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == plain_components(docs)
 
 
-def test_components_without_common_tokens_and_with_small_parts(spark, sf_dir, monkeypatch):
-    """Neither the table of common tokens nor the size of chunks and tiles decides any link."""
+def test_components_with_small_parts(spark, sf_dir, monkeypatch):
+    """Neither the order's levels nor the size of blocks and tiles decides any link."""
     docs = documents(spark, sf_dir)
     expected = plain_components(docs)
-    for settings in ({}, {"COMMON_LEAST": 10**9}, {"COMMON_LEAST": 3, "CHUNK_TOKENS": 2000, "TILE": 2, "STAR_ROUNDS": 0}):
+    for settings in ({}, {"LEVELS": 1, "BLOCK_BYTES": 1}, {"BLOCK_BYTES": 20_000, "BUCKET_TOKENS": 50, "TILE": 2, "STAR_ROUNDS": 0}):
         for name, value in settings.items():
             monkeypatch.setattr(jaccard_join, name, value)
         got = jaccard_join.jaccard_components(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)).collect()
