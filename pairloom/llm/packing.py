@@ -33,7 +33,7 @@ CAPACITY = 2048
 QUADRATIC = 2048  # tokens at which attention costs as much as the linear layers
 POOL_PIECES = 4096
 END = 1
-KNOWN_BYTES = 96 << 20  # of words and ids in each of two generations that a worker keeps
+KNOWN_BYTES = 48 << 20  # of words and ids in each of two generations that a worker keeps
 ENTRY_BYTES = 150  # what a word takes besides
 WORDS_A_CALL = 500
 GROUP_BYTES = 1 << 20  # texts are split into words by so much
