@@ -9,7 +9,7 @@ fill a last sequence goes into sequences of powers of two, so nothing is padded.
 Each task packs its own documents, pool by pool: no document is shuffled, and a task holds
 one pool.  The same input split gives the same sequences on every attempt.
 
-Words are encoded once and looked up afterwards, as long as a worker keeps them; that is exact, as the tokenizer's
+Words are encoded once a task and looked up afterwards, as long as they are kept; that is exact, as the tokenizer's
 pieces never reach over ASCII white space.
 
 Defined cases: a null or empty text is its end token alone; repeated rows and null ids are
@@ -33,9 +33,10 @@ CAPACITY = 2048
 QUADRATIC = 2048  # tokens at which attention costs as much as the linear layers
 POOL_PIECES = 4096
 END = 1
-KNOWN_BYTES = 48 << 20  # of words and ids in each of two generations that a worker keeps
+KNOWN_BYTES = 96 << 20  # of words and ids in each of two generations that a task keeps
 ENTRY_BYTES = 150  # what a word takes besides
 WORDS_A_CALL = 500
+MARKS = b".,;:!?"
 GROUP_BYTES = 1 << 20  # texts are split into words by so much
 SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]")
 
@@ -47,8 +48,8 @@ class WordIds:
 
     Words are kept in two generations: when the young one is full it becomes the old one, whose words go unless they
     are seen again, so what is kept has a bound in bytes and frequent words stay.  New words are encoded by the
-    hundred, with a control character between them whose one id parts their ids; words that hold it, or may hold
-    a special token, are encoded alone.
+    hundred.  Words of ASCII letters, and those with one mark behind them, are parted by the ids that end a piece; others
+    by a control character between them, which has one id; words that hold it, or may hold a special token, are encoded alone.
     """
 
     BETWEEN = b"\x01"
@@ -59,16 +60,23 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         between = self.tokenizer.encode(self.BETWEEN.decode(), add_special_tokens=False).ids
         self.between = between[0] if len(between) == 1 else None
-        self.young, self.old, self.size = {}, {}, 0
+        # ids that end a piece of the tokenizer: every piece of a word has one, its last
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        self.forget()
 
     @classmethod
     def of(cls, path: str) -> WordIds:
-        """This worker's words: a worker runs many tasks, and keeps those of one vocabulary."""
+        """This worker's, without words: a worker runs many tasks, and keeps the tokenizer of one vocabulary."""
         if path not in _KEPT:
             _KEPT.clear()
             _KEPT[path] = cls(path)
+        _KEPT[path].forget()
         return _KEPT[path]
 
+    def forget(self) -> None:
+        self.young, self.old, self.size = {}, {}, 0
+
     def _alone(self, word: bytes) -> bytes:
         return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -82,6 +90,33 @@ class WordIds:
         packed = ids.tobytes()
         return [packed[4 * (a + 1):4 * b] for a, b in zip([-1, *stops[:-1]], stops)]
 
+    def _plain(self, words: list[bytes], pieces: list[int]) -> list[bytes]:
+        """Ids of words of so many pieces each, at least: they follow each other, and the ends of pieces part them."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids])
+        if len(ends) != sum(pieces):  # some word has more pieces
+            return self._encoded(words)
+        stops = (ends[np.cumsum(pieces) - 1] + 1).tolist()
+        packed = ids.tobytes()
+        return [packed[4 * a:4 * b] for a, b in zip([0, *stops[:-1]], stops)]
+
+    def _learned(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """New words with their ids: letters alone are one piece, with a mark behind them two."""
+        plain, pieces, others = [], [], []
+        for word in words:
+            if word.isalpha():
+                pieces.append(1)
+            elif word[-1] in MARKS and word[:-1].isalpha():
+                pieces.append(2)
+            else:
+                others.append(word)
+                continue
+            plain.append(word)
+        for i in range(0, len(plain), WORDS_A_CALL):
+            yield from zip(plain[i:i + WORDS_A_CALL], self._plain(plain[i:i + WORDS_A_CALL], pieces[i:i + WORDS_A_CALL]))
+        for i in range(0, len(others), WORDS_A_CALL):
+            yield from zip(others[i:i + WORDS_A_CALL], self._encoded(others[i:i + WORDS_A_CALL]))
+
     def _keep(self, word: bytes, ids: bytes) -> None:
         self.young[word] = ids
         self.size += len(word) + len(ids) + ENTRY_BYTES
@@ -101,11 +136,9 @@ class WordIds:
                     continue
                 self._keep(word, ids)
             here[word] = ids
-        for i in range(0, len(new), WORDS_A_CALL):
-            some = new[i:i + WORDS_A_CALL]
-            for word, ids in zip(some, self._encoded(some)):
-                here[word] = ids
-                self._keep(word, ids)
+        for word, ids in self._learned(new):
+            here[word] = ids
+            self._keep(word, ids)
         return [b"".join(map(here.__getitem__, words)) for words in split]
 
 
@@ -221,6 +254,7 @@ def packed(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str |
                         empty_pool()
                     if len(rows) >= 10_000:
                         yield flushed()
+        words.forget()  # later tasks of this worker may be those of other stages
         if pool:
             empty_pool()
         if rows:
