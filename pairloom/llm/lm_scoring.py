@@ -1,472 +1,423 @@
 """Language model scores by a weighted backoff automaton.
 
-Counts: all words, pairs and triples of all training texts.  An n-gram that was seen ``FLOOR``
-times is an arc; a history with arcs is a state.  Counts are discounted by an absolute amount;
-the mass that a history saves is the weight of its failure arc, which leads to the state of its
-shorter history, and so to the root, where every word has an arc.  A traversal from left to right
-carries the state and adds up log10 probabilities.  The state after a word is that of the longest
-history among its last two words, so a block takes the steps of all its positions at once.
-
-Neither words nor arcs are bounded, so they are never broadcast: texts are cut into blocks, and a
-block gets what its own n-grams need by shuffles.  Words are joined with the counts of all blocks.
-Pairs and triples are known by 64-bit hashes and dealt by them, packed, into parts; a part adds up
-the counts of all blocks and answers each of them.  Of the blocks that have an n-gram in a training
-text the first one owns it, so each arc adds to its history's mass once; these sums take the same way.
-
-Defined cases: a null or empty text is its end token alone; a word that was never seen has
-count 0; without training texts all counts are 0 and the scores are those of the root; a null
-id counts as the empty text; repeated rows are scored each; an empty table gives no rows.
+Counts: all words, pairs and triples of all training texts.  An n-gram that was seen ``FLOOR`` times is an arc; a
+history with arcs is a state.  Counts are discounted by an absolute amount.  What a history saves is the weight of its
+failure arc, which leads to the state of its shorter history, and so to the root, where every word has an arc.  An arc
+carries the word's probability with the shorter history's share mixed in, so the probabilities after a history add up to one.
+
+The steps, over blocks of texts:
+
+1. Texts are cut into blocks and written once, as numbers of the block's words, in a table bucketed by block: what
+   comes back for a block meets it without moving it again.
+2. Words, then pairs, then triples are counted.  They are known by 64-bit hashes and dealt by them, packed and in order, into
+   parts; a part adds up the counts of all blocks and answers each of them.  A pair is asked for only if both of its words
+   were seen ``FLOOR`` times, a triple only if both of its pairs were, so no arc is lost.
+3. Of the blocks that have an n-gram in a training text the first one owns it, so each arc adds to what its history
+   has given away once; these sums take the same way.
+4. A block makes states, arcs and failure arcs of its own n-grams, and goes through its texts from left to right: each
+   word takes the state's arc, or the failure arcs until one is found, and the log10 probabilities are added up.  A state
+   knows at most two words, so long texts are cut into lanes that begin two words early, and all lanes go side by side.
+
+Neither words nor arcs are bounded, so they are never broadcast.  The largest things in a task are a block and a part.
+
+Defined cases: a null or empty text is its end token alone; a word that was never seen has count 0; without training
+texts all counts are 0 and the scores are those of the root; a null id counts as the empty text; repeated rows are scored
+each; an empty table gives no rows.  A text is never parted: one longer than a block is a block, of some 50 bytes a token.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.common import mix, shuffle_tasks, stored
 from pairloom.scratch import new_path
 
 BLOCK_TOKENS = 4_000_000
-PART_GRAMS = 1_000_000  # about as many n-grams come to one part
+PART_TOKENS = 1_000_000  # n-grams of about as many tokens come to one part
+LANE = 256
 FLOOR = 2  # an n-gram seen less often is no arc
 DISCOUNT = 0.5
 END = b""  # no word is empty
+WORDS, PAIRS, TRIPLES, AFTER_WORDS, AFTER_PAIRS = 1, 2, 3, 4, 5  # what is counted: n-grams, then what histories gave away
 _CODEC = pa.Codec("zstd", compression_level=1)
 _STEPS = mix(np.arange(1, 6, dtype=np.uint64)) | np.uint64(1)
+_SENT = "block bigint, kind int, part int, many int, keys binary, often binary"
+_ANSWER = "block bigint, kind int, part int, many int, n binary, arcs bigint"
 
 
 def tokens_of(text: bytes) -> list[bytes]:
     return text.lower().split() + [END]
 
 
+# Packed numbers --------------------------------------------------------------------
+
+def _packed(values: np.ndarray) -> bytes:
+    """Compressed, all first bytes first: the upper bytes of small numbers are alike."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
+    return _CODEC.compress(planes, asbytes=True)
+
+
+def _unpacked(packed: bytes, size: int, kind: type) -> np.ndarray:
+    wide = np.dtype(kind).itemsize
+    planes = np.frombuffer(_CODEC.decompress(packed, decompressed_size=wide * size), np.uint8).reshape(wide, size)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+
+
+def _all_unpacked(packed: Iterable[bytes], sizes: Iterable[int]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(_unpacked(x, n, np.int64) for x, n in zip(packed, sizes))])
+
+
+# Blocks ----------------------------------------------------------------------------
+
 class _Local(dict):
     def __missing__(self, word: bytes) -> int:
         n = self[word] = len(self)
         return n
 
 
-# Words -----------------------------------------------------------------------------
-
 def blocks(docs: DataFrame) -> DataFrame:
-    """Texts as numbers of their block's words, and the block's words with their training counts.
+    """One row a block, in a table bucketed by ``block``; ``docs`` has key, text, held_out.
 
-    ``docs`` has key, text, held_out.  A row is a text (``ids``) or a word (``word``).
+    keys, held and sizes by text; ids of all tokens, as numbers of the block's words; the words' hashes; tokens, those of training.
     """
+    spark = docs.sparkSession
     kind = docs.schema["key"].dataType.simpleString()
-    schema = f"block bigint, key {kind}, held_out boolean, ids binary, word binary, local int, n bigint"
+    schema = (
+        f"block bigint, tokens bigint, trained bigint, words int, keys array<{kind}>, held array<boolean>, sizes array<int>, "
+        "ids binary, hashes binary"
+    )
+    names = ["block", "tokens", "trained", "words", "keys", "held", "sizes", "ids", "hashes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, size = TaskContext.get().partitionId() << 32, 0
-        local, trained = _Local(), []
-        names = ["block", "key", "held_out", "ids", "word", "local", "n"]
-
-        def words(key_kind) -> pa.RecordBatch:
-            ids = np.concatenate(trained) if trained else np.zeros(0, np.int32)
-            often = np.bincount(ids, minlength=len(local))
-            k = len(local)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(k, block)), pa.nulls(k, key_kind), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.binary()),
-                 pa.array(list(local), pa.binary()), pa.array(np.arange(k), pa.int32()), pa.array(often, pa.int64())], names,
-            )
+        local, found, keys, held = _Local(), [], [], []
+
+        def row() -> pa.RecordBatch:
+            sizes = pa.array([len(x) for x in found], pa.int32())
+            flags, ids = pa.concat_arrays(held), np.concatenate(found)
+            trained = sum(len(x) for x, h in zip(found, flags.to_pylist()) if not h)
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, local), np.uint64, len(local))
+            ends = pa.array([0, len(found)], pa.int32())
+            return pa.RecordBatch.from_arrays([
+                pa.array([block]), pa.array([size]), pa.array([trained]), pa.array([len(local)], pa.int32()),
+                pa.ListArray.from_arrays(ends, pa.concat_arrays(keys)), pa.ListArray.from_arrays(ends, flags),
+                pa.ListArray.from_arrays(ends, sizes), pa.array([_packed(ids)], pa.binary()), pa.array([_packed(hashes)], pa.binary()),
+            ], names)
 
         for batch in batches:
-            key_kind = batch.schema.field("key").type
             texts = pc.fill_null(batch.column("text"), "").cast(pa.binary())
-            held = batch.column("held_out").to_pylist()
-            start, packed = 0, []
+            start = 0
             for i, one in enumerate(texts):
-                found = tokens_of(one.as_py())
-                ids = np.fromiter(map(local.__getitem__, found), np.int32, len(found))
-                packed.append(ids.tobytes())
+                words = tokens_of(one.as_py())
+                ids = np.fromiter(map(local.__getitem__, words), np.int32, len(words))
+                found.append(ids)
                 size += len(ids)
-                if not held[i]:
-                    trained.append(ids)
-                if size >= BLOCK_TOKENS or i == len(held) - 1:
-                    k = i + 1 - start
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(k, block)), batch.column("key").slice(start, k), batch.column("held_out").slice(start, k),
-                         pa.array(packed, pa.binary()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64())],
-                        names,
-                    )
-                    start, packed = i + 1, []
+                if size >= BLOCK_TOKENS or i == len(texts) - 1:
+                    keys.append(batch.column("key").slice(start, i + 1 - start))
+                    held.append(batch.column("held_out").slice(start, i + 1 - start))
+                    start = i + 1
                 if size >= BLOCK_TOKENS:
-                    yield words(key_kind)
-                    block, size, local, trained = block + 1, 0, _Local(), []
+                    yield row()
+                    block, size = block + 1, 0
+                    local, found, keys, held = _Local(), [], [], []
         if size:
-            yield words(key_kind)
+            yield row()
 
-    path = new_path(docs.sparkSession, "blocks")
-    docs.select("key", "text", "held_out").mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema(schema).parquet(path)
+    name = f"blocks_{uuid.uuid4().hex}"
+    cut = docs.select("key", "text", "held_out").mapInArrow(run, schema)
+    cut.write.bucketBy(shuffle_tasks(spark), "block").option("path", new_path(spark, "blocks")).format("parquet").saveAsTable(name)
+    return spark.table(name)
 
 
-def word_counts(cut: DataFrame) -> DataFrame:
-    """block, local, h (the word's hash), c (training occurrences everywhere), first (once a word)."""
-    everywhere = Window.partitionBy("word")
-    return stored(
-        cut.where("word IS NOT NULL").select("block", "local", "word", "n").withColumns({
-            "c": F.sum("n").over(everywhere), "first": F.min("block").over(everywhere) == F.col("block"),
-        }).select("block", "local", F.xxhash64("word").alias("h"), "c", "first"), "word-counts",
-    )
-
-
-# The automaton ---------------------------------------------------------------------
-
-class Automaton:
-    """The model of few n-grams in one place; the blocks' steps are those of this one.
-
-    States 0 (root), then histories of one word, then of two; arcs by ``state * size + word``.
-
-    Weights are log10 probabilities.  ``gain`` of a step is what it adds to the root's
-    probability of the word, so texts with unknown words need no arcs for them.
-    """
-
-    def __init__(self, counts: dict[int, int], total: int, vocabulary: int, pairs: dict[tuple, int], triples: dict[tuple, int],
-                 histories: dict[tuple, int]):
-        scale = total + 0.5 * (vocabulary + 1)
-        self.size = len(counts) + 1
-        root = {w: (c + 0.5) / scale for w, c in counts.items()}
-        self.states: dict[tuple, int] = {(): 0}
-        for gram in [*pairs, *triples]:
-            for cut in range(1, len(gram)):
-                self.states.setdefault(gram[cut - 1:-1], len(self.states))
-        self.fail = [0] * len(self.states)
-        self.fail_weight = [0.0] * len(self.states)
-        self.arcs: dict[int, tuple[float, int]] = {}
-        probability: dict[tuple, float] = {}
-
-        def backed(history: tuple, word: int) -> float:
-            weight = 1.0
-            while history:
-                if (*history, word) in probability:
-                    return weight * probability[(*history, word)]
-                if history in self.states:
-                    weight *= 10 ** self.fail_weight[self.states[history]]
-                history = history[1:]
-            return weight * root[word]
-
-        for grams in (pairs, triples):
-            by_history: dict[tuple, dict[int, int]] = {}
-            for gram, c in grams.items():
-                by_history.setdefault(gram[:-1], {})[gram[-1]] = c
-            for history, after in by_history.items():
-                state = self.states[history]
-                self.fail[state] = self.states.get(history[1:], 0)
-                seen = sum(c - DISCOUNT for c in after.values()) / histories[history]
-                lower = sum(backed(history[1:], w) for w in after)
-                self.fail_weight[state] = math.log10(max(1e-12, 1 - seen) / max(1e-12, 1 - lower))
-                for w, c in after.items():
-                    probability[(*history, w)] = (c - DISCOUNT) / histories[history]
-        for gram, p in probability.items():
-            state, word = self.states[gram[:-1]], gram[-1]
-            self.arcs[state * self.size + word] = (math.log10(p), self._state(gram))
-        # A state that no n-gram has as its history passes through its failure arc for nothing.
-        for history, state in self.states.items():
-            self.fail[state] = self._state(history[1:]) if history else 0
-        self.root = {w: math.log10(p) for w, p in root.items()}
-        self.after_word = {w: self.states.get((w,), 0) for w in root}
-        self.to_root = [0.0] * len(self.states)
-        for history, state in sorted(self.states.items(), key=lambda x: len(x[0])):
-            if history:
-                self.to_root[state] = self.fail_weight[state] + self.to_root[self.fail[state]]
-
-    def _state(self, history: tuple) -> int:
-        history = history[-2:]
-        while history and history not in self.states:
-            history = history[1:]
-        return self.states[history] if history else 0
-
-    def step(self, state: int, word: int) -> tuple[float, int]:
-        """What a known word adds over the root's probability, and the state after it."""
-        weight = 0.0
-        while state:
-            arc = self.arcs.get(state * self.size + word)
-            if arc:
-                return weight + arc[0] - self.root[word], arc[1]
-            weight += self.fail_weight[state]
-            state = self.fail[state]
-        return weight, self.after_word[word]
-
-
-def gain(automaton: Automaton, words: list[int], known: dict[int, tuple[float, int]]) -> float:
-    """Sum of the steps of a text over the root's probabilities; ``known`` remembers steps."""
-    state, total, size, to_root = 0, 0.0, automaton.size, automaton.to_root
-    for word in words:
-        if word < 0:
-            if state:
-                total += to_root[state]
-                state = 0
-            continue
-        at = state * size + word
-        step = known.get(at)
-        if step is None:
-            step = known[at] = automaton.step(state, word)
-        total += step[0]
-        state = step[1]
-    return total
-
-
-# The blocks' parts of it -----------------------------------------------------------
-
 class Block:
-    """The texts of a block, and its distinct pairs and triples in the order of their hashes."""
-
-    def __init__(self, texts: pd.DataFrame, words: pd.DataFrame):
-        at = words["local"].to_numpy(np.int64)
-        self.c, self.hashes = np.zeros(len(words), np.int64), np.zeros(len(words), np.uint64)
-        self.c[at] = words["c"].to_numpy(np.int64)
-        self.hashes[at] = words["h"].to_numpy(np.int64).view(np.uint64)
-        sizes = np.array([len(x) // 4 for x in texts["ids"]], np.int64)
-        self.ids = np.frombuffer(b"".join(texts["ids"]), np.int32)
-        self.starts = np.cumsum(sizes) - sizes
-        self.trained = np.repeat(~texts["held_out"].to_numpy(bool), sizes)
-        inner = np.ones(len(self.ids), bool)
-        inner[self.starts] = False
-        self.inner = inner
-        self.pair_at = np.flatnonzero(inner)  # where the pair ends
-        self.triple_at = self.pair_at[inner[self.pair_at - 1]]
-        # An n-gram with a word seen less often is no arc, and is not asked for.
-        common = (self.c >= FLOOR)[self.ids]
-        self.pair_at = self.pair_at[common[self.pair_at] & common[self.pair_at - 1]]
-        self.triple_at = self.triple_at[common[self.triple_at] & common[self.triple_at - 1] & common[self.triple_at - 2]]
-        # By position, the number of the pair that ends there.
-        self.pairs, found = self._distinct(self.pair_at, 2)
-        self.pair_of = np.full(len(self.ids), -1, np.int32)
-        self.pair_of[self.pair_at] = found
-        self.triples, self.triple_of = self._distinct(self.triple_at, 3)
+    """The texts of a block, and what is known of its words, pairs and triples so far."""
+
+    def __init__(self, row: pa.Table, answers: pd.DataFrame):
+        one = {name: row.column(name)[0] for name in row.column_names}
+        self.number = one["block"].as_py()
+        self.keys = one["keys"].values
+        self.held = np.asarray(one["held"].values.to_numpy(zero_copy_only=False), bool)
+        self.sizes = one["sizes"].values.to_numpy().astype(np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.ids = _unpacked(one["ids"].as_py(), one["tokens"].as_py(), np.int32)
+        self.hashes = _unpacked(one["hashes"].as_py(), one["words"].as_py(), np.uint64)
+        self.trained = np.repeat(~self.held, self.sizes)
+        self.answers = answers
+        self.n: dict[int, np.ndarray] = {}
+        self.owned: dict[int, np.ndarray] = {}
+        self.words, self.word_of = np.unique(self.hashes, return_inverse=True)
+        if self._answered(WORDS):
+            self._pairs()
+        if self._answered(PAIRS):
+            self._triples()
+        self._answered(TRIPLES)
+
+    def _answered(self, kind: int) -> bool:
+        """Takes the parts' answers, which are in the order of the hashes."""
+        mine = self.answers[self.answers["kind"] == kind].sort_values("part")
+        found = _all_unpacked(mine["n"], mine["many"])
+        self.n[kind], self.owned[kind] = found >> 1, (found & 1).astype(bool)
+        return kind in self.answers.attrs["kinds"]
 
     def _distinct(self, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the n-grams that end at ``at``, in order, and by position the number of its own, or -1."""
         keys = np.full(len(at), size, np.uint64)
         for i in range(size):
             keys += self.hashes[self.ids[at - i]] * _STEPS[i + size - 2]
-        keys = mix(keys)
-        order = np.argsort(keys)
-        keys = keys[order]
-        new = np.ones(len(keys), bool)
-        np.not_equal(keys[1:], keys[:-1], out=new[1:])
-        where = np.empty(len(keys), np.int32)
-        where[order] = np.cumsum(new, dtype=np.int32) - 1
-        return keys[new], where
-
-    def counts(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes, and occurrences in training texts."""
-        keys, at, of = (self.pairs, self.pair_at, self.pair_of[self.pair_at]) if size == 2 else (self.triples, self.triple_at, self.triple_of)
-        return keys, np.bincount(of[self.trained[at]], minlength=len(keys))
-
-    def root(self, scale: float) -> np.ndarray:
-        return (self.c + 0.5) / scale
-
-    def histories(self, n: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        """By size the words and pairs that may have arcs, in the order of their hashes, and these."""
-        order = np.argsort(self.hashes, kind="stable")
-        order = order[self.c[order] >= FLOOR]
-        pairs = np.flatnonzero(n[2] >= FLOOR)
-        return {1: (order, self.hashes[order]), 2: (pairs, self.pairs[pairs])}
-
-    def masses(self, n: dict[int, np.ndarray], owned: dict[int, np.ndarray], scale: float) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        """By size of the history what the arcs of this block's own n-grams take, and what the shorter history gives them.
-
-        A word but the end has a follower at each of its places, so its count is that of the history.
-        """
-        made = {}
-        where = np.zeros(len(self.pairs), np.int64)
-        where[self.pair_of[self.pair_at]] = self.pair_at
-        arcs = np.flatnonzero(owned[2])
-        before, word = self.ids[where[arcs] - 1], self.ids[where[arcs]]
-        add = lambda at, values, size: np.bincount(at, values, size)
-        made[1] = (add(before, (n[2][arcs] - DISCOUNT) / self.c[before], len(self.c)), add(before, self.root(scale)[word], len(self.c)))
-        where = np.zeros(len(self.triples), np.int64)
-        where[self.triple_of] = self.triple_at
-        at = where[np.flatnonzero(owned[3])]
-        head, tail = self.pair_of[at - 1], self.pair_of[at]
-        made[2] = (
-            add(head, (n[3][owned[3]] - DISCOUNT) / n[2][head], len(self.pairs)),
-            add(head, (n[2][tail] - DISCOUNT) / self.c[self.ids[at - 1]], len(self.pairs)),
-        )
-        return made
-
-    def gains(self, n: dict[int, np.ndarray], failing: dict[int, np.ndarray], log: np.ndarray) -> np.ndarray:
-        """By position what its step adds to the root's probability; ``failing`` has the weights of failure arcs."""
-        gain = np.zeros(len(self.ids))
-        at = np.flatnonzero(self.inner)
-        gain[at] = failing[1][self.ids[at - 1]]
-        # The pair before a position is a history wherever it is known, whether or not a triple is.
-        at = at[(self.pair_of[at - 1] >= 0)]
-        gain[at] += failing[2][self.pair_of[at - 1]]
-        pair, before, word = self.pair_of[self.pair_at], self.ids[self.pair_at - 1], self.ids[self.pair_at]
-        seen = n[2][pair] >= FLOOR
-        at = self.pair_at[seen]
-        gain[at] += np.log10((n[2][pair[seen]] - DISCOUNT) / self.c[before[seen]]) - log[word[seen]] - failing[1][before[seen]]
-        head = self.pair_of[self.triple_at - 1]
-        seen = n[3][self.triple_of] >= FLOOR
-        at = self.triple_at[seen]
-        gain[at] = np.log10((n[3][self.triple_of[seen]] - DISCOUNT) / n[2][head[seen]]) - log[self.ids[at]]
-        return gain
-
-
-def _packed(values: np.ndarray) -> bytes:
-    """Compressed, all first bytes first: the upper bytes of small numbers are alike."""
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
-    return _CODEC.compress(planes, asbytes=True)
-
-
-def _unpacked(packed: Iterable[bytes], sizes: Iterable[int], kind: type) -> np.ndarray:
-    parts = [np.frombuffer(_CODEC.decompress(x, decompressed_size=8 * n), np.uint8).reshape(8, n).T for x, n in zip(packed, sizes)]
-    return np.concatenate([np.zeros((0, 8), np.uint8), *parts]).view(kind).reshape(-1)
-
-
-def _dealt(block: int, size: int, parts: int, keys: np.ndarray, *values: np.ndarray) -> Iterator[tuple]:
-    """Rows block, size, part, many, and the packed steps of ``keys``, which are in order, and ``values``."""
+        keys, where = np.unique(mix(keys), return_inverse=True)
+        of = np.full(len(self.ids), -1, np.int32)
+        of[at] = where
+        return keys, of
+
+    def _pairs(self) -> None:
+        self.c = self.n[WORDS][self.word_of]
+        often = (self.c >= FLOOR)[self.ids]
+        inner = np.ones(len(self.ids), bool)
+        inner[self.starts] = False
+        inner[1:] &= often[1:] & often[:-1]
+        self.pairs, self.pair_of = self._distinct(np.flatnonzero(inner), 2)
+
+    def _triples(self) -> None:
+        known = np.zeros(len(self.ids), bool)
+        at = np.flatnonzero(self.pair_of >= 0)
+        known[at] = self.n[PAIRS][self.pair_of[at]] >= FLOOR
+        # The pair that ends at a word's predecessor lies in the same text, as the pair that ends at the word does.
+        at = np.flatnonzero(known[1:] & known[:-1]) + 1
+        self.triples, self.triple_of = self._distinct(at, 3)
+
+    def counts(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes in order, and occurrences in training texts."""
+        if kind == WORDS:
+            return self.words, np.bincount(self.word_of[self.ids[self.trained]], minlength=len(self.words))
+        keys, of = (self.pairs, self.pair_of) if kind == PAIRS else (self.triples, self.triple_of)
+        return keys, np.bincount(of[self.trained & (of >= 0)], minlength=len(keys))
+
+    def _last(self, of: np.ndarray, many: int) -> np.ndarray:
+        """For each n-gram a position where it ends."""
+        at = np.flatnonzero(of >= 0)
+        where = np.zeros(many, np.int64)
+        where[of[at]] = at
+        return where
+
+    def given(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """Histories in the order of their hashes, and twice what they keep for the arcs that this block owns."""
+        if kind == AFTER_WORDS:
+            mine = np.flatnonzero(self.owned[PAIRS])
+            before = self.ids[self._last(self.pair_of, len(self.pairs))[mine] - 1]
+            sums = np.bincount(self.word_of[before], 2 * self.n[PAIRS][mine] - 2 * DISCOUNT, len(self.words))
+            asked = self.n[WORDS] >= FLOOR
+            return self.words[asked], sums[asked].astype(np.int64)
+        mine = np.flatnonzero(self.owned[TRIPLES])
+        before = self.pair_of[self._last(self.triple_of, len(self.triples))[mine] - 1]
+        sums = np.bincount(before, 2 * self.n[TRIPLES][mine] - 2 * DISCOUNT, len(self.pairs))
+        asked = self.n[PAIRS] >= FLOOR
+        return self.pairs[asked], sums[asked].astype(np.int64)
+
+
+# Counting in parts -----------------------------------------------------------------
+
+def _dealt(block: int, kind: int, parts: int, keys: np.ndarray, often: np.ndarray) -> Iterator[tuple]:
+    """A row for each part: the packed steps of ``keys``, which are in order, and their numbers."""
     step = (1 << 64) // parts + 1
     cuts = [0, *np.searchsorted(keys, np.array([i * step for i in range(1, parts)], np.uint64)).tolist(), len(keys)]
     for part, (a, b) in enumerate(zip(cuts, cuts[1:])):
         if a < b:
-            yield (block, size, part, b - a, _packed(np.diff(keys[a:b], prepend=np.uint64(0))), *(_packed(x[a:b]) for x in values))
-
-
-def _joined(answers: pd.DataFrame, size: int, column: str, kind: type) -> np.ndarray:
-    """What the parts answered, in the order of the hashes."""
-    mine = answers[answers["size"] == size].sort_values("part")
-    return _unpacked(mine[column], mine["many"], kind)
-
-
-def _keys(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes of a part, and where each of the rows' hashes is among them."""
-    steps = [np.cumsum(_unpacked([x], [n], np.uint64), dtype=np.uint64) for x, n in zip(rows["keys"], rows["many"])]
-    return np.unique(np.concatenate(steps), return_inverse=True)
-
-
-def _answered(rows: pd.DataFrame, **columns: np.ndarray) -> pd.DataFrame:
-    """Each block's slice of ``columns``, packed."""
+            steps = np.diff(keys[a:b], prepend=np.uint64(0))
+            yield block, kind, part, b - a, _packed(steps), _packed(often[a:b].astype(np.int64))
+
+
+def _added(rows: pd.DataFrame) -> pd.DataFrame:
+    """The answer of a part to each block: twice the sum over all blocks, and one more for the n-gram's owner."""
+    rows = rows.sort_values("block")
+    steps = [np.cumsum(_unpacked(x, n, np.uint64), dtype=np.uint64) for x, n in zip(rows["keys"], rows["many"])]
+    keys, where = np.unique(np.concatenate(steps), return_inverse=True)
+    often = _all_unpacked(rows["often"], rows["many"])
+    n = np.bincount(where, often, len(keys)).astype(np.int64)  # whole below 2 ** 53
+    if rows["kind"].iloc[0] in (PAIRS, TRIPLES):
+        n[n < FLOOR] = 0
+    seen = np.flatnonzero(often)
+    first = np.full(len(keys), -1, np.int64)
+    first[where[seen[::-1]]] = seen[::-1]
+    owned = np.zeros(len(where), np.int64)
+    owned[first[n > 0]] = 1
     cuts = np.cumsum([0, *rows["many"]])
-    made = rows[["block", "size", "part", "many"]].copy()
-    for name, values in columns.items():
-        made[name] = [_packed(values[a:b]) for a, b in zip(cuts, cuts[1:])]
+    found = 2 * n[where] + owned
+    made = rows[["block", "kind", "part", "many"]].copy()
+    made["n"] = [_packed(found[a:b]) for a, b in zip(cuts, cuts[1:])]
+    made["arcs"] = np.add.reduceat(owned, cuts[:-1])
     return made
 
 
-def _per_block(texts: DataFrame, others: list[DataFrame], run, schema: str) -> DataFrame:
-    """``run(block, texts, words, answers...)`` for each block; ``others`` are the words, then answers."""
-    given = others[0].withColumn("_of", F.lit(0))
-    for i, one in enumerate(others[1:], 1):
-        given = given.unionByName(one.withColumn("_of", F.lit(i)), allowMissingColumns=True)
-    given = given.na.fill(0)  # pandas has no null among whole numbers, and hashes are no floats
-    many = len(others)
+def _per_block(texts: DataFrame, answers: DataFrame | None, kinds: tuple[int, ...], run: Callable[[Block], pa.Table], schema: str) -> DataFrame:
+    """``run`` of each block, which knows ``answers`` of ``kinds``; the blocks stay where they are."""
+    none = pd.DataFrame({"kind": [], "part": [], "many": [], "n": []})
 
-    def call(mine: pd.DataFrame, rest: pd.DataFrame) -> pd.DataFrame:
-        made = Block(mine, rest[rest["_of"] == 0])
-        return run(int(mine["block"].iloc[0]), made, mine, *(rest[rest["_of"] == i] for i in range(1, many)))
+    def knowing(row: pa.Table, found: pd.DataFrame) -> pa.Table:
+        found.attrs["kinds"] = kinds
+        return run(Block(row, found))
 
-    return texts.groupBy("block").cogroup(given.groupBy("block")).applyInPandas(call, schema)
+    if answers is None:
+        def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    yield from knowing(pa.Table.from_batches([batch.slice(i, 1)]), none.copy()).to_batches()
 
+        return texts.mapInArrow(alone, schema)
+    given = answers.select("block", "kind", "part", "many", "n").groupBy("block")
+    return texts.groupBy("block").cogroup(given).applyInArrow(lambda row, found: knowing(row, found.to_pandas()), schema)
 
-def ngram_totals(texts: DataFrame, words: DataFrame, parts: int) -> DataFrame:
-    """block, size, part, many, n, arcs (of this row) for the block's n-grams in the order of their hashes.
 
-    ``n`` has packed counts everywhere, 0 below ``FLOOR``, times two, and one more where the block owns the arc.
-    """
-    names = ["block", "size", "part", "many", "keys", "often"]
+def _counted(texts: DataFrame, answers: DataFrame | None, kinds: tuple[int, ...], wanted: tuple[int, ...], parts: int) -> DataFrame:
+    """The parts' answers on ``wanted``, from blocks that know ``kinds``."""
+    names = [x.split()[0] for x in _SENT.split(", ")]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
 
-    def send(block: int, made: Block, _: pd.DataFrame) -> pd.DataFrame:
+    def send(made: Block) -> pa.Table:
         rows = []
-        for size in (2, 3):
-            keys, often = made.counts(size)
-            rows.extend(_dealt(block, size, parts, keys, often))
-        return pd.DataFrame(rows, columns=names)
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("block")
-        keys, where = _keys(rows)
-        often = _unpacked(rows["often"], rows["many"], np.int64)
-        n = np.bincount(where, often, len(keys)).astype(np.int64)  # whole below 2 ** 53
-        n[n < FLOOR] = 0
-        trained = np.flatnonzero(often)
-        first = np.full(len(keys), -1, np.int64)
-        first[where[trained[::-1]]] = trained[::-1]
-        owned = np.zeros(len(where), np.int64)
-        owned[first[n > 0]] = 1
-        made = _answered(rows, n=2 * n[where] + owned)  # a count and its owner's mark in one number
-        made["arcs"] = np.add.reduceat(owned, np.cumsum([0, *rows["many"]])[:-1])
-        return made
-
-    sent = _per_block(texts, [words], send, "block bigint, size int, part int, many int, keys binary, often binary")
-    return stored(
-        sent.groupBy("size", "part").applyInPandas(add, "block bigint, size int, part int, many int, n binary, arcs bigint"), "ngrams"
-    )
+        for kind in wanted:
+            keys, often = made.counts(kind) if kind <= TRIPLES else made.given(kind)
+            rows.extend(_dealt(made.number, kind, parts, keys, often))
+        columns = zip(*rows) if rows else [[]] * len(names)
+        return pa.table([pa.array(list(x), t) for x, t in zip(columns, types)], names=names)
 
+    return _per_block(texts, answers, kinds, send, _SENT).groupBy("kind", "part").applyInPandas(_added, _ANSWER)
 
-def _totals(answers: pd.DataFrame) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
-    """By size the counts, and which arcs the block owns."""
-    found = {size: _joined(answers, size, "n", np.int64) for size in (2, 3)}
-    return {size: x >> 1 for size, x in found.items()}, {size: (x & 1).astype(bool) for size, x in found.items()}
 
+# The automaton ---------------------------------------------------------------------
 
-def failure_weights(texts: DataFrame, words: DataFrame, totals: DataFrame, parts: int, scale: float) -> DataFrame:
-    """block, size, part, weight: log10 of the failure arcs' weights for ``Block.histories``; 0 where no state is."""
-
-    def send(block: int, made: Block, _: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        n, owned = _totals(answers)
-        masses = made.masses(n, owned, scale)
-        rows = []
-        for size, (at, keys) in made.histories(n).items():
-            rows.extend(_dealt(block, size, parts, keys, *(x[at] for x in masses[size])))
-        return pd.DataFrame(rows, columns=["block", "size", "part", "many", "keys", "taken", "given"])
+class Automaton:
+    """States and arcs of a block's own n-grams; numbers of words are those of the block.
 
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("block")
-        keys, where = _keys(rows)
-        taken, given = (np.bincount(where, _unpacked(rows[c], rows["many"], np.float64), len(keys)) for c in ("taken", "given"))
-        weight = np.log10(np.maximum(1e-12, 1 - taken) / np.maximum(1e-12, 1 - given))
-        return _answered(rows, weight=weight[where])
+    State 0 is the root, then come words and pairs that have arcs.  Arcs are in the order of ``state * words + word``.
+    """
 
-    sent = _per_block(texts, [words, totals], send, "block bigint, size int, part int, many int, keys binary, taken binary, given binary")
-    return sent.groupBy("size", "part").applyInPandas(add, "block bigint, size int, part int, many int, weight binary")
+    def __init__(self, block: Block, after: dict[int, np.ndarray], scale: float):
+        words, pairs = len(block.hashes), len(block.pairs)
+        root = (block.c + 0.5) / scale
+        self.words, self.root = words, np.log10(root)
+        kept = {AFTER_WORDS: np.zeros(len(block.words), np.int64), AFTER_PAIRS: np.zeros(pairs, np.int64)}
+        kept[AFTER_WORDS][block.n[WORDS] >= FLOOR] = after[AFTER_WORDS]
+        kept[AFTER_PAIRS][block.n[PAIRS] >= FLOOR] = after[AFTER_PAIRS]
+        of_word = kept[AFTER_WORDS][block.word_of]
+        state = np.cumsum(of_word > 0)
+        self.after_word = np.where(of_word > 0, state, 0)
+        states = 1 + int(state[-1])
+        state = states - 1 + np.cumsum(kept[AFTER_PAIRS] > 0)
+        of_pair = np.where(kept[AFTER_PAIRS] > 0, state, 0)
+        states = max(states, 1 + int(state[-1]) if pairs else 0)
+        pair_at, triple_at = block._last(block.pair_of, pairs), block._last(block.triple_of, len(block.triples))
+        head, tail = block.ids[pair_at - 1], block.ids[pair_at]
+        after_pair = np.where(of_pair > 0, of_pair, self.after_word[tail])
+        # What a history leaves to its shorter one is one less what it gives to its arcs.
+        left_word = 1 - of_word / np.maximum(1, 2 * block.c)
+        left_pair = 1 - kept[AFTER_PAIRS] / np.maximum(1, 2 * block.n[PAIRS])
+        self.fail, weight = np.zeros(states, np.int64), np.ones(states)
+        weight[self.after_word] = left_word
+        weight[of_pair] = left_pair
+        self.fail[of_pair] = self.after_word[tail]
+        weight[0], self.fail[0] = 1, 0
+        self.weight = np.log10(weight)
+        pair = (block.n[PAIRS] - DISCOUNT) / np.maximum(1, block.c[head]) + left_word[head] * root[tail]
+        is_pair, is_triple = block.n[PAIRS] >= FLOOR, block.n[TRIPLES] >= FLOOR
+        triple_at = triple_at[is_triple]
+        before, last = block.pair_of[triple_at - 1], block.pair_of[triple_at]
+        triple = (block.n[TRIPLES][is_triple] - DISCOUNT) / block.n[PAIRS][before] + left_pair[before] * pair[last]
+        keys = np.concatenate([
+            self.after_word[head[is_pair]] * words + tail[is_pair], of_pair[before] * words + block.ids[triple_at],
+        ])
+        order = np.argsort(keys)
+        self.arcs = np.append(keys[order], -1)  # the last one ends a search that goes beyond
+        self.gain = np.append(np.log10(np.concatenate([pair[is_pair], triple]))[order], 0)
+        self.next = np.append(np.concatenate([after_pair[is_pair], after_pair[last]])[order], 0)
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probabilities of words after states, and the states after them."""
+        total, after = np.zeros(len(state)), np.zeros(len(state), np.int64)
+        todo, state = np.arange(len(state)), state.copy()
+        while len(todo):
+            at_root = state[todo] == 0
+            rest = todo[at_root]
+            total[rest] += self.root[word[rest]]
+            after[rest] = self.after_word[word[rest]]
+            todo = todo[~at_root]
+            wanted = state[todo] * self.words + word[todo]
+            arc = np.searchsorted(self.arcs[:-1], wanted)
+            found = self.arcs[arc] == wanted
+            hit, arc = todo[found], arc[found]
+            total[hit] += self.gain[arc]
+            after[hit] = self.next[arc]
+            todo = todo[~found]
+            total[todo] += self.weight[state[todo]]
+            state[todo] = self.fail[state[todo]]
+        return total, after
+
+
+def traversed(automaton: Automaton, ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """By position the log10 probability of its token; texts go from left to right, in lanes side by side."""
+    lanes = -(-sizes // LANE)
+    text = np.repeat(np.arange(len(sizes)), lanes)
+    begin = starts[text] + LANE * (np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes))
+    end = np.minimum(begin + LANE, (starts + sizes)[text])
+    early = np.where(begin > starts[text], begin - 2, begin)  # two words bring a lane to its state
+    order = np.argsort(early - end, kind="stable")
+    begin, end, early = begin[order], end[order], early[order]
+    left = early - end  # ascending, the longest lanes first
+    state, out = np.zeros(len(early), np.int64), np.zeros(len(ids))
+    for t in range(int(-left[0]) if len(left) else 0):
+        going = int(np.searchsorted(left, -t))
+        at = early[:going] + t
+        gain, state[:going] = automaton.step(state[:going], ids[at])
+        own = at >= begin[:going]
+        out[at[own]] = gain[own]
+    return out
 
 
 # Scores ----------------------------------------------------------------------------
 
-def gathered(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, int, int, int]:
-    """Texts, words and n-gram totals by block, N, V and the number of parts."""
-    cut = blocks(docs)
-    counts = word_counts(cut)
-    row = counts.where("first").agg(F.sum("c").alias("total"), F.count_if(F.col("c") > 0).alias("words")).first()
-    total, vocabulary = row["total"] or 0, row["words"] or 0
-    parts = max(shuffle_tasks(docs.sparkSession), math.ceil(2 * total / PART_GRAMS))
-    texts = cut.where("ids IS NOT NULL").select("block", "key", "held_out", "ids")
-    words = counts.select("block", "local", "h", "c")
-    return texts, words, ngram_totals(texts.drop("key"), words, parts), total, vocabulary, parts
+def gathered(docs: DataFrame) -> tuple[DataFrame, DataFrame, int, int, int]:
+    """Blocks, their answers on words, pairs and triples (``arcs`` of a row: n-grams it owns), N, V and the number of parts."""
+    texts = blocks(docs)
+    row = texts.agg(F.sum("tokens").alias("tokens"), F.sum("trained").alias("trained")).first()
+    total, parts = row["trained"] or 0, max(1, math.ceil((row["tokens"] or 0) / PART_TOKENS))
+    words = stored(_counted(texts, None, (), (WORDS,), parts), "words")
+    vocabulary = words.agg(F.sum("arcs").alias("n")).first()["n"] or 0
+    pairs = words.unionByName(stored(_counted(texts, words, (WORDS,), (PAIRS,), parts), "pairs"))
+    triples = pairs.unionByName(stored(_counted(texts, pairs, (WORDS, PAIRS), (TRIPLES,), parts), "triples"))
+    return texts, triples, total, vocabulary, parts
 
 
 def scored(docs: DataFrame) -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score, score for ``docs`` (key, text, held_out)."""
-    texts, words, totals, total, vocabulary, parts = gathered(docs)
+    texts, answers, total, vocabulary, parts = gathered(docs)
     scale = total + 0.5 * (vocabulary + 1)
     kind = docs.schema["key"].dataType.simpleString()
-    weights = failure_weights(texts.drop("key"), words, totals.drop("arcs"), parts, scale)
-
-    def score(_: int, made: Block, mine: pd.DataFrame, answers: pd.DataFrame, weights: pd.DataFrame) -> pd.DataFrame:
-        n, _owned = _totals(answers)
-        failing = {1: np.zeros(len(made.c)), 2: np.zeros(len(made.pairs))}
-        for size, (at, _) in made.histories(n).items():
-            failing[size][at] = _joined(weights, size, "weight", np.float64)
-        log = np.log10(made.root(scale))
-        base = np.add.reduceat(log[made.ids], made.starts)
-        return pd.DataFrame({
-            "key": mine["key"].array, "held_out": mine["held_out"].to_numpy(),
-            "n_tokens": np.diff(np.append(made.starts, len(made.ids))),
-            "n_known": np.add.reduceat((made.c > 0)[made.ids].astype(np.int64), made.starts), "base_score": base,
-            "score": base + np.add.reduceat(made.gains(n, failing, log), made.starts), "train_tokens": total,
+    ngrams, histories = (WORDS, PAIRS, TRIPLES), (AFTER_WORDS, AFTER_PAIRS)
+    given = _counted(texts, answers, ngrams, histories, parts)
+
+    def score(made: Block) -> pa.Table:
+        for history in histories:
+            made._answered(history)
+        automaton = Automaton(made, made.n, scale)
+        out = traversed(automaton, made.ids, made.starts, made.sizes)
+        return pa.table({
+            "key": made.keys, "held_out": made.held, "n_tokens": made.sizes,
+            "n_known": np.add.reduceat((made.c > 0)[made.ids].astype(np.int64), made.starts),
+            "base_score": np.add.reduceat(automaton.root[made.ids], made.starts), "score": np.add.reduceat(out, made.starts),
+            "train_tokens": np.full(len(made.sizes), total, np.int64),
         })
 
     return _per_block(
-        texts, [words, totals.drop("arcs"), weights], score,
+        texts, answers.unionByName(given), (*ngrams, *histories), score,
         f"key {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, train_tokens bigint",
     )

@@ -12,6 +12,8 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -621,58 +623,101 @@ def test_scores(spark, sf_dir, folder):
         assert expected == Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in rows)
 
 
-def test_automaton_is_a_distribution_and_does_better_on_held_out_text(spark):
+class PlainModel:
+    """Discounted n-grams with the shorter history mixed in, by recursion over all counts."""
+
+    def __init__(self, texts):
+        self.n, self.followers = Counter(), defaultdict(list)
+        for t in texts:
+            for size in (1, 2, 3):
+                self.n.update(zip(*(t[i:] for i in range(size))))
+        self.total = sum(n for g, n in self.n.items() if len(g) == 1)
+        self.scale = self.total + 0.5 * (1 + sum(len(g) == 1 for g in self.n))
+        for g, n in self.n.items():
+            if len(g) > 1 and n >= lm_scoring.FLOOR:
+                self.followers[g[:-1]].append(g)
+
+    def p(self, history, word):
+        if not history:
+            return (self.n[(word,)] + 0.5) / self.scale
+        lower = self.p(history[1:], word)
+        arcs = self.followers.get(history)
+        if not arcs:
+            return lower
+        own = self.n[(*history, word)]
+        given = sum(self.n[g] - lm_scoring.DISCOUNT for g in arcs) / self.n[history]
+        return (1 - given) * lower + (max(0, own - lm_scoring.DISCOUNT) / self.n[history] if own >= lm_scoring.FLOOR else 0)
+
+    def score(self, text):
+        return sum(math.log10(self.p(tuple(text[max(0, i - 2):i]), w)) for i, w in enumerate(text))
+
+
+def test_the_model_is_a_distribution():
     rng = random.Random(9)
-    text = [rng.choice(["a b c", "a b d", "c a", "b c a d"]) for _ in range(400)]
-    ids = {"a": 0, "b": 1, "c": 2, "d": 3, "": 4}
-    single, pairs, triples, histories = Counter(), Counter(), Counter(), Counter()
-    for t in text:
-        g = [ids[w] for w in t.split()] + [4]
-        single.update(g)
-        pairs.update(zip(g, g[1:]))
-        triples.update(zip(g, g[1:], g[2:]))
-        histories.update((x,) for x in g[:-1])
-        histories.update(zip(g[:-2], g[1:-1]))
-    a = lm_scoring.Automaton(dict(single), sum(single.values()), 5, dict(pairs), dict(triples), dict(histories))
-    unknown = 0.5 / (sum(single.values()) + 0.5 * 6)
-    for history, state in a.states.items():
-        mass = sum(10 ** (a.step(state, w)[0] + a.root[w]) for w in single) + unknown * 10 ** a.to_root[state]
-        assert mass == pytest.approx(1, abs=1e-9), history
-    assert 10 ** (a.step(a.states[(0, 1)], 2)[0] + a.root[2]) == pytest.approx((triples[(0, 1, 2)] - 0.5) / histories[(0, 1)])
+    model = PlainModel([[*rng.choice(["a b c", "a b d", "c a", "b c a d"]).split(), ""] for _ in range(400)])
+    for history in [(), *model.followers]:
+        # An unknown word has the count 0, and so its half.
+        assert sum(model.p(history, w) for w in ["a", "b", "c", "d", "", "unknown"]) == pytest.approx(1, abs=1e-9), history
+
+
+def test_it_does_better_on_held_out_text(spark):
     rows = queries.op10_backoff_automaton(spark, "/root/testdata/sf0.01").collect()
     assert sum(r.score for r in rows if r.held_out) > sum(r.base_score for r in rows if r.held_out)
 
 
-def test_all_ngrams_seen_twice_are_arcs(spark):
+def test_traversals_give_the_plain_models_scores(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "PART_TOKENS", 500)
     rng = random.Random(4)
     texts = [" ".join(f"w{min(int(rng.paretovariate(0.7)), 900)}" for _ in range(rng.randrange(25))) for _ in range(1200)]
+    texts[507], texts[511] = " ".join(texts[20:90]), " ".join(["w1 w2"] * 900)  # several lanes
     rows = [(i, t, i % 5 == 1) for i, t in enumerate(texts)]
     arcs = []
     for some in (rows[:400], rows):
         docs = spark.createDataFrame(some, "key bigint, text string, held_out boolean").repartition(4)
         found = {r.key: r for r in lm_scoring.scored(docs).collect()}
-        ids = defaultdict(lambda: len(ids))
-        single, pairs, triples = Counter(), Counter(), Counter()
-        # Training texts come first: the automaton's words are numbered without gaps.
-        grams = {k: [ids[w] for w in [*t.split(), ""]] for k, t, _ in sorted(some, key=lambda r: r[2])}
-        for k, _, held in some:
-            if not held:
-                g = grams[k]
-                single.update(g)
-                pairs.update(zip(g, g[1:]))
-                triples.update(zip(g, g[1:], g[2:]))
-        histories = {(w,): n for w, n in single.items()} | dict(pairs)
-        kept = [{g: n for g, n in x.items() if n >= lm_scoring.FLOOR} for x in (pairs, triples)]
-        a = lm_scoring.Automaton(dict(single), sum(single.values()), len(single), *kept, histories)
+        grams = {k: [*t.split(), ""] for k, t, _ in some}
+        model = PlainModel([grams[k] for k, _, held in some if not held])
+        assert len(found) == len(some)
         for k, g in grams.items():
-            gain = lm_scoring.gain(a, [w if w in single else -1 for w in g], {})
-            assert found[k].score == pytest.approx(found[k].base_score + gain, abs=1e-6)
-        totals = {r["size"]: r["arcs"] for r in lm_scoring.gathered(docs)[2].groupBy("size").agg(F.sum("arcs").alias("arcs")).collect()}
-        assert totals == {2: len(kept[0]), 3: len(kept[1])}
+            assert found[k].score == pytest.approx(model.score(g), abs=1e-6)
+        totals = {r["kind"]: r["arcs"] for r in lm_scoring.gathered(docs)[1].groupBy("kind").agg(F.sum("arcs").alias("arcs")).collect()}
+        kept = Counter(len(g) for g, n in model.n.items() if len(g) == 1 or n >= lm_scoring.FLOOR)
+        assert totals == dict(kept)
         arcs.append(totals)
     assert all(arcs[1][size] > 2 * arcs[0][size] for size in (2, 3))
 
 
+def test_lanes_come_to_the_same_states():
+    rng = np.random.default_rng(2)
+    ids = np.minimum(rng.zipf(1.4, 4000), 60).astype(np.int32)
+    hashes = np.arange(61, dtype=np.uint64) * np.uint64(977)
+    sizes = [1, 1500, 2, 2497]
+    row = pa.table({
+        "block": [0], "tokens": [4000], "words": pa.array([61], pa.int32()), "keys": [[1, 2, 3, 4]], "held": [[False] * 4],
+        "sizes": pa.array([sizes], pa.list_(pa.int32())), "ids": [lm_scoring._packed(ids)], "hashes": [lm_scoring._packed(hashes)],
+    })
+    answers = pd.DataFrame({"block": [], "kind": [], "part": [], "many": [], "n": []})
+    for wanted in ((1,), (2,), (3,), (4, 5)):
+        answers.attrs["kinds"] = tuple(sorted(set(answers["kind"])))
+        block = lm_scoring.Block(row, answers)
+        for kind in wanted:
+            sent = list(lm_scoring._dealt(0, kind, 3, *(block.counts(kind) if kind < 4 else block.given(kind))))
+            sent = pd.DataFrame(sent, columns=["block", "kind", "part", "many", "keys", "often"])
+            for _, part in sent.groupby("part"):
+                answers = pd.concat([answers, lm_scoring._added(part)])
+    answers.attrs["kinds"] = (1, 2, 3, 4, 5)
+    block = lm_scoring.Block(row, answers)
+    for kind in (4, 5):
+        block._answered(kind)
+    automaton = lm_scoring.Automaton(block, block.n, 4000.0)
+    found = lm_scoring.traversed(automaton, block.ids, block.starts, block.sizes)
+    for start, size in zip(block.starts, block.sizes):  # one walk a text, word after word
+        state = np.zeros(1, np.int64)
+        for at in range(start, start + size):
+            gain, state = automaton.step(state, block.ids[at:at + 1])
+            assert gain[0] == pytest.approx(found[at], abs=1e-12)
+
+
 # The pipeline -----------------------------------------------------------------------
 
 def test_pipeline_stage_by_stage(spark, sf_dir, folder):
