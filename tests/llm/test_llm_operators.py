@@ -696,7 +696,7 @@ def test_lanes_come_to_the_same_states():
         "block": [0], "tokens": [4000], "words": pa.array([61], pa.int32()), "keys": [[1, 2, 3, 4]], "held": [[False] * 4],
         "sizes": pa.array([sizes], pa.list_(pa.int32())), "ids": [lm_scoring._packed(ids)], "hashes": [lm_scoring._packed(hashes)],
     })
-    answers = pd.DataFrame({"block": [], "kind": [], "part": [], "many": [], "n": []})
+    answers = pd.DataFrame({"block": [], "kind": [], "part": [], "many": [], "n": []}, dtype=np.int64)
     for wanted in ((1,), (2,), (3,), (4, 5)):
         answers.attrs["kinds"] = tuple(sorted(set(answers["kind"])))
         block = lm_scoring.Block(row, answers)
