@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pairloom.llm.common import mix, shuffle_tasks, stored
 from pairloom.scratch import new_path
 
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 2_000_000  # some 50 bytes of memory each
 PART_TOKENS = 1_000_000  # n-grams of about as many tokens come to one part
 LANE = 256
 FLOOR = 2  # an n-gram seen less often is no arc
