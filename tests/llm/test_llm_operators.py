@@ -119,6 +119,33 @@ def test_search_blocks_ties_and_common_codes(spark):
             assert sorted(got[i]) == [(n + 1, *x) for n, x in enumerate(best)]
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 30, 700, 5000])
+def test_covered_radii_give_the_nearest_codes(n):
+    rng = np.random.default_rng(n)
+    codes = np.unique(rng.integers(-(1 << 63), 1 << 63, n, np.int64) & rng.choice(np.array([-1, 255, -(1 << 63)]), n) if n < 5000
+                      else rng.integers(-(1 << 63), 1 << 63, n, np.int64))
+    ids = rng.permutation(len(codes)).astype(np.int64)
+    asked = np.concatenate([codes[:20], rng.integers(-(1 << 63), 1 << 63, 20, np.int64)])
+    found = topk_search._search(codes, ids, asked, 8)
+    expected = []
+    for q in asked:
+        far = np.bitwise_count((codes ^ q).view(np.uint64)).astype(int)
+        expected += [(int(q), int(far[i]), int(ids[i])) for i in np.lexsort((ids, far))[:8]]
+    assert sorted(zip(found["asked"], found["distance"], found["first"])) == sorted(expected)
+
+
+def test_a_million_codes_are_not_scanned():
+    rng = np.random.default_rng(3)
+    codes = np.unique(rng.integers(-(1 << 63), 1 << 63, 1_000_000, np.int64))
+    index = topk_search.SegmentIndex(codes, np.arange(len(codes)))
+    asked = rng.integers(-(1 << 63), 1 << 63, 40, np.int64)
+    query, _, distance, verified = index.search(asked, 11)
+    assert verified.max() < 0.1 * len(codes)  # codes drawn evenly are the hardest case
+    for i, q in enumerate(asked[:5]):
+        far = np.sort(np.bitwise_count((codes ^ q).view(np.uint64)).astype(int))[:11]
+        assert sorted(distance[query == i]) == far.tolist()
+
+
 # 2 ---------------------------------------------------------------------------------
 
 def plain_base(text):
