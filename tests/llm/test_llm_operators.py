@@ -752,7 +752,8 @@ def test_pipeline_stage_by_stage(spark, sf_dir, folder):
         docs = spark.read.parquet(f"{path}/documents.parquet")
         for name, stage in corpus_pipeline.STAGES:
             before = docs.select(*corpus_pipeline.COLUMNS).collect()
-            docs = spark.createDataFrame(stage(spark, docs, path).collect(), stage(spark, docs, path).schema)
+            made = stage(spark, docs, path)
+            docs = spark.createDataFrame(made.collect(), made.schema)
             if name != "packing":
                 assert docs.columns == corpus_pipeline.COLUMNS
             after = docs.collect()
@@ -765,6 +766,53 @@ def test_pipeline_stage_by_stage(spark, sf_dir, folder):
             elif name == "PII":
                 assert len(after) == len(before) and not any(pii.base_spans(r.text) for r in after)
                 assert all(r.n_chars == len(r.text) for r in after)
-            elif name == "mixing sources to target weights" and after:
-                copies = Counter((r.doc_id, r.text) for r in after)
-                assert max(copies.values()) <= 2 * max(Counter((r.doc_id, r.text) for r in before).values())
+            elif name == "mixing sources to target weights":
+                given, copies = Counter((r.doc_id, r.text, r.source) for r in before), Counter((r.doc_id, r.text, r.source) for r in after)
+                assert all(n <= 2 * given[row] for row, n in copies.items())
+                sizes, taken, largest = Counter(), Counter(), Counter()
+                for (_, text, source), n in given.items():
+                    sizes[source] += n * len(words(text))
+                    largest[source] = max(largest[source], len(words(text)))
+                for (_, text, source), n in copies.items():
+                    taken[source] += n * len(words(text))
+                for source, target in plain_targets(sizes).items():
+                    assert abs(taken[source] - target) <= largest[source], source
+            else:
+                check_pieces(before, after)
+
+
+def plain_targets(sizes):
+    """Weights 5, 2, 1 by code point, null last, of one and a half times all; nothing above twice the size."""
+    order = sorted(sizes, key=lambda x: (x is None, (x or "").encode()))
+    weight = {source: (5, 2, 1)[i % 3] for i, source in enumerate(order)}
+    left, targets, open_ = 1.5 * sum(sizes.values()), {}, set(order)
+    while open_:
+        share = left / sum(weight[x] for x in open_)
+        full = {x for x in open_ if weight[x] * share > 2 * sizes[x]}
+        for x in full or open_:
+            targets[x] = 2 * sizes[x] if full else weight[x] * share
+            left -= targets[x]
+        open_ -= full or set(open_)
+    return targets
+
+
+def check_pieces(docs, pieces):
+    """Every id of every copy lies in one piece, and sequences have no gaps and no padding."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.vocabulary_path())
+    wanted, found = Counter(), Counter()
+    for (doc_id, text), n in Counter((r.doc_id, r.text) for r in docs).items():
+        wanted[(doc_id, len(tokenizer.encode(text or "", add_special_tokens=False).ids) + 1)] += n
+    sequences, covered = defaultdict(list), defaultdict(Counter)
+    for r in pieces:
+        found[(r.doc_id, r.doc_tokens)] += r.length
+        covered[(r.doc_id, r.doc_tokens)].update([r.start, r.start + r.length])
+        sequences[r.sequence_id].append(r)
+    assert found == Counter({(d, n): n * copies for (d, n), copies in wanted.items()})
+    for (d, n), ends in covered.items():  # a cut is the end of one piece and the start of the next
+        assert ends[0] == ends[n] == wanted[(d, n)] and all(times % 2 == 0 for at, times in ends.items() if at not in (0, n))
+    for some in sequences.values():
+        some.sort(key=lambda r: r.offset)
+        ends = np.cumsum([0] + [r.length for r in some]).tolist()
+        assert [r.offset for r in some] == ends[:-1] and ends[-1] <= 2048 and ends[-1] & (ends[-1] - 1) == 0
