@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +16,10 @@ from pairloom.scratch import new_path
 
 #: Code points that separate words: blank, tab, line feed, vertical tab, form feed, return.
 SPACES = " \t\n\x0b\x0c\r"
-#: Rows of text are hashed in slices of about this many bytes; one longer text is one slice.
-SLICE_BYTES = 1 << 20
+#: Rows of text are hashed in slices of about this many bytes; a longer text is cut between words.
+SLICE_BYTES = 1 << 18
+#: Rows go to Python workers and come back in batches of about this many bytes; a longer text is a batch.
+BATCH_BYTES = 8 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D  # odd, 5 modulo 8: its powers have the longest period
@@ -29,11 +33,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> str:
+    """From now on the session's Arrow batches have a bound that suits rows of text, since both sides of a worker hold one; returns the last bound."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, BATCH_BYTES)
+    return before
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame written once to the shared folder and read back: its lineage ends there."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    before = small_batches(spark)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def give_back() -> None:
+    """Memory that is free goes back to the system: a worker waits between tasks, and may wait long."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library on Linux
+    if trim:
+        trim(0)
+
+
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The same function over a task's batches, which gives memory back at the end."""
+
+    @functools.wraps(run)
+    def task(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return task
 
 
 def shuffle_tasks(spark: SparkSession) -> int:
@@ -54,20 +90,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Powers:
-    """Powers of the base and of its inverse modulo 2**64, as far as they were needed."""
+@functools.cache
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _new_powers(2 * SLICE_BYTES)
+
 
-    up = np.ones(1, np.uint64)
-    down = np.ones(1, np.uint64)
+def _new_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    found = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        powers = np.full(n, base, np.uint64)
+        powers[0] = 1
+        found.append(np.multiply.accumulate(powers, out=powers))
+    return found[0], found[1]
 
-    @classmethod
-    def reach(cls, n: int) -> None:
-        if len(cls.up) < n:
-            n = max(n, SLICE_BYTES * 2)
-            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-                powers = np.full(n, base, np.uint64)
-                powers[0] = 1
-                setattr(cls, name, np.multiply.accumulate(powers))
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of the base and of its inverse modulo 2**64; only those that a slice needs are kept."""
+    return _kept_powers() if n <= 2 * SLICE_BYTES else _new_powers(n)
 
 
 def _byte_values() -> np.ndarray:
@@ -98,12 +137,16 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     """64-bit hash of every word of the texts (A-Z as a-z), and where each text's words begin.
 
     A word's hash is a polynomial over random byte values, taken as a difference of
-    running sums, so all words of a slice are hashed at once.
+    running sums, so all words of a slice are hashed at once.  One long text is hashed part by part.
     """
     bounds = np.zeros(len(offsets), np.int64)
     if len(data) == 0:
         return np.zeros(0, np.uint64), bounds
-    _Powers.reach(len(data))
+    if len(offsets) == 2 and len(data) > 2 * SLICE_BYTES:
+        found = [word_hashes(part, np.array([0, len(part)]))[0] for part in _parts(data)]
+        bounds[1] = sum(map(len, found))
+        return np.concatenate(found), bounds
+    up, down = _powers(len(data))
     letter = ~_IS_SPACE[data]
     first = letter.copy()
     first[1:] &= ~letter[:-1]
@@ -115,12 +158,27 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     last[tails] = letter[tails]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[data] * _Powers.up[:len(data)], out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * _Powers.down[starts]
+    np.cumsum(_VALUES[data] * up[:len(data)], out=sums[1:])
+    hashes = (sums[ends] - sums[starts]) * down[starts]
     bounds[:] = np.searchsorted(starts, offsets)
     return mix(hashes + (ends - starts).astype(np.uint64) * _ODD), bounds
 
 
+def _parts(data: np.ndarray) -> Iterator[np.ndarray]:
+    """A text in parts of ``SLICE_BYTES`` and the rest of their last word."""
+    start = 0
+    while start < len(data):
+        stop = start + SLICE_BYTES
+        while stop < len(data):
+            spaces = np.flatnonzero(_IS_SPACE[data[stop:stop + 4096]])
+            if len(spaces):
+                stop += int(spaces[0])
+                break
+            stop += 4096
+        yield data[start:stop]
+        start = stop
+
+
 def shingle_sets(texts: pa.Array, size: int = 5) -> Iterator[np.ndarray]:
     """Per text the sorted distinct hashes of its word windows of ``size`` words.
 

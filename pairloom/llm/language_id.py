@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.llm.common import frugal
+
 BUCKETS = 1 << 16
 MAX_LANGUAGES = 256
 SMOOTHING = 0.5
@@ -95,7 +97,7 @@ def learned(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
             )
 
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    sums = rows.mapInArrow(count, "lang string, cell int, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+    sums = rows.mapInArrow(frugal(count), "lang string, cell int, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     found = sums.limit(MAX_LANGUAGES * BUCKETS + 1).toPandas()
     languages = sorted(found["lang"].unique())
     if len(languages) > MAX_LANGUAGES:
@@ -226,4 +228,4 @@ def predicted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     rows = docs.withColumn("_lang_text", F.col(text))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return rows.mapInArrow(run, f"{kinds}, lang_pred string, score double, languages string")
+    return rows.mapInArrow(frugal(run), f"{kinds}, lang_pred string, score double, languages string")

@@ -29,6 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.llm.common import frugal
+
 CAPACITY = 2048
 QUADRATIC = 2048  # tokens at which attention costs as much as the linear layers
 POOL_PIECES = 4096
@@ -262,5 +264,5 @@ def packed(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str |
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    made = rows.mapInArrow(run, f"key {kind}, " + ", ".join(f"{c} bigint" for c in COLUMNS))
+    made = rows.mapInArrow(frugal(run), f"key {kind}, " + ", ".join(f"{c} bigint" for c in COLUMNS))
     return made.withColumnRenamed("key", key)

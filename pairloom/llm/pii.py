@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.llm.common import frugal
+
 KINDS = ("email", "ip", "card", "phone")
 MAX_PIECES = 24
 SAMPLE_DOCS = 1500
@@ -295,7 +297,7 @@ def learned(docs: DataFrame, text: str = "text") -> dict[str, float]:
     last = with_marks.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
     if last is None:
         return dict(PRIOR)
-    chosen = with_marks.where(F.col("h") <= last).mapInArrow(sample, "h bigint, part string, a int, b int")
+    chosen = with_marks.where(F.col("h") <= last).mapInArrow(frugal(sample), "h bigint, part string, a int, b int")
     rows = chosen.distinct().orderBy("h", "a", "part", "b").limit(SAMPLE_REGIONS).collect()
     return fitted([(r["part"], r["a"], r["b"]) for r in rows])
 
@@ -359,4 +361,4 @@ def found(docs: DataFrame, weights: dict[str, float], text: str = "text", redact
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     added = ", ".join(f"n_{k} bigint" for k in KINDS) + ", base_sha256 string, spans string" + (", redacted string" if redact else "")
-    return docs.withColumn("_pii_text", F.col(text)).mapInArrow(run, f"{kinds}, {added}")
+    return docs.withColumn("_pii_text", F.col(text)).mapInArrow(frugal(run), f"{kinds}, {added}")
