@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import jaccard_join, language_id, mixing, packing, pii
-from pairloom.llm.common import stored, table
+from pairloom.llm.common import small_batches, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_SHARE = 0.5  # a document without a language that makes up this share is rejected
@@ -22,6 +22,7 @@ LEAST_SHARE = 0.5  # a document without a language that makes up this share is r
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter, and mixtures without a main language; fills unknown languages."""
+    small_batches(spark)  # the stage's rows carry whole texts to Python and back, after this function has returned
     docs = docs.select(*COLUMNS)
     read = language_id.predicted(docs, language_id.learned(docs))
     kept = read.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
@@ -47,6 +48,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every span of personal data by the name of its kind."""
+    small_batches(spark)
     docs = docs.select(*COLUMNS)
     read = pii.found(docs, pii.learned(docs), redact=True)
     return read.withColumns({"text": F.col("redacted"), "n_chars": F.length("redacted").cast("bigint")}).select(*COLUMNS)
@@ -66,6 +68,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the documents' tokens into sequences."""
+    small_batches(spark)
     return packing.packed(docs)
 
 
