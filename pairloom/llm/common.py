@@ -139,13 +139,16 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     A word's hash is a polynomial over random byte values, taken as a difference of
     running sums, so all words of a slice are hashed at once.  One long text is hashed part by part.
     """
+    if len(offsets) == 2 and len(data) > 2 * SLICE_BYTES:
+        found = [_slice_hashes(part, np.array([0, len(part)]))[0] for part in _parts(data)]
+        return np.concatenate(found), np.array([0, sum(map(len, found))])
+    return _slice_hashes(data, offsets)
+
+
+def _slice_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     bounds = np.zeros(len(offsets), np.int64)
     if len(data) == 0:
         return np.zeros(0, np.uint64), bounds
-    if len(offsets) == 2 and len(data) > 2 * SLICE_BYTES:
-        found = [word_hashes(part, np.array([0, len(part)]))[0] for part in _parts(data)]
-        bounds[1] = sum(map(len, found))
-        return np.concatenate(found), bounds
     up, down = _powers(len(data))
     letter = ~_IS_SPACE[data]
     first = letter.copy()

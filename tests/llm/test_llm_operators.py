@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 
 import corpus_pipeline
 from pairloom.llm import (
+    common,
     jaccard_join, language_id, lm_scoring, mixing, packing, pii, quality_divergence, queries, sharding, topk_search, warc,
 )
 from pairloom.llm.oracles import ORACLES
@@ -816,3 +817,35 @@ def check_pieces(docs, pieces):
         some.sort(key=lambda r: r.offset)
         ends = np.cumsum([0] + [r.length for r in some]).tolist()
         assert [r.offset for r in some] == ends[:-1] and ends[-1] <= 2048 and ends[-1] & (ends[-1] - 1) == 0
+
+
+def test_long_texts_are_hashed_part_by_part(monkeypatch):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcXYZ.é", k=rng.randint(1, 12))) for _ in range(40_000)]
+    words[20_000] = "w" * 50_000  # a word longer than two slices
+    text = "".join(w + rng.choice([" ", "\n", "  ", "\t"]) for w in words)
+    data = np.frombuffer(text.encode(), np.uint8)
+    whole, bounds = common.word_hashes(data, np.array([0, len(data)]))
+    monkeypatch.setattr(common, "SLICE_BYTES", 10_000)
+    common._kept_powers.cache_clear()
+    parts = list(common._parts(data))
+    in_parts, part_bounds = common.word_hashes(data, np.array([0, len(data)]))
+    common._kept_powers.cache_clear()
+    assert b"".join(p.tobytes() for p in parts) == data.tobytes() and len(parts) > 10
+    assert whole.tolist() == in_parts.tolist() and bounds.tolist() == part_bounds.tolist() == [0, 40_000]
+
+
+def test_a_text_of_50_megabytes_leaves_little_behind():
+    words = [f"w{i * 7919 % 100_003}" for i in range(100_003)]
+    text = pa.array([" ".join(words * 75).encode()], pa.large_binary())
+    assert text.nbytes > 50e6
+    assert len(next(common.shingle_sets(text))) == 100_003
+    assert sum(p.nbytes for p in common._kept_powers()) <= 32 * common.SLICE_BYTES
+
+
+def test_stored_tables_leave_the_batch_bound_as_it_was(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    seen = spark.range(3).mapInArrow(common.frugal(lambda batches: batches), "id bigint")
+    assert sorted(r.id for r in common.stored(seen, "seen").collect()) == [0, 1, 2]
+    assert spark.conf.get(name) == before
