@@ -743,9 +743,7 @@ def unmatched_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_prepare_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_path(spark, "stream-prepare")
-    source = stream_prepare.read_stream(
-        spark, sf_dir, DOCUMENT_SCHEMA, pathGlobFilter="documents.parquet"
-    )
+    source = stream_prepare.read_stream(spark, stream_prepare.table_glob(f"{sf_dir}/documents.parquet"), DOCUMENT_SCHEMA)
     columns = {"query": "source", "response": "text"}
     segments = templates.shard_segments(F.col("query"), F.col("response"))
 

@@ -27,6 +27,12 @@ def read_stream(
     return reader.load(path)
 
 
+def table_glob(path: str) -> str:
+    """A pattern that only ``path`` fits: a stream reads it where the table is one file and where it is a folder of files."""
+    folder, name = path.rsplit("/", 1)
+    return f"{folder}/{{{name}}}"
+
+
 def prepare_stream(
     stream: DataFrame,
     prepare: Callable[[DataFrame], DataFrame],

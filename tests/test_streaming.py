@@ -97,3 +97,12 @@ def test_every_document_arrives_once(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
     got = QUERIES["stream_shards"](spark, str(tmp_path)).collect()
     assert sorted(r.doc_id for r in got) == [r[0] for r in rows]
+
+
+def test_a_table_of_several_files_is_prepared_like_one_of_a_single_file(spark, sf_dir, tmp_path):
+    (tmp_path / "folder").mkdir()
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts.repartition(3).write.parquet(str(tmp_path / "folder" / "documents.parquet"))
+    got, expected = (QUERIES["stream_prepare"](spark, path) for path in (str(tmp_path / "folder"), sf_dir))
+    assert got.count() == expected.count() == texts.count()
+    assert got.exceptAll(expected).isEmpty()
