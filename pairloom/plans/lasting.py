@@ -181,24 +181,25 @@ def shard_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
 def report_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The preference report from bucketed tables of labels, scores and reference scores."""
     out = new_path(spark, "bucketed")
-    rows = Q._scored_dpo(spark, sf_dir)
-    rows.write.parquet(f"{out}/rows")
-    rows = spark.read.parquet(f"{out}/rows")
     # a pair's number: its place among all pairs
     pair_id = (F.col("batch_id") * Q.BATCH + F.col("pair_in_batch")) * Q.RANKS + F.col("rank")
     following = F.slice("y", F.lit(2), F.greatest(F.size("y") - 1, F.lit(0)))
-    tables = {
-        "label": following, "policy": F.col("policy_logps"), "reference": F.col("reference_logps"),
-    }
-    names = [
-        score_tables.write_bucketed(
-            rows.select(pair_id.alias("pair_id"), "side", F.posexplode(values).alias("pos", "label" if kind == "label" else "logp")),
-            out, sort=["side", "pos"],
+    Q._scored_dpo(spark, sf_dir).select(
+        pair_id.alias("pair_id"), "side", "rank", "batch_id", "rank_steps", "pair_in_batch",
+        following.alias("label"), F.col("policy_logps").alias("policy"), F.col("reference_logps").alias("reference"),
+    ).write.parquet(f"{out}/rows")
+    rows = spark.read.parquet(f"{out}/rows")
+    pairs = rows.where("side = 'chosen'").select("pair_id", "rank", "batch_id", "rank_steps", "pair_in_batch")
+    buckets = score_tables.bucket_count(pairs.count())
+
+    def tokens(value: str, name: str) -> str:
+        return score_tables.write_bucketed(
+            rows.select("pair_id", "side", value), out, sort=["side", "pos"], buckets=buckets,
+            unfold=lambda dealt: dealt.select("pair_id", "side", F.posexplode(value).alias("pos", name)),
         )
-        for kind, values in tables.items()
-    ]
-    pairs = rows.where("side = 'chosen'").select(pair_id.alias("pair_id"), "rank", "batch_id", "rank_steps", "pair_in_batch")
-    pairs = spark.table(score_tables.write_bucketed(pairs, out))
+
+    names = [tokens("label", "label"), *[tokens(model, "logp") for model in score_tables.MODELS]]
+    pairs = spark.table(score_tables.write_bucketed(pairs, out, buckets=buckets))
     scores = score_tables.pair_scores(spark, *names)
     scored = R.score_pairs(pairs.join(scores.hint("merge"), "pair_id"))
     report = R.with_ramp_lr(R.preference_report(scored, ["rank", "batch_id", "rank_steps"]), "rank_steps", Q.BASE_LR)

@@ -185,3 +185,34 @@ def test_the_report_shuffles_pairs_only(spark, sf_dir):
     assert len(exchanges) == 1 and exchanges[0].startswith("rank")
     # it lies above every scan and join
     assert final.index("Exchange hashpartitioning") < final.index("SortMergeJoin")
+
+
+def test_buckets_grow_with_the_pairs_and_sorted_files_are_not_sorted_again(spark, tmp_path):
+    assert score_tables.bucket_count(0) == score_tables.bucket_count(1000) == score_tables.BUCKETS
+    assert score_tables.bucket_count(10 ** 6 + 1) * score_tables.PAIRS_PER_BUCKET > 10 ** 6
+    _, names = token_tables(spark, str(tmp_path))
+    scores = score_tables.pair_scores(spark, *names)
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [" not in plan and "ObjectHashAggregate" not in plan and plan.count("SortAggregate") >= 3
+
+
+def test_lists_are_dealt_to_buckets_before_they_become_token_rows(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(p, side, [p + i for i in range(p % 4)]) for p in range(300) for side in ("rejected", "chosen")], "pair_id bigint, side string, value array<int>"
+    )
+    unfolded = []
+
+    def unfold(dealt):
+        assert dealt.columns == ["pair_id", "side", "value"]
+        unfolded.append(dealt.select("pair_id", "side", F.posexplode("value").alias("pos", "label")))
+        return unfolded[0]
+
+    name = score_tables.write_bucketed(rows, str(tmp_path), sort=["side", "pos"], buckets=4, unfold=unfold)
+    plan = unfolded[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Exchange")
+    assert len(glob.glob(f"{tmp_path}/{name}/*.parquet")) == 4
+    for path in glob.glob(f"{tmp_path}/{name}/*.parquet"):
+        got = [(r.pair_id, r.side, r.pos) for r in spark.read.parquet(path).collect()]
+        assert got == sorted(got)
+    expected = rows.select("pair_id", "side", F.posexplode("value").alias("pos", "label"))
+    assert spark.table(name).exceptAll(expected).isEmpty() and spark.table(name).count() == expected.count()
