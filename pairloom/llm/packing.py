@@ -19,8 +19,9 @@ documents of their own; a text longer than a sequence is cut; an empty table giv
 from __future__ import annotations
 
 import re
+import string
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +36,10 @@ CAPACITY = 2048
 QUADRATIC = 2048  # tokens at which attention costs as much as the linear layers
 POOL_PIECES = 4096
 END = 1
-KNOWN_BYTES = 96 << 20  # of words and ids in each of two generations that a task keeps
+KNOWN_BYTES = 32 << 20  # of words and ids in each of two generations that a task keeps, and those of one group of texts
 ENTRY_BYTES = 150  # what a word takes besides
-WORDS_A_CALL = 500
-MARKS = b".,;:!?"
+WORDS_A_CALL = 2000
+MARKS = string.punctuation  # of ASCII
 GROUP_BYTES = 1 << 20  # texts are split into words by so much
 SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]")
 
@@ -50,8 +51,9 @@ class WordIds:
 
     Words are kept in two generations: when the young one is full it becomes the old one, whose words go unless they
     are seen again, so what is kept has a bound in bytes and frequent words stay.  New words are encoded by the
-    hundred.  Words of ASCII letters, and those with one mark behind them, are parted by the ids that end a piece; others
-    by a control character between them, which has one id; words that hold it, or may hold a special token, are encoded alone.
+    hundred.  A word of letters with marks behind it is those letters and those marks, which are pieces of their own, so
+    letters are encoded once for all their marks, and marks once.  Letters are parted by the ids that end a piece; other
+    words by a control character between them, which has one id; words that hold it, or may hold a special token, are encoded alone.
     """
 
     BETWEEN = b"\x01"
@@ -92,56 +94,68 @@ class WordIds:
         packed = ids.tobytes()
         return [packed[4 * (a + 1):4 * b] for a, b in zip([-1, *stops[:-1]], stops)]
 
-    def _plain(self, words: list[bytes], pieces: list[int]) -> list[bytes]:
-        """Ids of words of so many pieces each, at least: they follow each other, and the ends of pieces part them."""
+    def _plain(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of one piece each, at least: they follow each other, and the ends of pieces part them."""
         ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.ends[ids])
-        if len(ends) != sum(pieces):  # some word has more pieces
+        if len(ends) != len(words):  # some word has more pieces
             return self._encoded(words)
-        stops = (ends[np.cumsum(pieces) - 1] + 1).tolist()
+        stops = (4 * ends + 4).tolist()
         packed = ids.tobytes()
-        return [packed[4 * a:4 * b] for a, b in zip([0, *stops[:-1]], stops)]
+        return [packed[a:b] for a, b in zip([0, *stops[:-1]], stops)]
 
-    def _learned(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """New words with their ids: letters alone are one piece, with a mark behind them two."""
-        plain, pieces, others = [], [], []
+    def _keep(self, words: list[bytes], ids: list[bytes]) -> None:
+        self.young.update(zip(words, ids))
+        self.size += sum(map(len, words)) + sum(map(len, ids)) + ENTRY_BYTES * len(words)
+
+    def _unseen(self, words: Iterable[bytes]) -> list[bytes]:
+        """The words that are in no generation; those of the old one are young again."""
+        found, unseen = [], []
+        for word in words:
+            (found if word in self.old else unseen).append(word)
+        self._keep(found, [self.old[word] for word in found])
+        return unseen
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Keeps new words with their ids.
+
+        A word of letters is one piece at least, also if it is not ASCII; marks behind it never belong to its piece,
+        if it is of letters in lower case too: the tokenizer makes that first.
+        """
+        letters, others, parted = {}, {}, []
         for word in words:
             if word.isalpha():
-                pieces.append(1)
-            elif word[-1] in MARKS and word[:-1].isalpha():
-                pieces.append(2)
+                core, tail = word.lower(), b""
             else:
-                others.append(word)
-                continue
-            plain.append(word)
-        for i in range(0, len(plain), WORDS_A_CALL):
-            yield from zip(plain[i:i + WORDS_A_CALL], self._plain(plain[i:i + WORDS_A_CALL], pieces[i:i + WORDS_A_CALL]))
-        for i in range(0, len(others), WORDS_A_CALL):
-            yield from zip(others[i:i + WORDS_A_CALL], self._encoded(others[i:i + WORDS_A_CALL]))
-
-    def _keep(self, word: bytes, ids: bytes) -> None:
-        self.young[word] = ids
-        self.size += len(word) + len(ids) + ENTRY_BYTES
-        if self.size > KNOWN_BYTES:
-            self.young, self.old, self.size = {}, self.young, 0
+                text = word.decode()
+                core = text.rstrip(MARKS)
+                if not core.lower().isalpha() if core else "<|" in text:
+                    others[word] = None
+                    continue
+                # beyond ASCII the tokenizer's rules for lower case are its own
+                core, tail = (core.lower() if core.isascii() else core).encode(), text[len(core):].encode()
+                others[tail] = None
+            letters[core] = None
+            if core != word:
+                parted.append((word, core, tail))
+        others.pop(b"", None)
+        letters.pop(b"", None)
+        for parts, encoded in ((letters, self._plain), (others, self._encoded)):
+            new = self._unseen(parts.keys() - self.young.keys())
+            for i in range(0, len(new), WORDS_A_CALL):
+                some = new[i:i + WORDS_A_CALL]
+                self._keep(some, encoded(some))
+        get = self.young.get
+        self._keep([word for word, _, _ in parted], [get(core, b"") + get(tail, b"") for _, core, tail in parted])
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text."""
         split = [t.split() for t in texts]
-        here, new = {}, []
-        for word in set().union(*split):
-            ids = self.young.get(word)
-            if ids is None:
-                ids = self.old.get(word)
-                if ids is None:
-                    new.append(word)
-                    continue
-                self._keep(word, ids)
-            here[word] = ids
-        for word, ids in self._learned(new):
-            here[word] = ids
-            self._keep(word, ids)
-        return [b"".join(map(here.__getitem__, words)) for words in split]
+        self._learn(self._unseen(set().union(*split).difference(self.young)))
+        out = [b"".join(map(self.young.__getitem__, words)) for words in split]
+        if self.size > KNOWN_BYTES:
+            self.young, self.old, self.size = {}, self.young, 0
+        return out
 
 
 _KEPT: dict[str, WordIds] = {}

@@ -849,3 +849,23 @@ def test_stored_tables_leave_the_batch_bound_as_it_was(spark):
     seen = spark.range(3).mapInArrow(common.frugal(lambda batches: batches), "id bigint")
     assert sorted(r.id for r in common.stored(seen, "seen").collect()) == [0, 1, 2]
     assert spark.conf.get(name) == before
+
+
+def test_letters_are_encoded_once_for_all_marks_behind_them(monkeypatch):
+    words = packing.WordIds(packing.vocabulary_path())
+    texts = ["Word été Éß", "word, WORD! word?! été. (word) İ' ŉ! Σς. it's 'S x's' <|endoftext|> a<|endoftext|>! ###", "", "ﬁ́ a\x01b 中文。!"]
+
+    def expected(text):
+        return np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    assert words.ids([texts[0].encode()]) == [expected(texts[0])]
+    seen = []
+    plain = words._plain
+    monkeypatch.setattr(words, "_plain", lambda new, *rest: seen.extend(new) or plain(new, *rest))
+    assert words.ids([t.encode() for t in texts]) == list(map(expected, texts))
+    assert not {b"word", b"word,", "été".encode(), "été.".encode()} & set(seen)
+    # a full generation becomes the old one, from which words come back
+    monkeypatch.setattr(packing, "KNOWN_BYTES", 1)
+    for _ in range(3):
+        assert words.ids([t.encode() for t in texts]) == list(map(expected, texts))
+        assert not words.young
