@@ -57,6 +57,12 @@ def out_of_range(ids: Column, limit: int = ID_LIMIT) -> Column:
     return F.size(F.filter(ids, lambda i: (i < 0) | (i >= limit)))
 
 
+def all_in_range(ids: Column, limit: int = ID_LIMIT) -> Column:
+    """Whether ids are there and none lies outside ``[0, limit)``; it looks at every id, but lists none."""
+    bounds = (F.array_min(ids) >= 0) & (F.array_max(ids) < limit)
+    return ids.isNotNull() & F.coalesce(bounds, F.lit(True))
+
+
 def shifted_pairs(scores: Column, labels: Column) -> Column:
     """Score at position t beside the label at t+1; the last score has no label."""
     count = F.greatest(F.size(labels) - 1, F.lit(0))

@@ -89,11 +89,13 @@ def shard_rows(
     """Adds ``tokens`` of exactly ``length`` ids and ``length``, the real ids among them."""
     check_power_of_two(length)
     encoded = df.withColumn("_ids", encode_segments(segments, encoder))
-    in_range = F.when(S.out_of_range(F.col("_ids")) == 0, F.col("_ids")).otherwise(
+    in_range = F.when(S.all_in_range(F.col("_ids")), F.col("_ids")).otherwise(
         F.raise_error(F.lit("a token id does not fit into 16 bits"))
     )
+    # a column of its own: the ids are checked once, not at every place where the tokens are made of them
     return (
-        encoded.withColumn("tokens", S.pad_or_cut_with_end(in_range, length, end_id))
+        encoded.withColumn("_ids", in_range)
+        .withColumn("tokens", S.pad_or_cut_with_end(F.col("_ids"), length, end_id))
         .withColumn("length", F.least(F.size("_ids"), F.lit(length)))
         .drop("_ids")
     )

@@ -158,3 +158,11 @@ def test_scan_formats_and_split_pushdown(spark, tmp_path):
         assert [r.text for r in got.collect()] == ["b"]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(split,test)" in plan
+
+
+def test_ids_of_shard_rows_are_checked_once(spark):
+    df = spark.createDataFrame([("ab", "cd"), ("", "x" * 30)], "query string, response string")
+    rows = B.shard_rows(df, [F.col("query"), F.col("response")], ByteEncoder(), 8, 50257)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("raise_error") == 1
+    assert rows.orderBy("query").first().length == 8

@@ -80,3 +80,10 @@ def test_sequence_length_must_be_a_power_of_two(length, ok):
     else:
         with pytest.raises(ValueError):
             B.check_power_of_two(length)
+
+
+def test_all_in_range_agrees_with_the_count(spark):
+    rows = spark.createDataFrame([([0, 65535],), ([-1],), ([65536, 3],), ([],), ([None, 5],), ([None],)], "ids array<int>")
+    got = rows.select(S.all_in_range(F.col("ids")).alias("a"), S.out_of_range(F.col("ids")).alias("n")).collect()
+    assert all(r.a == (r.n == 0) for r in got)
+    assert spark.sql("SELECT CAST(NULL AS array<int>) AS ids").select(S.all_in_range(F.col("ids"))).first()[0] is False
