@@ -163,7 +163,9 @@ def _lookup_udf(words: Broadcast) -> Callable[[Column], Column]:
         out[ends[:-1][~missing]] = ids[place[~missing]]
         # bytes of the missing pieces: place of each piece, then of each byte in it
         first = np.repeat(ends[:-1][missing] - np.cumsum(lengths) + lengths, lengths)
-        out[first + np.arange(lengths.sum())] = np.frombuffer(b"".join(spelled.to_pylist()), np.uint8)
+        # joined by Arrow: a Python object for every missing piece took most of the time
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(spelled)], spelled), b"")[0].as_py()
+        out[first + np.arange(lengths.sum())] = np.frombuffer(joined, np.uint8)
         sizes = rows.value_lengths().fill_null(0).to_numpy()
         borders = ends[np.concatenate([[0], np.cumsum(sizes)])].astype(np.int32)
         return pa.ListArray.from_arrays(

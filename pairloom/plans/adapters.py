@@ -6,7 +6,7 @@ Scores and step figures are made by rule from ids and positions, in multiples of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairloom.constants import END_OF_TEXT_ID, ID_LIMIT
@@ -90,6 +90,19 @@ def dealt(df: DataFrame, *by: str) -> DataFrame:
     return df.repartitionByRange(TEST_TASKS, *by) if by else df.repartition(TEST_TASKS)
 
 
+def commonest(counted: DataFrame, wanted: int) -> DataFrame:
+    """The ``wanted`` rows of least ``rarity``, and all that are as rare as the last of them; the other rows are left out.
+
+    Only the numbers of rows by rarity are added up in order. Rarities are whole numbers of occurrences,
+    so n occurrences in all have at most sqrt(2 n) different ones.
+    """
+    before = Window.orderBy("rarity").rowsBetween(Window.unboundedPreceding, -1)
+    by_rarity = counted.groupBy("rarity").agg(F.count("*").alias("rows"))
+    ahead = by_rarity.select("rarity", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("ahead"))
+    last = ahead.where(F.col("ahead") < wanted).agg(F.max("rarity")).first()[0]
+    return counted.where(F.col("rarity") <= F.lit(last))
+
+
 def word_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A vocabulary table: 256 bytes, the commonest pieces of the texts, special tokens.
 
@@ -102,11 +115,12 @@ def word_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
         # one-byte pieces have their byte ids already
         .where(F.octet_length("piece") > 1)
     )
-    # counted once, then numbered without a sort in one task
+    # counted once; those that may get an id are numbered without a sort in one task
+    wanted = END_OF_TEXT_ID - 256
     path = new_path(spark, "pieces")
     counted.write.parquet(path)
-    numbered = dense_index(spark.read.parquet(path), ["rarity", "piece"])
-    words = numbered.where(F.col("idx") < END_OF_TEXT_ID - 256).select(
+    numbered = dense_index(commonest(spark.read.parquet(path), wanted), ["rarity", "piece"])
+    words = numbered.where(F.col("idx") < wanted).select(
         F.encode("piece", "UTF-8").alias("token"),
         (F.col("idx") + 256).cast("int").alias("token_id"),
         F.lit(False).alias("is_special"),
