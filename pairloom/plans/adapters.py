@@ -19,6 +19,8 @@ from pairloom.sources.vocabulary import with_special_tokens
 
 STEP_RANKS = 4
 TEST_TASKS = 16
+# a split holds up to 128 MB of a file; its texts are cut and encoded by several tasks
+TASKS_PER_SPLIT = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,8 +88,10 @@ def with_scores(rows: DataFrame, labels: str = "y") -> DataFrame:
 
 
 def dealt(df: DataFrame, *by: str) -> DataFrame:
-    """The test tables are single files with one row group: their rows are always dealt to 16 tasks."""
-    return df.repartitionByRange(TEST_TASKS, *by) if by else df.repartition(TEST_TASKS)
+    """A table may be a single file with one row group: its rows are always dealt, to 16 tasks or more where its files are larger."""
+    if by:
+        return df.repartitionByRange(TEST_TASKS, *by)
+    return df.repartition(max(TEST_TASKS, TASKS_PER_SPLIT * df.rdd.getNumPartitions()))
 
 
 def commonest(counted: DataFrame, wanted: int) -> DataFrame:

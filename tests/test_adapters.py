@@ -38,3 +38,16 @@ def test_the_commonest_rows_with_all_that_are_as_rare_as_the_last(spark):
     assert kept([-9, -5, -5, -5, -2, -1, -1], 5) == [-9, -5, -5, -5, -2]
     assert kept([-1] * 4, 2) == [-1] * 4 and kept([-3, -1], 9) == [-3, -1]
     assert kept([], 3) == []
+
+
+def test_rows_are_dealt_to_more_tasks_where_there_are_more_files(spark, texts):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    documents = A.table(spark, texts[0], "documents")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        dealt = A.dealt(documents)
+        assert dealt.rdd.getNumPartitions() > 4 * 16
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(dealt.select("doc_id").collect()) == sorted(documents.select("doc_id").collect())
+    assert A.dealt(spark.range(5).coalesce(1)).rdd.getNumPartitions() == 16
