@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom.constants import BATCH_LENGTH
 from pairloom.functions import schedules, templates
-from pairloom.functions.encoding import encode_segments
+from pairloom.functions.encoding import ArrowByteEncoder, encode_segments
 from pairloom.functions.sequences import out_of_range
 from pairloom.operators import batches as B
 from pairloom.operators import checks, permutation, steps
@@ -72,12 +72,13 @@ def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_path(spark, "stream-batches")
     columns = {"prompt": "source", "answer": "text"}
     texts = A.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    encoder = ArrowByteEncoder()
 
     def prepare(rows: DataFrame) -> DataFrame:
         return map_columns(rows, columns, ["doc_id"], on_null="drop")
 
     def collate(rows: DataFrame) -> DataFrame:
-        return B.sft_batches(B.encode_sft(rows, Q.BYTES), BATCH_LENGTH)
+        return B.sft_batches(B.encode_sft(rows, encoder), BATCH_LENGTH)
 
     arrival_of = F.coalesce(F.pmod("doc_id", F.lit(ROUNDS)), F.lit(0))
     arrivals = [texts.where(arrival_of == part) for part in range(ROUNDS)]

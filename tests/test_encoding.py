@@ -90,6 +90,18 @@ def test_segments_are_encoded_alone(spark, bpe, ranks):
         assert row.sft != plain("### Question: what is it\n ### Answer:")
 
 
+def test_bytes_in_arrow_batches_equal_the_expression(spark):
+    arrow = E.ArrowByteEncoder()
+    for texts in ([None, *TEXTS, None, "x" * 5000], [None], [""], []):
+        rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(3).select(
+            "text", arrow(F.col("text")).alias("ids"),
+            E.encode_segments(["a", F.col("text")], arrow).alias("joined"),
+            E.encode_segments(["a", F.col("text")], E.ByteEncoder()).alias("expected"),
+        ).collect()
+        assert len(rows) == len(texts) and all(r.joined == r.expected for r in rows)
+        assert all(r.ids == (None if r.text is None else list(r.text.encode())) for r in rows)
+
+
 def test_pieces_cover_the_text(spark):
     rows = frame(spark).select("text", E.pieces(F.col("text")).alias("p")).collect()
     assert all("".join(r.p) == r.text for r in rows)
